@@ -118,27 +118,13 @@ def hours_since_last_event(df: DataFrame, y: str = "y", entity: str = "entity_id
 
     Equals ``s = shift(y,1,0); g = cumsum(s); cumcount within g``: rows before any event count from
     the entity's first row; the row right after an event is 0.  Expressed as a running max of the
-    event position (strictly before the row), so it needs no second window keyed by island.
-    With ``bucket_rows`` the running max crosses buckets through a per-bucket carry table.
+    event position strictly before the row (a prefix scan with cross-bucket carry), so it needs
+    neither a second window keyed by island nor a whole entity in one task.
     """
-    ev_t = F.when(F.col(y) == 1, F.col(t))
-    if not bucket_rows:
-        w = entity_window(entity, t)
-        last = F.max(ev_t).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        first = F.min(F.col(t)).over(Window.partitionBy(entity))
-        return df.withColumn(out, (F.col(t) - F.coalesce(last + 1, first)).cast("double"))
-    b = F.floor(F.col(t) / F.lit(bucket_rows))
-    per_bucket = df.groupBy(F.col(entity), b.alias(B)).agg(F.max(ev_t).alias("_bev"), F.min(t).alias("_bmin"))
-    wb = Window.partitionBy(entity).orderBy(B)
-    carry = per_bucket.select(
-        entity, B,
-        F.max("_bev").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_ev"),
-        F.min("_bmin").over(wb.rowsBetween(Window.unboundedPreceding, 0)).alias("_first_t"))
-    x = df.withColumn(B, b).join(carry, [entity, B], "left")
-    w = Window.partitionBy(entity, B).orderBy(t)
-    last = F.greatest(F.max(ev_t).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry_ev"))
-    return (x.withColumn(out, (F.col(t) - F.coalesce(last + 1, F.col("_first_t"))).cast("double"))
-             .drop(B, "_carry_ev", "_first_t"))
+    x = prefix_scan(df, {"_last_ev": ("max", F.when(F.col(y) == 1, F.col(t))),
+                         "_first_t": ("min", F.col(t))}, entity, t, inclusive=False, bucket_rows=bucket_rows)
+    start = F.coalesce(F.col("_last_ev") + 1, F.col("_first_t"), F.col(t))
+    return x.withColumn(out, (F.col(t) - start).cast("double")).drop("_last_ev", "_first_t")
 
 
 def forward_fill(c: str, w: WindowSpec, fill=0) -> Column:
@@ -186,3 +172,68 @@ def family_shift(df: DataFrame, shifts: dict[str, int], entity: str = "entity_id
     for c in shifts:
         shifted = shifted.withColumn(c, F.col(f"__s_{c}")).drop(f"__s_{c}")
     return shifted
+
+
+# ---------------------------------------------------------------- generic prefix scan with carry
+
+_WITHIN = {
+    "max": lambda e, w: F.max(e).over(w),
+    "min": lambda e, w: F.min(e).over(w),
+    "sum": lambda e, w: F.sum(e).over(w),
+}
+
+
+def prefix_scan(df: DataFrame, specs: dict[str, tuple[str, Column]], entity: str | list[str] = "entity_id",
+                t: str = "t", inclusive: bool = False, bucket_rows: int | None = None,
+                order: list[str] | None = None) -> DataFrame:
+    """Running aggregates per entity ordered by ``t`` (rows strictly before, or up to and incl.).
+
+    ``specs`` maps output -> (kind, expr) with kind in {max, min, sum, last}; ``last`` is the last
+    non-null value (forward fill).  With ``bucket_rows`` the scan runs per (entity, time bucket) and a
+    per-bucket aggregate (rows / bucket_rows in size) carries state across buckets, so no task ever
+    holds a whole entity.  ``order`` adds tie-break columns after ``t``.
+    """
+    keys = [entity] if isinstance(entity, str) else list(entity)
+    ordering = [t] + list(order or [])
+    hi = 0 if inclusive else -1
+
+    def within(kind, e, w):
+        if kind == "last":
+            return F.last(e, ignorenulls=True).over(w)
+        return _WITHIN[kind](e, w)
+
+    if not bucket_rows:
+        w = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, hi)
+        return df.select("*", *[within(k, e, w).alias(o) for o, (k, e) in specs.items()])
+
+    b = F.floor(F.col(t) / F.lit(bucket_rows))
+    x = df.withColumn(B, b)
+    pos = F.struct(*[F.col(c) for c in ordering])
+    per = []
+    for o, (k, e) in specs.items():
+        if k == "last":
+            per.append(F.max_by(e, F.when(e.isNotNull(), pos)).alias(f"_pb_{o}"))
+        else:
+            per.append({"max": F.max, "min": F.min, "sum": F.sum}[k](e).alias(f"_pb_{o}"))
+    pb = x.groupBy(*keys, B).agg(*per)
+    wb = Window.partitionBy(*keys).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = pb.select(*keys, B, *[
+        (F.last(F.col(f"_pb_{o}"), ignorenulls=True) if k == "last" else
+         {"max": F.max, "min": F.min, "sum": F.sum}[k](F.col(f"_pb_{o}"))).over(wb).alias(f"_c_{o}")
+        for o, (k, _) in specs.items()])
+    x = x.join(carry, keys + [B], "left")
+    w = Window.partitionBy(*keys, B).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, hi)
+    cols = []
+    for o, (k, e) in specs.items():
+        inner, c = within(k, e, w), F.col(f"_c_{o}")
+        if k == "max":
+            v = F.greatest(inner, c)
+        elif k == "min":
+            v = F.least(inner, c)
+        elif k == "sum":
+            v = F.when(inner.isNull() & c.isNull(), F.lit(None)).otherwise(
+                F.coalesce(inner, F.lit(0)) + F.coalesce(c, F.lit(0)))
+        else:
+            v = F.coalesce(inner, c)
+        cols.append(v.alias(o))
+    return x.select(*[c for c in df.columns], *cols)

@@ -9,7 +9,7 @@ from panelcast.operators import windows as W
 from panelcast.operators.graph import lagged_global_total, lagged_neighbour_sum
 from panelcast.plans import driver as D
 from panelcast.plans.registry import query
-from panelcast.plans.sqlfrag import EDGES, PANEL, with_
+from panelcast.plans.sqlfrag import EDGES, EV as EV_SQL, PANEL, REPORTS, with_
 
 
 @query("panel_dense_backbone", covers="J6 J1 P11 F7", sql=with_(PANEL) + """
@@ -50,3 +50,183 @@ def panel_lag_features(spark, sf):
     x = lag_feature_block(D.hourly_panel(spark, sf))
     return x.select("entity_id", "hour", "y", "lag_1", "lag_3", "lag_6", "lag_12", "alarms_in_last_24h",
                     "hours_since_last", "is_weekend", "is_night")
+
+
+def observed_cells(spark, sf):
+    """Sparse (entity, hour) cells that have at least one event."""
+    ev = D.entity_events(spark, sf)
+    from panelcast.functions.calendar import hour_index
+    return ev.groupBy("entity_id", "hour").agg(
+        F.max(F.when(F.col("event_type") == D.EVENT_TYPE_TARGET, 1).otherwise(0)).alias("y"),
+        F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("value_avg")).withColumn("t", hour_index("hour"))
+
+
+CELLS_SQL = """cells AS (
+  SELECT entity_id, hour, CAST(date_diff('hour', TIMESTAMP '1970-01-01', hour) AS BIGINT) AS t,
+         max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS y, count(*) AS n_events, avg(value) AS value_avg
+  FROM ev GROUP BY entity_id, hour)"""
+
+
+@query("panel_clock_lag_features", covers="W3 W7", sql=with_(EV_SQL, CELLS_SQL) + """
+SELECT c.entity_id, c.hour, c.y,
+  CAST(COALESCE((SELECT max(b.y) FROM cells b WHERE b.entity_id = c.entity_id AND b.t = c.t - 1), 0) AS BIGINT) AS y_at_1,
+  CAST(COALESCE((SELECT max(b.y) FROM cells b WHERE b.entity_id = c.entity_id AND b.t = c.t - 24), 0) AS BIGINT) AS y_at_24,
+  CAST(COALESCE((SELECT sum(b.y) FROM cells b WHERE b.entity_id = c.entity_id AND b.t >= c.t - 24 AND b.t < c.t), 0)
+       AS DOUBLE) AS sum_24h,
+  CAST(CASE WHEN (SELECT max(b.t) FROM cells b WHERE b.entity_id = c.entity_id AND b.t < c.t AND b.y = 1) IS NULL
+       THEN (SELECT count(*) FROM cells b WHERE b.entity_id = c.entity_id AND b.t < c.t)
+       ELSE greatest(c.t - (SELECT max(b.t) FROM cells b WHERE b.entity_id = c.entity_id AND b.t < c.t AND b.y = 1) - 1, 0)
+       END AS DOUBLE) AS hours_since_clock
+FROM cells c""")
+def panel_clock_lag_features(spark, sf):
+    cells = observed_cells(spark, sf)
+    bucket = D.PANEL_BUCKET_ROWS
+
+    def feats(w):
+        return [F.coalesce(F.sum("y").over(w.rangeBetween(-1, -1)), F.lit(0).cast("long")).alias("y_at_1"),
+                F.coalesce(F.sum("y").over(w.rangeBetween(-24, -24)), F.lit(0).cast("long")).alias("y_at_24"),
+                F.coalesce(F.sum("y").over(w.rangeBetween(-24, -1)), F.lit(0)).cast("double").alias("sum_24h")]
+
+    x = W.apply_windowed(cells, feats, lead_in=24, bucket_rows=bucket)
+    x = W.prefix_scan(x, {"_last": ("max", F.when(F.col("y") == 1, F.col("t"))), "_n": ("sum", F.lit(1))},
+                      "entity_id", "t", inclusive=False, bucket_rows=bucket)
+    since = F.when(F.col("_last").isNull(), F.coalesce(F.col("_n"), F.lit(0))).otherwise(
+        F.greatest(F.col("t") - F.col("_last") - 1, F.lit(0)))
+    return x.select("entity_id", "hour", "y", "y_at_1", "y_at_24", "sum_24h", since.cast("double").alias("hours_since_clock"))
+
+
+@query("panel_velocity_zscore", covers="W8 W10", sql=with_(PANEL) + """
+SELECT entity_id, hour,
+  round(COALESCE(value_avg - lag(value_avg, 24) OVER w, 0), 6) AS velocity_24,
+  round(COALESCE(value_avg - lag(value_avg, 3) OVER w, 0), 6) AS velocity_3,
+  round(COALESCE((value_avg - avg(value_avg) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW))
+        / (stddev_samp(value_avg) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) + 1e-9), 0), 6) AS zscore_24
+FROM panel WINDOW w AS (PARTITION BY entity_id ORDER BY hour)""")
+def panel_velocity_zscore(spark, sf):
+    def feats(w):
+        return [D.r6(W.diff_fill("value_avg", 24, w)).alias("velocity_24"),
+                D.r6(W.diff_fill("value_avg", 3, w)).alias("velocity_3"),
+                D.r6(W.rolling_zscore("value_avg", 24, w)).alias("zscore_24")]
+
+    x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=24, bucket_rows=D.PANEL_BUCKET_ROWS)
+    return x.select("entity_id", "hour", "velocity_24", "velocity_3", "zscore_24")
+
+
+@query("panel_ewm", covers="W9", sql=with_(PANEL, """
+p AS (SELECT entity_id, hour, t, value_avg AS x FROM panel),
+e24 AS (SELECT a.entity_id, a.hour, sum(pow(23.0 / 25.0, a.t - 1 - b.t) * b.x) / sum(pow(23.0 / 25.0, a.t - 1 - b.t)) AS v
+        FROM p a JOIN p b ON a.entity_id = b.entity_id AND b.t < a.t GROUP BY a.entity_id, a.hour),
+e6 AS (SELECT a.entity_id, a.hour, sum(pow(5.0 / 7.0, a.t - b.t) * b.x) / sum(pow(5.0 / 7.0, a.t - b.t)) AS v
+       FROM p a JOIN p b ON a.entity_id = b.entity_id AND b.t <= a.t GROUP BY a.entity_id, a.hour)""") + """
+SELECT p.entity_id, p.hour, round(COALESCE(e24.v, 0), 6) AS ewm24_prev, round(COALESCE(e6.v, 0), 6) AS ewm6
+FROM p LEFT JOIN e24 USING (entity_id, hour) LEFT JOIN e6 USING (entity_id, hour)""")
+def panel_ewm(spark, sf):
+    lead = W.ewm_cutoff_rows(24)
+    bucket = max(D.PANEL_BUCKET_ROWS, 2 * lead)
+
+    def feats(w):
+        return [D.r6(W.ewm_mean("value_avg", 24, w, shifted=True)).alias("ewm24_prev"),
+                D.r6(W.ewm_mean("value_avg", 6, w, shifted=False)).alias("ewm6")]
+
+    x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=lead, bucket_rows=bucket)
+    return x.select("entity_id", "hour", "ewm24_prev", "ewm6")
+
+
+@query("panel_neighbour_totals", covers="J15 W4 W5 A7", sql=with_(PANEL, EDGES, """
+tot AS (SELECT hour + INTERVAL 1 HOUR AS hour, sum(y) AS total FROM panel GROUP BY hour),
+nb AS (SELECT e.src AS entity_id, p.hour + INTERVAL 1 HOUR AS hour, sum(p.y) AS s
+       FROM panel p JOIN edges e ON p.entity_id = e.dst GROUP BY e.src, p.hour)""") + """
+SELECT p.entity_id, p.hour, p.y, CAST(COALESCE(tot.total, 0) AS DOUBLE) AS total_lag1,
+       CAST(COALESCE(nb.s, 0) AS DOUBLE) AS neighbour_lag1
+FROM panel p LEFT JOIN tot USING (hour) LEFT JOIN nb USING (entity_id, hour)""")
+def panel_neighbour_totals(spark, sf):
+    p = D.hourly_panel(spark, sf).select("entity_id", "hour", "y")
+    x = lagged_global_total(p, "y", out="total_lag1")
+    x = lagged_neighbour_sum(x, D.edges(spark), "y", out="neighbour_lag1")
+    return x.select("entity_id", "hour", "y", "total_lag1", "neighbour_lag1")
+
+
+@query("hourly_totals", covers="A7", sql=with_(PANEL) + """
+SELECT hour, CAST(sum(y) AS BIGINT) AS total_active, CAST(sum(n_events) AS BIGINT) AS total_events FROM panel GROUP BY hour""")
+def hourly_totals(spark, sf):
+    p = D.hourly_panel(spark, sf)
+    return p.groupBy("hour").agg(F.sum("y").alias("total_active"), F.sum("n_events").alias("total_events"))
+
+
+def wide_panel(spark, sf):
+    """Model-panel shape: column families by prefix (hour_, day_, msg_, rep_) + calendar columns."""
+    p = D.hourly_panel(spark, sf).withColumn("day", F.to_date("hour"))
+    daily = p.groupBy("entity_id", "day").agg(F.max("value_max").alias("day_value_max"))
+    rep = D.daily_reports(spark, sf).select("day", F.col("n_chars").alias("rep_n_chars"))
+    x = (p.join(daily, ["entity_id", "day"], "left").join(rep, ["day"], "left")
+          .select("entity_id", "hour", "t", "y",
+                  F.col("value_avg").alias("hour_value_avg"),
+                  (F.col("n_events") > 0).alias("hour_busy"),
+                  "day_value_max",
+                  F.weekday("hour").alias("day_of_week"),
+                  F.col("n_events").alias("msg_n_events"),
+                  F.coalesce("rep_n_chars", F.lit(0).cast("long")).alias("rep_n_chars")))
+    return x
+
+
+WIDE_SQL = """daily AS (SELECT entity_id, CAST(hour AS DATE) AS day, max(value_max) AS day_value_max FROM panel GROUP BY 1, 2),
+wide AS (
+  SELECT p.entity_id, p.hour, p.t, p.y, p.value_avg AS hour_value_avg, p.n_events > 0 AS hour_busy, d.day_value_max,
+         CAST(isodow(p.hour) - 1 AS INTEGER) AS day_of_week, p.n_events AS msg_n_events,
+         COALESCE(r.n_chars, 0) AS rep_n_chars
+  FROM panel p LEFT JOIN daily d ON d.entity_id = p.entity_id AND d.day = CAST(p.hour AS DATE)
+  LEFT JOIN reports r ON r.day = CAST(p.hour AS DATE))"""
+
+# Leak-free shifts per column family (fixed values of the product's model panel)
+FAMILY_SHIFTS = {"rep_": 24, "msg_": 1, "hour_": 1, "day_": 24}
+CALENDAR_COLUMNS = ("day_datetime", "day_sunrise", "day_sunset", "day_moonphase", "day_of_week")
+
+
+def family_columns(columns, shifts=FAMILY_SHIFTS, exclude=CALENDAR_COLUMNS):
+    """Columns selected by family prefix, calendar columns excluded."""
+    out = {}
+    for c in columns:
+        for prefix, k in shifts.items():
+            if c.startswith(prefix) and c not in exclude:
+                out[c] = k
+    return out
+
+
+@query("panel_leakfree_shift", covers="W12 P2 J2", sql=with_(PANEL, REPORTS, WIDE_SQL) + """
+SELECT entity_id, hour, y,
+  round(COALESCE(lag(hour_value_avg, 1) OVER w, 0), 6) AS hour_value_avg,
+  COALESCE(lag(hour_busy, 1) OVER w, false) AS hour_busy,
+  round(COALESCE(lag(day_value_max, 24) OVER w, 0), 6) AS day_value_max,
+  day_of_week,
+  COALESCE(lag(msg_n_events, 1) OVER w, 0) AS msg_n_events,
+  COALESCE(lag(rep_n_chars, 24) OVER w, 0) AS rep_n_chars
+FROM wide WINDOW w AS (PARTITION BY entity_id ORDER BY hour)""")
+def panel_leakfree_shift(spark, sf):
+    wide = wide_panel(spark, sf)
+    shifted = W.family_shift(wide, family_columns(wide.columns), bucket_rows=D.PANEL_BUCKET_ROWS)
+    return shifted.select("entity_id", "hour", "y", D.r6("hour_value_avg").alias("hour_value_avg"), "hour_busy",
+                          D.r6("day_value_max").alias("day_value_max"), "day_of_week", "msg_n_events", "rep_n_chars")
+
+
+@query("column_family_projection", covers="P1 P2", sql=with_(PANEL, REPORTS, WIDE_SQL) + """
+SELECT entity_id AS region_id, hour AS datetime_hour, round(hour_value_avg, 6) AS hour_value_avg, hour_busy,
+       round(day_value_max, 6) AS day_value_max FROM wide""")
+def column_family_projection(spark, sf):
+    import re
+    wide = wide_panel(spark, sf)
+    weather = [c for c in wide.columns if re.match(r"^(hour_|day_)", c) and c not in CALENDAR_COLUMNS]
+    dbl = {c for c, t in wide.dtypes if t == "double"}
+    return (wide.withColumnsRenamed({"entity_id": "region_id", "hour": "datetime_hour"})
+                .select("region_id", "datetime_hour", *[D.r6(c).alias(c) if c in dbl else F.col(c) for c in weather]))
+
+
+@query("last_state_per_entity", covers="W13", sql=with_(EV_SQL, CELLS_SQL) + """
+SELECT entity_id, max(hour) AS last_hour, arg_max(y, hour) AS last_y, round(arg_max(value_avg, hour), 6) AS last_value_avg,
+       max(CASE WHEN y = 1 THEN hour END) AS last_event_hour
+FROM cells GROUP BY entity_id""")
+def last_state_per_entity(spark, sf):
+    cells = observed_cells(spark, sf)
+    last = W.last_row_per_entity(cells, "entity_id", "hour", ["y", "value_avg"])
+    ev = cells.groupBy("entity_id").agg(F.max(F.when(F.col("y") == 1, F.col("hour"))).alias("last_event_hour"))
+    return last.join(ev, "entity_id").select("entity_id", F.col("hour").alias("last_hour"), F.col("y").alias("last_y"),
+                                             D.r6("value_avg").alias("last_value_avg"), "last_event_hour")
