@@ -49,9 +49,14 @@ def from_hour_index(c) -> Column:
     return F.timestamp_micros(col(c) * F.lit(3_600_000_000)).cast("timestamp_ntz")
 
 
+def ts_diff(unit: str, start, end) -> Column:
+    """``timestampdiff(unit, start, end)``: whole units from start to end (truncating)."""
+    return F.timestamp_diff(unit, col(start), col(end))
+
+
 def hours_between(later, earlier) -> Column:
     """whole-hour difference."""
-    return F.timestampdiff("HOUR", col(earlier), col(later))
+    return ts_diff("HOUR", earlier, later)
 
 
 def weekday_mon0(c) -> Column:

@@ -27,24 +27,28 @@ def covered_hours(iv: DataFrame, start: str = "start", end: str = "end", hour: s
     return iv.withColumn(hour, F.explode(F.sequence(floor_hour(start), floor_hour(end), F.expr("INTERVAL 1 HOUR"))))
 
 
-def overlap_minutes(start: str = "start", end: str = "end", hour: str = "hour"):
-    """minutes of [start, end) inside [hour, hour + 1h) (negative when disjoint)."""
+def overlap_micros(start: str = "start", end: str = "end", hour: str = "hour"):
+    """microseconds of [start, end) inside [hour, hour + 1h) (negative when disjoint)."""
     lo = F.greatest(F.col(start), F.col(hour))
     hi = F.least(F.col(end), add_hours(hour, 1))
-    return F.timestampdiff("MICROSECOND", lo, hi) / F.lit(60_000_000.0)
+    return F.timestamp_diff("MICROSECOND", lo, hi)
 
 
 def expand_minutes(iv: DataFrame, start: str = "start", end: str = "end", hour: str = "hour") -> DataFrame:
-    """Interval -> (hour, overlap minutes); zero-overlap hours dropped."""
-    x = covered_hours(iv, start, end, hour).withColumn("minutes", overlap_minutes(start, end, hour))
-    return x.filter(F.col("minutes") > 0)
+    """Interval -> (hour, overlap); zero-overlap hours dropped.
+
+    Overlap is kept as integer microseconds (exact sums in any order) plus minutes for display.
+    """
+    x = covered_hours(iv, start, end, hour).withColumn("overlap_us", overlap_micros(start, end, hour))
+    return x.filter(F.col("overlap_us") > 0).withColumn("minutes", F.col("overlap_us") / F.lit(60_000_000.0))
 
 
-def hourly_minutes(expanded: DataFrame, keys: list[str], hour: str = "hour", cap: float = 60.0) -> DataFrame:
+def hourly_minutes(expanded: DataFrame, keys: list[str], hour: str = "hour", cap_minutes: int = 60) -> DataFrame:
     """A2: sum of overlap minutes per (keys, hour) clipped to [0, cap], with an active flag."""
-    return expanded.groupBy(*keys, hour).agg(
-        F.least(F.greatest(F.sum("minutes"), F.lit(0.0)), F.lit(cap)).alias("minutes_in_hour"),
-        F.max(F.lit(1)).alias("active"))
+    cap = F.lit(cap_minutes * 60_000_000).cast("long")
+    us = F.least(F.greatest(F.sum("overlap_us"), F.lit(0).cast("long")), cap)
+    return expanded.groupBy(*keys, hour).agg((us / F.lit(60_000_000.0)).alias("minutes_in_hour"),
+                                              F.max(F.lit(1)).alias("active"))
 
 
 def overlap_flags(iv: DataFrame, grid: DataFrame, keys: list[str], start: str = "start", end: str = "end",

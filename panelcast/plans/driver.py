@@ -122,5 +122,16 @@ def topic_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r6(c: Column | str) -> Column:
-    """Round a double to 6 places; both engines agree at this precision."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round a double to 6 places as ``round(x * 1e6) / 1e6`` on the binary value.
+
+    Spark's ``round(x, 6)`` rounds the shortest decimal string half-up, which differs from the
+    binary-value rounding of other engines on ties; scaling first makes both identical.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    return F.round(x.cast("double") * F.lit(1e6)) / F.lit(1e6)
+
+
+def money_sum(c: Column | str) -> Column:
+    """Exact sum of 2-decimal amounts (DECIMAL), returned as DOUBLE."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.sum(x.cast("decimal(18,2)")).cast("double")

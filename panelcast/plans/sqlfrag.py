@@ -38,7 +38,7 @@ reports AS (
 
 TOPICS = """topics AS (
   SELECT vec_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(vec_id % 720 AS BIGINT)) AS hour,
-         list_transform(embedding, x -> CAST(x AS DOUBLE)) AS vec
+         list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vec
   FROM embeddings)"""
 
 
