@@ -4,6 +4,7 @@ from panelcast.plans import registry  # noqa: F401
 from panelcast.plans import q_panel  # noqa: F401
 from panelcast.plans import q_events  # noqa: F401
 from panelcast.plans import q_analytics  # noqa: F401
+from panelcast.plans import q_serving  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
