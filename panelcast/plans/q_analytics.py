@@ -349,13 +349,20 @@ l AS (SELECT y, value_avg, """ + ", ".join(f"lag(value_avg, {k}) OVER w AS l{k}"
     [f"SELECT 0 AS lag, round(corr(y, value_avg), 6) AS corr FROM l"] +
     [f"SELECT {k}, round(corr(y, l{k}), 6) FROM l" for k in range(1, MAX_XLAG + 1)]))
 def lagged_crosscorr(spark, sf):
+    c = lagged_corr_raw(spark, sf)
+    return c.select("lag", D.r6("corr").alias("corr"))
+
+
+def lagged_corr_raw(spark, sf):
+    """corr(y, lag_k(value_avg)) for k = 0..MAX_XLAG in one window pass and one aggregate."""
+
     def feats(w):
         return [F.lag("value_avg", k).over(w).alias(f"l{k}") for k in range(1, MAX_XLAG + 1)]
 
     x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=MAX_XLAG, bucket_rows=D.PANEL_BUCKET_ROWS)
     wide = x.agg(F.corr("y", "value_avg").alias("c0"), *[F.corr("y", f"l{k}").alias(f"c{k}") for k in range(1, MAX_XLAG + 1)])
     long = wide.unpivot([], [f"c{k}" for k in range(MAX_XLAG + 1)], "name", "corr")
-    return long.select(F.substring("name", 2, 3).cast("int").alias("lag"), D.r6("corr").alias("corr"))
+    return long.select(F.substring("name", 2, 3).cast("int").alias("lag"), "corr")
 
 
 PROFILE_COLS = ["disc", "tax", "l_quantity", "l_extendedprice"]
