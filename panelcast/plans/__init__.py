@@ -6,6 +6,7 @@ from panelcast.plans import q_events  # noqa: F401
 from panelcast.plans import q_analytics  # noqa: F401
 from panelcast.plans import q_serving  # noqa: F401
 from panelcast.plans import q_misc  # noqa: F401
+from panelcast.plans import q_text  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
