@@ -82,17 +82,46 @@ def unpivot_long(df: DataFrame, keys: list[str], cols: list[str], var: str, val:
     return out.filter(F.col(val).isNotNull()) if drop_null else out
 
 
+def safe_corr(a, b) -> Column:
+    """Pearson correlation that is NULL (not an ANSI divide-by-zero error) for a constant column."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    a2 = F.when(b.isNotNull(), a)       # pairwise-complete rows only, like corr()
+    b2 = F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
+
+
 def corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair in ONE aggregation pass (long output)."""
     aggs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
-            aggs.append(F.corr(a, b).alias(f"{a}|{b}"))
+            aggs.append(safe_corr(a, b).alias(f"{a}|{b}"))
     wide = df.agg(*aggs)
     long = wide.unpivot([], [f"`{c}`" for c in wide.columns], "pair", "corr")
     return long.select(F.split("pair", r"\|").getItem(0).alias("a"), F.split("pair", r"\|").getItem(1).alias("b"), "corr")
 
 
+def corr_matrix_vector(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pearson matrix of many dense columns with ``ml.stat.Correlation`` (one distributed Gramian;
+    only the bounded len(cols) x len(cols) matrix reaches the driver).  Long output, a <= b; a
+    constant column gives NULL."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="keep").transform(df.select(*cols))
+    m = Correlation.corr(vec, "_v").first()[0].toArray()
+    sd = df.agg(*[F.stddev_pop(c).alias(c) for c in cols]).first()
+    const = {c for c in cols if not sd[c]}
+    rows = []
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            v = float(m[i, j])
+            bad = math.isnan(v) or a in const or cols[j] in const
+            rows.append((a, cols[j], None if bad else v))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
+
+
 def kde_by_class(df: DataFrame, value: str, cls: str, points: list[float]) -> DataFrame:
     """Gaussian KDE with Scott's bandwidth per class, evaluated on fixed points in one pass."""
     stats = df.groupBy(cls).agg(F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd"))

@@ -37,15 +37,20 @@ def entity_window(entity: str = "entity_id", t: str = "t", bucketed: bool = Fals
 
 
 def with_lead_in(df: DataFrame, t: str, bucket_rows: int, lead_in: int) -> DataFrame:
-    """Assign time buckets and copy the tail ``lead_in`` rows of each bucket into the next one."""
-    if lead_in > bucket_rows:
-        raise ValueError("lead_in must not exceed bucket_rows")
+    """Assign time buckets and copy every row into the following buckets that need it as lead-in.
+
+    A row at position t is a lead-in row of bucket b' > b(t) when b' * bucket_rows - t <= lead_in,
+    so each row is copied floor((lead_in + t mod bucket_rows) / bucket_rows) times (a generator, no
+    join); lead_in may exceed bucket_rows.
+    """
     b = F.floor(F.col(t) / F.lit(bucket_rows))
     own = df.withColumn(B, b).withColumn(LEAD, F.lit(False))
     if lead_in == 0:
         return own
-    tail = (df.filter(F.pmod(F.col(t), F.lit(bucket_rows)) >= F.lit(bucket_rows - lead_in))
-              .withColumn(B, b + 1).withColumn(LEAD, F.lit(True)))
+    copies = F.floor((F.lit(lead_in) + F.pmod(F.col(t), F.lit(bucket_rows))) / F.lit(bucket_rows)).cast("int")
+    tail = (df.withColumn("_copies", copies).filter(F.col("_copies") >= 1)
+              .withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+              .withColumn(B, b + F.col("_j")).withColumn(LEAD, F.lit(True)).drop("_copies", "_j"))
     return own.unionByName(tail)
 
 

@@ -322,7 +322,7 @@ h AS (SELECT *, CAST(row_number() OVER (PARTITION BY entity_id, grp ORDER BY hou
     + " " + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(corr(y, {c}), 6) AS corr FROM h" for c in CORR_FEATURES))
 def corr_vector(spark, sf):
     x = lag_feature_block(D.hourly_panel(spark, sf))
-    wide = x.agg(*[F.corr("y", c).alias(c) for c in CORR_FEATURES])
+    wide = x.agg(*[G.safe_corr("y", c).alias(c) for c in CORR_FEATURES])
     long = wide.unpivot([], CORR_FEATURES, "feature", "corr")
     return long.select("feature", D.r6("corr").alias("corr"))
 
@@ -336,7 +336,7 @@ def entity_corr(spark, sf):
     p = D.hourly_panel(spark, sf).select("hour", "entity_id", "y")
     ents = list(range(D.N_ENTITIES))
     wide = G.pivot_wide(p, ["hour"], "entity_id", ents, F.max("y"), prefix="e")
-    c = G.corr_matrix_wide(wide, [f"e{e}" for e in ents])
+    c = G.corr_matrix_vector(wide, [f"e{e}" for e in ents])
     return c.select("a", "b", D.r6(F.when(F.isnan("corr"), None).otherwise(F.col("corr"))).alias("corr"))
 
 
@@ -360,7 +360,8 @@ def lagged_corr_raw(spark, sf):
         return [F.lag("value_avg", k).over(w).alias(f"l{k}") for k in range(1, MAX_XLAG + 1)]
 
     x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=MAX_XLAG, bucket_rows=D.PANEL_BUCKET_ROWS)
-    wide = x.agg(F.corr("y", "value_avg").alias("c0"), *[F.corr("y", f"l{k}").alias(f"c{k}") for k in range(1, MAX_XLAG + 1)])
+    wide = x.agg(G.safe_corr("y", "value_avg").alias("c0"),
+                 *[G.safe_corr("y", f"l{k}").alias(f"c{k}") for k in range(1, MAX_XLAG + 1)])
     long = wide.unpivot([], [f"c{k}" for k in range(MAX_XLAG + 1)], "name", "corr")
     return long.select(F.substring("name", 2, 3).cast("int").alias("lag"), "corr")
 
