@@ -9,6 +9,8 @@ from panelcast.plans import q_misc  # noqa: F401
 from panelcast.plans import q_text  # noqa: F401
 from panelcast.plans import q_ml  # noqa: F401
 from panelcast.plans import q_stream  # noqa: F401
+from panelcast.plans import q_models  # noqa: F401
+from panelcast.plans import q_forecast  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
