@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # source feeds include cp1251 CSVs: allow every Java charset in CSV/JSON readers and writers
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 
