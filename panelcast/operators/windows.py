@@ -37,21 +37,18 @@ def entity_window(entity: str = "entity_id", t: str = "t", bucketed: bool = Fals
 
 
 def with_lead_in(df: DataFrame, t: str, bucket_rows: int, lead_in: int) -> DataFrame:
-    """Assign time buckets and copy every row into the following buckets that need it as lead-in.
+    """Assign time buckets; every row is emitted for its own bucket and for each later bucket that
+    needs it as lead-in (b' * bucket_rows - t <= lead_in), flagged with ``_lead_in``.
 
-    A row at position t is a lead-in row of bucket b' > b(t) when b' * bucket_rows - t <= lead_in,
-    so each row is copied floor((lead_in + t mod bucket_rows) / bucket_rows) times (a generator, no
-    join); lead_in may exceed bucket_rows.
+    One generator over the input (no union, so the input plan is evaluated once); lead_in may exceed
+    bucket_rows.
     """
     b = F.floor(F.col(t) / F.lit(bucket_rows))
-    own = df.withColumn(B, b).withColumn(LEAD, F.lit(False))
     if lead_in == 0:
-        return own
+        return df.withColumn(B, b).withColumn(LEAD, F.lit(False))
     copies = F.floor((F.lit(lead_in) + F.pmod(F.col(t), F.lit(bucket_rows))) / F.lit(bucket_rows)).cast("int")
-    tail = (df.withColumn("_copies", copies).filter(F.col("_copies") >= 1)
-              .withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-              .withColumn(B, b + F.col("_j")).withColumn(LEAD, F.lit(True)).drop("_copies", "_j"))
-    return own.unionByName(tail)
+    x = df.withColumn("_j", F.explode(F.sequence(F.lit(0), copies)))
+    return x.withColumn(B, b + F.col("_j")).withColumn(LEAD, F.col("_j") > 0).drop("_j")
 
 
 def apply_windowed(df: DataFrame, features: Callable[[WindowSpec], list[Column]], entity: str = "entity_id",
@@ -74,6 +71,33 @@ def apply_windowed(df: DataFrame, features: Callable[[WindowSpec], list[Column]]
     return out
 
 
+def running_carry(df: DataFrame, specs: dict[str, tuple[str, Column]], entity: str = "entity_id", t: str = "t",
+                  bucket_rows: int = 1) -> DataFrame:
+    """Per (entity, bucket): the max/min of ``expr`` over all earlier buckets (size rows / bucket_rows).
+
+    Joined before an ``apply_windowed`` pass it lets unbounded running max/min features be evaluated in
+    the same window as the bounded ones.
+    """
+    b = F.floor(F.col(t) / F.lit(bucket_rows))
+    agg = {"max": F.max, "min": F.min}
+    per = df.groupBy(F.col(entity), b.alias(B)).agg(*[agg[k](e).alias(f"_pb_{o}") for o, (k, e) in specs.items()])
+    wb = Window.partitionBy(entity).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(entity, B, *[agg[k](F.col(f"_pb_{o}")).over(wb).alias(o) for o, (k, _) in specs.items()])
+
+
+def hours_since_in_window(y: str, t: str, w: WindowSpec, carry_last: str | None = None,
+                          carry_first: str | None = None) -> Column:
+    """W6 inside a window pass: t - (last event strictly before + 1), or t - first row of the entity."""
+    ev = F.when(F.col(y) == 1, F.col(t))
+    prev = w.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max(ev).over(prev)
+    first = F.min(F.col(t)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    if carry_last:
+        last = F.greatest(last, F.col(carry_last))
+        first = F.least(first, F.col(carry_first))
+    return (F.col(t) - F.coalesce(last + 1, first)).cast("double")
+
+
 # ---------------------------------------------------------------- bounded-frame features
 
 def lag_fill(c: str, k: int, w: WindowSpec, fill=0) -> Column:
@@ -115,6 +139,30 @@ def ewm_mean(c: str, span: float, w: WindowSpec, shifted: bool, eps: float = 1e-
     return F.coalesce(F.try_divide(acc["num"], acc["den"]), F.lit(0.0))
 
 
+def ewm_max_bucket(span: float, lead_in: int, max_log: float = 600.0) -> int:
+    """Largest bucket for :func:`ewm_mean_bucketed` keeping (1/decay)^(bucket + lead_in) inside double range."""
+    decay = 1.0 - 2.0 / (span + 1.0)
+    return max(1, int(max_log / -math.log(decay)) - lead_in)
+
+
+def ewm_mean_bucketed(c: str, span: float, w: WindowSpec, t: str, bucket_rows: int, lead_in: int,
+                      shifted: bool) -> Column:
+    """W9 in linear time inside a bucketed window (same result as :func:`ewm_mean`).
+
+    With base = first position of the bucket's lead-in, y_t = sum r^(t-s) x_s / sum r^(t-s) is
+    r^(t-base) * S_t / (r^(t-base) * Q_t) where S_t, Q_t are running sums of r^-(s-base) x_s and r^-(s-base):
+    O(1) per row, no per-row arrays.  Terms older than the lead-in weigh below the EWM cut-off.
+    """
+    decay = 1.0 - 2.0 / (span + 1.0)
+    base = F.col(B) * F.lit(bucket_rows) - F.lit(lead_in)
+    u = (F.col(t) - base).cast("double")
+    inv = F.pow(F.lit(1.0 / decay), u)
+    frame = w.rowsBetween(Window.unboundedPreceding, -1 if shifted else 0)
+    num = F.sum(F.col(c).cast("double") * inv).over(frame)
+    den = F.sum(inv).over(frame)
+    return F.coalesce(F.try_divide(num, den), F.lit(0.0))
+
+
 # ---------------------------------------------------------------- unbounded running state
 
 def hours_since_last_event(df: DataFrame, y: str = "y", entity: str = "entity_id", t: str = "t",

@@ -21,14 +21,22 @@ def panel_dense_backbone(spark, sf):
 
 
 def lag_feature_block(panel, bucket_rows=D.PANEL_BUCKET_ROWS):
-    """W1 + W2 + F9 in one window pass, then W6 with the cross-bucket carry."""
+    """W1 + W2 + W6 + F9 in ONE window pass over (entity, time bucket).
+
+    Hours-since needs the last event before each bucket: a per-bucket carry (rows / bucket_rows) is
+    joined first, so the unbounded running max shares the exchange and sort of the bounded features.
+    """
+    carry = None
+    if bucket_rows:
+        carry = W.running_carry(panel, {"_c_last": ("max", F.when(F.col("y") == 1, F.col("t"))),
+                                        "_c_first": ("min", F.col("t"))}, bucket_rows=bucket_rows)
 
     def feats(w):
+        hs = W.hours_since_in_window("y", "t", w, "_c_last" if bucket_rows else None, "_c_first" if bucket_rows else None)
         return [W.lag_fill("y", k, w).alias(f"lag_{k}") for k in (1, 3, 6, 12)] + [
-            W.rolling_sum_prev("y", 24, w).alias("alarms_in_last_24h")]
+            W.rolling_sum_prev("y", 24, w).alias("alarms_in_last_24h"), hs.alias("hours_since_last")]
 
-    x = W.apply_windowed(panel, feats, lead_in=24, bucket_rows=bucket_rows)
-    x = W.hours_since_last_event(x, "y", out="hours_since_last", bucket_rows=bucket_rows)
+    x = W.apply_windowed(panel, feats, lead_in=24, bucket_rows=bucket_rows, carry=carry)
     return x.withColumn("is_weekend", is_weekend("hour")).withColumn("is_night", is_night("hour"))
 
 
@@ -121,12 +129,15 @@ e6 AS (SELECT a.entity_id, a.hour, sum(pow(5.0 / 7.0, a.t - b.t) * b.x) / sum(po
 SELECT p.entity_id, p.hour, round(COALESCE(e24.v, 0), 6) AS ewm24_prev, round(COALESCE(e6.v, 0), 6) AS ewm6
 FROM p LEFT JOIN e24 USING (entity_id, hour) LEFT JOIN e6 USING (entity_id, hour)""")
 def panel_ewm(spark, sf):
-    lead = W.ewm_cutoff_rows(24)
-    bucket = max(D.PANEL_BUCKET_ROWS, 2 * lead)
+    lead = W.ewm_cutoff_rows(6)
+    lead24 = W.ewm_cutoff_rows(24)
+    lead = max(lead, lead24)
+    # bucket: several lead-ins long, but small enough that r^-(bucket+lead) stays finite for span 6
+    bucket = min(max(D.PANEL_BUCKET_ROWS, 2 * lead), W.ewm_max_bucket(6, lead))
 
     def feats(w):
-        return [D.r6(W.ewm_mean("value_avg", 24, w, shifted=True)).alias("ewm24_prev"),
-                D.r6(W.ewm_mean("value_avg", 6, w, shifted=False)).alias("ewm6")]
+        return [D.r6(W.ewm_mean_bucketed("value_avg", 24, w, "t", bucket, lead, shifted=True)).alias("ewm24_prev"),
+                D.r6(W.ewm_mean_bucketed("value_avg", 6, w, "t", bucket, lead, shifted=False)).alias("ewm6")]
 
     x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=lead, bucket_rows=bucket)
     return x.select("entity_id", "hour", "ewm24_prev", "ewm6")

@@ -17,14 +17,28 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Tables whose per-row work is CPU-heavy (regex cleaning, tokenising, HTML parsing)
+CPU_HEAVY = {"documents", "conversations", "pages"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               where: Column | None = None) -> DataFrame:
-    """Parquet scan with projection and pushdown."""
+               where: Column | None = None, spread: bool | None = None) -> DataFrame:
+    """Parquet scan with projection and pushdown.
+
+    ``spread`` (default: on for CPU-heavy text tables): when the scan yields fewer splits than the
+    cluster has cores (a few large row groups), rows are round-robin repartitioned right after the
+    pruned scan so the expensive per-row work runs on every core.  Large inputs already arrive in
+    many splits and are left untouched.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
     if where is not None:
         df = df.filter(where)
     if columns:
         df = df.select(*columns)
+    if spread if spread is not None else name in CPU_HEAVY:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
     return df
 
 

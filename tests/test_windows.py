@@ -69,3 +69,19 @@ def test_prefix_scan_last_and_sum_bucketed(spark):
     exp_ff = pdf.groupby("k")["v"].ffill()
     np.testing.assert_allclose(got["ff"].fillna(-1).to_numpy(), exp_ff.fillna(-1).to_numpy())
     assert got["s"].tolist() == [i + 1 for i in range(10)] + [i + 1 for i in range(5)]
+
+
+def test_linear_bucketed_ewm_matches_pandas(spark):
+    pdf = panel_pdf()
+    df = spark.createDataFrame(pdf)
+    lead = max(W.ewm_cutoff_rows(24), W.ewm_cutoff_rows(6))
+    bucket = min(2 * lead, W.ewm_max_bucket(6, lead))
+
+    def feats(w):
+        return [W.ewm_mean_bucketed("x", 24, w, "t", bucket, lead, shifted=True).alias("ewm"),
+                W.ewm_mean_bucketed("x", 6, w, "t", bucket, lead, shifted=False).alias("ewm6")]
+
+    got = W.apply_windowed(df, feats, lead_in=lead, bucket_rows=bucket).toPandas().sort_values(["entity_id", "t"])
+    ref = reference(pdf).sort_values(["entity_id", "t"])
+    for c in ("ewm", "ewm6"):
+        np.testing.assert_allclose(got[c].to_numpy(dtype=float), ref[c].to_numpy(dtype=float), rtol=1e-9, atol=1e-9)
