@@ -126,19 +126,20 @@ def permutation_importance(model, df: DataFrame, features: list[str], repeats: i
     from panelcast.operators.ranking import prefix_sum
 
     base = Mx.average_precision(proba(model.transform(df)).select("y", "score")).first()[0]
-    variants = []
     ranked = prefix_sum(df.select(key), [key], None, out="_r")
+    perms = None
     for r in range(repeats):
         h = df.select(key, *features).withColumn("_h", F.xxhash64(F.col(key), F.lit(seed + r)))
-        hr = prefix_sum(h, ["_h", key], None, out="_r").drop("_h")
-        perm = ranked.join(hr.withColumnRenamed(key, "_src"), "_r").drop("_r")      # key -> permuted source row
-        for f in features:
-            v = (df.drop(f).join(perm.select(key, F.col(f)), key)
-                 .withColumn("_feature", F.lit(f)).withColumn("_repeat", F.lit(r)))
-            variants.append(v.select(*df.columns, "_feature", "_repeat"))
-    allv = variants[0]
-    for v in variants[1:]:
-        allv = allv.unionByName(v)
+        hr = prefix_sum(h, ["_h", key], None, out="_r").drop("_h", key)
+        p = ranked.join(hr, "_r").drop("_r").withColumn("_repeat", F.lit(r))      # key -> permuted source values
+        p = p.select(key, "_repeat", *[F.col(f).alias(f"_p_{f}") for f in features])
+        perms = p if perms is None else perms.unionByName(p)
+    # one join and one generator: each (row, repeat) is expanded over the features, and only the
+    # variant's own feature takes the permuted value
+    x = df.join(perms, key).withColumn("_feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    allv = x.select(key, "y", "_feature", "_repeat", *[
+        F.when(F.col("_feature") == F.lit(f), F.col(f"_p_{f}")).otherwise(F.col(f)).alias(f) for f in features],
+        *[c for c in df.columns if c not in features and c not in (key, "y")])
     scored = proba(model.transform(allv)).select("_feature", "_repeat", "y", "score")
     sc = scored.groupBy("_feature", "_repeat", "score").agg(
         F.sum(F.col("y").cast("long")).alias("pos"), F.sum((1 - F.col("y")).cast("long")).alias("neg"))

@@ -21,8 +21,9 @@ def asof_join(left: DataFrame, right: DataFrame, t: str, payload: list[str], by:
               right_t: str | None = None, bucket_rows: int | None = None, t_out: str = "asof_t") -> DataFrame:
     """For each left row, the latest right row with right_t <= left t (within ``by``).
 
-    ``t`` must be an integer or timestamp column present on the left; ``right_t`` names the right
-    side's time column (default: ``t``).  Output: left columns + payload + ``t_out`` (the matched
+    ``t`` must be an integer, date or timestamp column present on the left; ``right_t`` names the right
+    side's time column (default: ``t``).  ``bucket_rows`` is in the units of the numeric time axis
+    (days for dates, microseconds for timestamps).  Output: left columns + payload + ``t_out`` (the matched
     right time, null when nothing precedes).
     """
     by = list(by or [])

@@ -50,7 +50,8 @@ def asof_daily_report(spark, sf):
     lo = cal.agg(F.date_sub(F.min("day"), 120).alias("d0"))
     reps = (D.daily_reports(spark, sf).crossJoin(F.broadcast(lo)).filter(F.col("day") >= F.col("d0"))
             .select(F.col("day").alias("report_day"), "doc_id", "n_chars"))
-    x = A.asof_join(cal, reps, "day", ["doc_id", "n_chars"], right_t="report_day", t_out="report_day")
+    # un-keyed as-of: bucketed by 90 days so the forward fill never runs as one global window
+    x = A.asof_join(cal, reps, "day", ["doc_id", "n_chars"], right_t="report_day", t_out="report_day", bucket_rows=90)
     return x.select(F.col("day").cast("timestamp_ntz").alias("day"), F.col("report_day").cast("timestamp_ntz").alias("report_day"),
                     F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"),
                     F.coalesce("n_chars", F.lit(0).cast("long")).alias("n_chars"))
@@ -78,8 +79,9 @@ def asof_decay(spark, sf):
                                         F.aggregate(F.transform("vec", lambda x: F.abs(x)), F.lit(0.0),
                                                     lambda a, x: a + x).alias("intensity"))
     hrs = D.hourly_panel(spark, sf).select("hour").distinct().withColumn("src", add_hours("hour", -1))
+    # un-keyed as-of on microsecond time: one-week buckets with a cross-bucket carry
     x = A.asof_join(hrs, th.withColumn("src", F.col("topic_hour")), "src", ["intensity", "topic_hour"],
-                    t_out="_m")
+                    t_out="_m", bucket_rows=168 * 3_600_000_000)
     gap = F.timestamp_diff("HOUR", F.col("topic_hour"), F.col("src"))
     return x.select("hour", gap.alias("gap_hours"),
                     D.r6(F.coalesce(F.col("intensity") * A.decay_factor(gap), F.lit(0.0))).alias("intensity"))
