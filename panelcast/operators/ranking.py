@@ -54,18 +54,18 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], keys: list[str]
     cnt = vals.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     ranked = prefix_sum(cnt, [value], F.col("_c"), keys, out="_hi_rank")  # inclusive count up to value
     n = cnt.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    qdf = df.sparkSession.createDataFrame([(float(q),) for q in qs], "q double")
-    pos = n.crossJoin(F.broadcast(qdf)).withColumn("_p", F.col("q") * (F.col("_n") - 1)).select(
+    qs_arr = F.array(*[F.lit(float(q)) for q in qs])
+    pos = n.withColumn("q", F.explode(qs_arr)).withColumn("_p", F.col("q") * (F.col("_n") - 1)).select(
         *keys, "q", "_p", F.floor("_p").alias("_lo"), F.ceil("_p").alias("_up"))
     # the value holding 0-based rank r satisfies hi_rank - c <= r < hi_rank
     r = ranked.withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c"))
     lo_in = (F.col("_lo") >= F.col("_lo_rank")) & (F.col("_lo") < F.col("_hi_rank"))
     up_in = (F.col("_up") >= F.col("_lo_rank")) & (F.col("_up") < F.col("_hi_rank"))
-    cond = lo_in | up_in
-    for k in keys:
-        cond = cond & (r[k] == pos[k])
-    pick = r.join(F.broadcast(pos.withColumnsRenamed({k: f"_q_{k}" for k in keys})) if keys else F.broadcast(pos),
-                  [(r[k] == F.col(f"_q_{k}")) for k in keys] + [lo_in | up_in] if keys else (lo_in | up_in))
+    if keys:
+        # (groups x quantiles) grows with the number of groups: an equi-join on the keys, planner's choice
+        pick = r.join(pos, keys).filter(lo_in | up_in)
+    else:
+        pick = r.join(F.broadcast(pos), lo_in | up_in)     # |qs| rows
     agg = pick.groupBy(*keys, "q", "_p", "_lo").agg(F.max(F.when(lo_in, F.col(value))).alias("_vlo"),
                                                     F.max(F.when(up_in, F.col(value))).alias("_vup"))
     frac = F.col("_p") - F.col("_lo")
