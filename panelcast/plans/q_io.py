@@ -153,12 +153,12 @@ def html_extract(spark, sf):
 
 @query("title_date_parse", covers="F20", sql="""
 SELECT page_id, regexp_extract(url, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AS url_date_text,
-  TRY_CAST(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1) AS DATE) AS title_date_cast FROM pages""")
+  CAST(TRY_CAST(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1) AS DATE) AS TIMESTAMP) AS title_date_cast FROM pages""")
 def title_date_parse(spark, sf):
     pages = read_table(spark, sf, "pages", ["page_id", "url", "html"])
     t = F.regexp_extract("html", r"(?s)<title[^>]*>(.*?)</title>", 1)
     return pages.select("page_id", F.regexp_extract("url", r"[0-9]{4}-[0-9]{2}-[0-9]{2}", 0).alias("url_date_text"),
-                        F.try_to_date(t).alias("title_date_cast"))
+                        F.try_to_date(t).cast("timestamp_ntz").alias("title_date_cast"))
 
 
 @query("url_date_agreement", covers="Q6 F20")
