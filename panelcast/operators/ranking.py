@@ -2,7 +2,8 @@
 
 A running total over a global order normally becomes a window without ``partitionBy`` — one task
 holds every row.  Here the data is range-partitioned on (keys, order) (sampled bounds; a hot key
-spans several partitions), checkpointed so partition membership is stable and recomputation-safe,
+spans several partitions), the range id is written into a Parquet table in the shared checkpoint folder
+(stable membership, lineage cut, safe under recomputation),
 then each partition's total is prefix-summed over the small (partition, key) table and added back
 as an offset to a within-partition running sum.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.session import ensure_checkpoint_dir
+from panelcast.session import materialize
 
 PID = "_pid"
 
@@ -25,14 +26,14 @@ def prefix_sum(df: DataFrame, order: list[str], weight: Column | None = None, ke
     """
     keys = list(keys or [])
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     wcol = weight if weight is not None else F.lit(1)
     x = (df.withColumn("_w", wcol)
            .repartitionByRange(n, *[F.col(c) for c in keys + order])
-           .sortWithinPartitions(*keys, *order)
            .withColumn(PID, F.spark_partition_id()))
-    x = x.checkpoint(eager=True)
+    # the range id is stored as a column of a written table: offsets no longer depend on how the data
+    # is physically split when it is read back or recomputed after an executor loss
+    x = materialize(x, "prefix")
     tot = x.groupBy(PID, *keys).agg(F.sum("_w").alias("_tot"))
     wo = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(PID, *keys, F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))

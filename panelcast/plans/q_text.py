@@ -10,7 +10,7 @@ from panelcast.functions.stopwords import CUSTOM_REPORT, ENGLISH
 from panelcast.operators import text as X
 from panelcast.plans import driver as D
 from panelcast.plans.registry import query
-from panelcast.session import ensure_checkpoint_dir
+from panelcast.session import materialize
 from panelcast.sources.tables import read_table
 
 # Report vocabulary parameters (fixed values of the product's report vectoriser)
@@ -116,9 +116,8 @@ vocab AS (SELECT term, df, cf, n_docs FROM st, nd WHERE df >= {MIN_DF} AND df <=
 def _tf_vocab(spark, sf):
     docs = X.add_ngrams(report_docs(spark, sf), "tokens", (1, 2))
     # the (doc, term, tf) table feeds both the vocabulary statistics and the weights: materialise it
-    # once (reliable checkpoint in the shared folder) instead of re-tokenising the corpus per branch
-    ensure_checkpoint_dir(spark)
-    tf = X.term_counts(docs, "doc_id").checkpoint(eager=True)
+    # once (a Parquet table in the shared checkpoint folder) instead of re-tokenising the corpus per branch
+    tf = materialize(X.term_counts(docs, "doc_id"), "tf")
     # n_samples counts every document (also those left without tokens): a plain count of the table
     n_docs = read_table(spark, sf, "documents", ["lang"], spread=False).filter(F.col("lang") == "en").agg(
         F.count(F.lit(1)).alias("n_docs"))

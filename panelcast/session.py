@@ -78,3 +78,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A location for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint folder and reading it back.
+
+    Columnar and compressed (much cheaper than an RDD checkpoint of rows), durable across executor loss,
+    and each call writes a fresh folder, so concurrent or repeated runs never overwrite each other.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"materialized/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
