@@ -81,7 +81,7 @@ WITH b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders),
 h AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour FROM b),
 d AS (SELECT hour, year(hour) AS y,
         make_date(year(hour), 3, 31) - CAST(isodow(make_date(year(hour), 3, 31)) % 7 AS INTEGER) AS ls FROM h)
-SELECT y AS year, count(*) FILTER (WHERE hour <> CAST(ls AS TIMESTAMP) + INTERVAL 3 HOUR) AS n_hours,
+SELECT CAST(y AS INTEGER) AS year, count(*) FILTER (WHERE hour <> CAST(ls AS TIMESTAMP) + INTERVAL 3 HOUR) AS n_hours,
        CAST(min(ls) AS TIMESTAMP) + INTERVAL 3 HOUR AS dst_hour
 FROM d GROUP BY y""")
 def dst_hour_filter(spark, sf):
@@ -232,7 +232,7 @@ def weekday_hour_matrix(spark, sf):
 
 
 PIVOT_SQL = """pv AS (
-  SELECT month(l_shipdate) AS month, """ + ", ".join(
+  SELECT CAST(month(l_shipdate) AS INTEGER) AS month, """ + ", ".join(
     f"round(avg(l_quantity) FILTER (WHERE year(l_shipdate) = {y}), 6) AS y{y}" for y in YEARS) + """
   FROM lineitem GROUP BY 1)"""
 
@@ -477,7 +477,7 @@ FROM documents""")
 def text_lengths(spark, sf):
     d = read_table(spark, sf, "documents", ["doc_id", "text", "source"])
     words = F.filter(F.split("text", r"\s+"), lambda x: x != "")
-    return d.select("doc_id", F.length("text").alias("n_chars"), F.size(words).alias("n_words"),
+    return d.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.size(words).cast("long").alias("n_words"),
                     F.right("text", F.lit(5)).alias("last5"), F.startswith(F.lower("text"), F.lit("the")).alias("starts_the"),
                     F.lower(F.split_part(F.trim("text"), F.lit(" "), F.lit(1))).alias("first_word"),
                     F.replace("source", F.lit("src"), F.lit("source-")).alias("source_name"))

@@ -148,7 +148,7 @@ SELECT page_id, title, CASE WHEN length(array_to_string(kept, chr(10))) >= 500 T
 def html_extract(spark, sf):
     pages = read_table(spark, sf, "pages", ["page_id", "html"])
     title, text, n = Fi.html_main_text(F.col("html"))
-    return pages.select("page_id", title.alias("title"), F.md5(text).alias("text_md5"), n.alias("n_blocks"))
+    return pages.select("page_id", title.alias("title"), F.md5(text).alias("text_md5"), n.cast("long").alias("n_blocks"))
 
 
 @query("title_date_parse", covers="F20", sql="""

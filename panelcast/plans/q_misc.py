@@ -155,7 +155,8 @@ SELECT event_id, TRY_CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS par
   TRY_CAST(strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S') AS TIMESTAMP) AS joined,
   TRY_CAST('not a date ' || event_id AS TIMESTAMP) AS bad_parse,
   CAST(timezone('Europe/Kyiv', timezone('UTC', ts)) AS TIMESTAMP) AS local_ts,
-  year(ts) AS year, month(ts) AS month, CAST(isodow(ts) - 1 AS INTEGER) AS weekday, hour(ts) AS hour,
+  CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(isodow(ts) - 1 AS INTEGER) AS weekday,
+  CAST(hour(ts) AS INTEGER) AS hour,
   dayname(ts) AS day_name, strftime(ts, '%Y-%m-%d %H:00') AS hour_label,
   date_trunc('hour', ts) AS hour_floor, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day_floor, ts + INTERVAL 3 HOUR AS plus3h,
   CAST(date_diff('hour', date_trunc('hour', ts), date_trunc('hour', mx.m)) AS BIGINT) AS hours_to_last,
@@ -218,7 +219,7 @@ SELECT doc_id, md5(s) AS clean_md5, length(s) AS clean_len FROM (
 def text_scrub(spark, sf):
     d = read_table(spark, sf, "documents", ["doc_id", "text"])
     s = Sx.scrub(F.col("text"))
-    return d.select("doc_id", F.md5(s).alias("clean_md5"), F.length(s).alias("clean_len"))
+    return d.select("doc_id", F.md5(s).alias("clean_md5"), F.length(s).cast("long").alias("clean_len"))
 
 
 @query("null_and_range_filters", covers="P3 P5 P6 P7 Q5", sql=with_(EV, """

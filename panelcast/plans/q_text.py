@@ -55,8 +55,8 @@ FROM (SELECT doc_id, {CLEAN_REPORT_SQL.format(t='text')} AS c FROM documents)"""
 def text_clean_report(spark, sf):
     d = read_table(spark, sf, "documents", ["doc_id", "text"])
     c = Sx.clean_report(F.col("text"))
-    return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).alias("clean_len"),
-                    F.size(Sx.word_tokens(c)).alias("n_tokens"))
+    return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).cast("long").alias("clean_len"),
+                    F.size(Sx.word_tokens(c)).cast("long").alias("n_tokens"))
 
 
 MSG_CLEAN_SQL = ("list_filter(string_split(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), "
@@ -70,7 +70,7 @@ FROM (SELECT conv_id, turn, {MSG_CLEAN_SQL} AS t FROM conversations)""")
 def text_clean_message(spark, sf):
     c = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
     t = Sx.clean_message(F.col("text"))
-    return c.select("conv_id", "turn", F.size(t).alias("n_tokens"), F.md5(F.concat_ws(" ", t)).alias("tokens_md5"))
+    return c.select("conv_id", "turn", F.size(t).cast("long").alias("n_tokens"), F.md5(F.concat_ws(" ", t)).alias("tokens_md5"))
 
 
 def report_docs(spark, sf):
