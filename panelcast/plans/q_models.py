@@ -143,3 +143,32 @@ def permutation_importance(spark, sf):
     # the product samples 20k rows; a seeded hash keeps it deterministic (the sample is the feature)
     sample = te.withColumn("row_id", F.xxhash64("entity_id", "hour")).orderBy(F.xxhash64("row_id", F.lit(42))).limit(20000)
     return Md.permutation_importance(model, sample.select("row_id", "y", *feats), feats, repeats=5)
+
+
+@query("retrain_summary", covers="M16 M17 M18")
+def retrain_summary(spark, sf):
+    """Retrain -> evaluate (valid, test) -> gate against the champion -> append the JSON record.
+
+    The challenger is the balanced logistic pipeline; the champion is the previous model's scorer, here
+    the one-hour-lag rule (score = lag_1).  The record is appended to a metrics table in the shared
+    folder (append-only, one row per retrain) and returned.
+    """
+    from panelcast.ml import metrics as Mx
+    from panelcast.session import scratch_path
+
+    x = split_panel(spark, sf).cache()
+    tr, va, te = (x.filter(F.col("split") == s) for s in ("train", "valid", "test"))
+    feats = features_of(tr)
+    trw = Md.with_balanced_weights(tr)
+    model = Md.logreg_pipeline(feats, trw.agg(F.sum("w")).first()[0]).fit(trw)
+    thr = Md.best_threshold(Md.proba(model.transform(va)).select("y", "score"))
+    new = Md.evaluate(Md.proba(model.transform(te)).select("y", "score"), thr)
+    old = Md.evaluate(te.select("y", F.col("lag_1").cast("double").alias("score")), 0.5)
+    acc = spark.range(1).select(Mx.champion_gate(F.lit(new["average_precision"]), F.lit(old["average_precision"]),
+                                                 F.lit(new["f1"]), F.lit(old["f1"])).alias("a")).first()["a"]
+    rec = Md.summary_record("logreg", {f"new_{k}": v for k, v in new.items()},
+                            {**{f"old_{k}": v for k, v in old.items()}, "threshold": thr, "accepted": bool(acc),
+                             "n_train": tr.count(), "n_test": te.count(), "features": feats})
+    out = spark.createDataFrame([(rec, bool(acc), thr)], "record string, accepted boolean, threshold double")
+    out.write.mode("append").json(scratch_path(spark, "retrain_metrics"))
+    return out
