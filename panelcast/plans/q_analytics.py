@@ -359,7 +359,7 @@ def lagged_corr_raw(spark, sf):
     def feats(w):
         return [F.lag("value_avg", k).over(w).alias(f"l{k}") for k in range(1, MAX_XLAG + 1)]
 
-    x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=MAX_XLAG, bucket_rows=D.PANEL_BUCKET_ROWS)
+    x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=MAX_XLAG, bucket_rows=D.bucket_rows(spark))
     wide = x.agg(G.safe_corr("y", "value_avg").alias("c0"),
                  *[G.safe_corr("y", f"l{k}").alias(f"c{k}") for k in range(1, MAX_XLAG + 1)])
     long = wide.unpivot([], [f"c{k}" for k in range(MAX_XLAG + 1)], "name", "corr")

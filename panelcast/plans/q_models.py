@@ -27,7 +27,7 @@ def model_panel(spark, sf):
                                        "alarms_in_last_24h", "hours_since_last", "is_weekend", "is_night")
     tot = lagged_neighbour_sum(lagged_global_total(p.select("entity_id", "hour", "y"), "y"), D.edges(spark), "y")
     wide = wide_panel(spark, sf)
-    shifted = W.family_shift(wide, family_columns(wide.columns, FAMILY_SHIFTS), bucket_rows=D.PANEL_BUCKET_ROWS)
+    shifted = W.family_shift(wide, family_columns(wide.columns, FAMILY_SHIFTS), bucket_rows=D.bucket_rows(spark))
     src = shifted.select("entity_id", "hour", "hour_value_avg", F.col("hour_busy").cast("int").alias("hour_busy"),
                          "day_value_max", "msg_n_events", "rep_n_chars")
     return lags.join(tot.select("entity_id", "hour", "total_lag1", "neighbour_lag1"), ["entity_id", "hour"]).join(

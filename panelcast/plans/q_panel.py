@@ -20,12 +20,14 @@ def panel_dense_backbone(spark, sf):
                     D.r6("value_max").alias("value_max"))
 
 
-def lag_feature_block(panel, bucket_rows=D.PANEL_BUCKET_ROWS):
+def lag_feature_block(panel, bucket_rows=-1):
     """W1 + W2 + W6 + F9 in ONE window pass over (entity, time bucket).
 
     Hours-since needs the last event before each bucket: a per-bucket carry (rows / bucket_rows) is
     joined first, so the unbounded running max shares the exchange and sort of the bounded features.
     """
+    if bucket_rows == -1:
+        bucket_rows = D.bucket_rows(panel.sparkSession)
     carry = None
     if bucket_rows:
         carry = W.running_carry(panel, {"_c_last": ("max", F.when(F.col("y") == 1, F.col("t"))),
@@ -88,7 +90,7 @@ SELECT c.entity_id, c.hour, c.y,
 FROM cells c""")
 def panel_clock_lag_features(spark, sf):
     cells = observed_cells(spark, sf)
-    bucket = D.PANEL_BUCKET_ROWS
+    bucket = D.bucket_rows(spark)
 
     def feats(w):
         return [F.coalesce(F.sum("y").over(w.rangeBetween(-1, -1)), F.lit(0).cast("long")).alias("y_at_1"),
@@ -116,7 +118,7 @@ def panel_velocity_zscore(spark, sf):
                 D.r6(W.diff_fill("value_avg", 3, w)).alias("velocity_3"),
                 D.r6(W.rolling_zscore("value_avg", 24, w)).alias("zscore_24")]
 
-    x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=24, bucket_rows=D.PANEL_BUCKET_ROWS)
+    x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=24, bucket_rows=D.bucket_rows(spark))
     return x.select("entity_id", "hour", "velocity_24", "velocity_3", "zscore_24")
 
 
@@ -133,7 +135,7 @@ def panel_ewm(spark, sf):
     lead24 = W.ewm_cutoff_rows(24)
     lead = max(lead, lead24)
     # bucket: several lead-ins long, but small enough that r^-(bucket+lead) stays finite for span 6
-    bucket = min(max(D.PANEL_BUCKET_ROWS, 2 * lead), W.ewm_max_bucket(6, lead))
+    bucket = min(max(D.bucket_rows(spark), 2 * lead), W.ewm_max_bucket(6, lead))
 
     def feats(w):
         return [D.r6(W.ewm_mean_bucketed("value_avg", 24, w, "t", bucket, lead, shifted=True)).alias("ewm24_prev"),
@@ -214,7 +216,7 @@ SELECT entity_id, hour, y,
 FROM wide WINDOW w AS (PARTITION BY entity_id ORDER BY hour)""")
 def panel_leakfree_shift(spark, sf):
     wide = wide_panel(spark, sf)
-    shifted = W.family_shift(wide, family_columns(wide.columns), bucket_rows=D.PANEL_BUCKET_ROWS)
+    shifted = W.family_shift(wide, family_columns(wide.columns), bucket_rows=D.bucket_rows(spark))
     return shifted.select("entity_id", "hour", "y", D.r6("hour_value_avg").alias("hour_value_avg"), "hour_busy",
                           D.r6("day_value_max").alias("day_value_max"), "day_of_week", "msg_n_events", "rep_n_chars")
 

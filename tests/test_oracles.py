@@ -28,3 +28,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "hours_since_last" in df.columns
+
+
+@pytest.mark.parametrize("bucket", ["50", "2160"])
+@pytest.mark.parametrize("key", ["panel_lag_features", "panel_velocity_zscore", "panel_leakfree_shift",
+                                 "panel_clock_lag_features", "panel_ewm"])
+def test_panel_queries_independent_of_bucket_size(spark, duck, key, bucket):
+    from panelcast.plans.driver import BUCKET_CONF
+
+    spark.conf.set(BUCKET_CONF, bucket)
+    try:
+        got = E.queries()[key](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.unset(BUCKET_CONF)
+    assert_frames_match(got, duck.execute(ORACLES[key]).df(), tol=1e-6)
