@@ -36,8 +36,7 @@ def roc_auc(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:
 def average_precision(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:
     """sum_i (R_i - R_{i-1}) P_i over distinct thresholds, descending (== sklearn)."""
     sc = score_counts(df, label, score).withColumn("_neg_score", -F.col(score))
-    r = prefix_sum(sc, ["_neg_score"], F.col("pos"), out="tp")
-    r = prefix_sum(r, ["_neg_score"], F.col("neg"), out="fp")
+    r = prefix_sum(sc, ["_neg_score"], {"tp": F.col("pos"), "fp": F.col("neg")})
     tot = sc.agg(F.sum("pos").alias("P"))
     x = r.crossJoin(F.broadcast(tot))
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))

@@ -144,8 +144,7 @@ def permutation_importance(model, df: DataFrame, features: list[str], repeats: i
     sc = scored.groupBy("_feature", "_repeat", "score").agg(
         F.sum(F.col("y").cast("long")).alias("pos"), F.sum((1 - F.col("y")).cast("long")).alias("neg"))
     sc = sc.withColumn("_neg_score", -F.col("score"))
-    r1 = prefix_sum(sc, ["_neg_score"], F.col("pos"), keys=["_feature", "_repeat"], out="tp")
-    r2 = prefix_sum(r1, ["_neg_score"], F.col("neg"), keys=["_feature", "_repeat"], out="fp")
+    r2 = prefix_sum(sc, ["_neg_score"], {"tp": F.col("pos"), "fp": F.col("neg")}, keys=["_feature", "_repeat"])
     P = sc.groupBy("_feature", "_repeat").agg(F.sum("pos").alias("P"))
     ap = (r2.join(P, ["_feature", "_repeat"]).groupBy("_feature", "_repeat")
           .agg(F.sum(F.col("pos") / F.col("P") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("ap")))

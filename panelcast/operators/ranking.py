@@ -18,29 +18,34 @@ from panelcast.session import materialize
 PID = "_pid"
 
 
-def prefix_sum(df: DataFrame, order: list[str], weight: Column | None = None, keys: list[str] | None = None,
+def prefix_sum(df: DataFrame, order: list[str], weight: Column | dict | None = None, keys: list[str] | None = None,
                out: str = "cum", partitions: int | None = None, inclusive: bool = True) -> DataFrame:
     """``out`` = running sum of ``weight`` (default 1) within ``keys`` by ``order``.
 
+    ``weight`` may also be a dict {output column: weight column}: several running sums in the same pass.
     Rows must be unique on (keys, order) for a deterministic result (aggregate ties first).
     """
     keys = list(keys or [])
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wcol = weight if weight is not None else F.lit(1)
-    x = (df.withColumn("_w", wcol)
-           .repartitionByRange(n, *[F.col(c) for c in keys + order])
-           .withColumn(PID, F.spark_partition_id()))
+    weights = weight if isinstance(weight, dict) else {out: weight if weight is not None else F.lit(1)}
+    wcols = {o: f"_w_{i}" for i, o in enumerate(weights)}
+    x = df
+    for o, wc in weights.items():
+        x = x.withColumn(wcols[o], wc)
+    x = (x.repartitionByRange(n, *[F.col(c) for c in keys + order])
+          .withColumn(PID, F.spark_partition_id()))
     # the range id is stored as a column of a written table: offsets no longer depend on how the data
     # is physically split when it is read back or recomputed after an executor loss
     x = materialize(x, "prefix")
-    tot = x.groupBy(PID, *keys).agg(F.sum("_w").alias("_tot"))
+    tot = x.groupBy(PID, *keys).agg(*[F.sum(c).alias(f"_t{c}") for c in wcols.values()])
     wo = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(PID, *keys, F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
+    off = tot.select(PID, *keys, *[F.coalesce(F.sum(f"_t{c}").over(wo), F.lit(0)).alias(f"_o{c}") for c in wcols.values()])
     wi = Window.partitionBy(PID, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    run = F.coalesce(F.sum("_w").over(wi), F.lit(0))
-    return (x.join(F.broadcast(off), [PID, *keys]) if not keys else x.join(off, [PID, *keys])).withColumn(
-        out, F.col("_off") + run).drop(PID, "_off", "_w")
+    joined = x.join(F.broadcast(off), [PID, *keys]) if not keys else x.join(off, [PID, *keys])
+    for o, c in wcols.items():
+        joined = joined.withColumn(o, F.col(f"_o{c}") + F.coalesce(F.sum(c).over(wi), F.lit(0)))
+    return joined.drop(PID, *wcols.values(), *[f"_o{c}" for c in wcols.values()])
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], keys: list[str] | None = None,
