@@ -90,6 +90,27 @@ def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("value_max", F.lit(0.0)).alias("value_max")))
 
 
+def hourly_panel_tail(spark: SparkSession, sf_dir: str, hours: int) -> DataFrame:
+    """D1 restricted to the last ``hours`` hours before the latest observed hour (W17/S11 at the source).
+
+    Events are filtered right after the scan against a one-row max, so serving-side features cost the
+    same whatever the length of the history.  Hours of the window with no events anywhere are zeros in the
+    full panel too, so every feature that looks back less than ``hours`` rows is unchanged.
+    """
+    ev = entity_events(spark, sf_dir)
+    mx = ev.agg(F.max("hour").alias("_mx"))
+    tail = ev.crossJoin(F.broadcast(mx)).filter(F.col("hour") > F.col("_mx") - F.make_dt_interval(hours=F.lit(hours)))
+    agg = tail.groupBy("entity_id", "hour").agg(
+        F.max(F.when(F.col("event_type") == EVENT_TYPE_TARGET, 1).otherwise(0)).alias("y"),
+        F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("value_avg"), F.max("value").alias("value_max"))
+    grid = dense_backbone(tail, entities(spark))
+    return (grid.join(agg, ["entity_id", "hour"], "left")
+                .select("entity_id", "hour", hour_index("hour").alias("t"), F.coalesce("y", F.lit(0)).alias("y"),
+                        F.coalesce("n_events", F.lit(0).cast("long")).alias("n_events"),
+                        F.coalesce("value_avg", F.lit(0.0)).alias("value_avg"),
+                        F.coalesce("value_max", F.lit(0.0)).alias("value_max")))
+
+
 def error_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: interval events derived from error events (end = start + value minutes)."""
     ev = entity_events(spark, sf_dir).filter(F.col("event_type") == EVENT_TYPE_TARGET)

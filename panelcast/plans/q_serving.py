@@ -16,8 +16,11 @@ from panelcast.plans.sqlfrag import EV, PANEL, TOPICS, with_
 
 
 def forecast_table(spark, sf):
-    """The latest 24 hours of every entity with a probability (share of the previous 24 hours active)."""
-    x = lag_feature_block(D.hourly_panel(spark, sf))
+    """The latest 24 hours of every entity with a probability (share of the previous 24 hours active).
+
+    Only the last 48 hours are built (24 forecast hours + the 24-row look-back of the rolling sum).
+    """
+    x = lag_feature_block(D.hourly_panel_tail(spark, sf, 48), bucket_rows=None)
     mx = x.agg(F.max("hour").alias("_mx"))
     fc = x.crossJoin(F.broadcast(mx)).filter(F.col("hour") > add_hours("_mx", -24))
     return fc.select("entity_id", "hour", F.date_format("hour", "HH:00").alias("time_key"),
