@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -33,6 +34,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in low])
 
 
+def boxed(df: DataFrame, *results: str):
+    """The columns of ``df`` but for ``results`` as one struct ``row``: an operator's own columns can't clash with them."""
+    kept = without(df, *results)
+    return F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row")
+
+
 def append_columns(df: DataFrame, schema: str | T.StructType, fn: Callable[[pa.RecordBatch], list]) -> DataFrame:
     """Row-local operator: all columns of ``df`` plus those of ``schema``, which ``fn`` makes for each Arrow batch.
 

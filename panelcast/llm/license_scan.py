@@ -22,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import table, without
+from panelcast.llm.common import boxed, table
 from panelcast.llm.registry import query
 
 SHINGLE = 5
@@ -96,7 +96,7 @@ def license_scan(df: DataFrame, text_col: str = "text", templates: dict[str, str
     for w in needed:
         maybe = maybe | F.contains(low, F.lit(w))
     none = F.array().cast("array<string>")
-    x = without(df, MATCHES).withColumn("_words", F.when(maybe, words_of(text)).otherwise(none))
+    x = df.select(boxed(df, MATCHES), F.when(maybe, words_of(text)).otherwise(none).alias("_words"))
     x = x.withColumn("_sh", F.when(F.size("_words") >= SHINGLE, shingles_of(F.col("_words"))).otherwise(F.array().cast("array<bigint>")))
     found = []
     for r in rows:
@@ -108,7 +108,7 @@ def license_scan(df: DataFrame, text_col: str = "text", templates: dict[str, str
         found.append(F.struct(F.lit(r.name).alias("name"), F.array_max(scored).alias("best")))
     hits = F.filter(F.array(*found), lambda f: F.coalesce(f["best"]["c"] >= least, F.lit(False)))
     out = F.transform(hits, lambda f: F.struct(f["name"].alias("name"), (-f["best"]["at"]).cast("long").alias("first_word"), f["best"]["c"].alias("containment")))
-    return x.withColumn(MATCHES, out).drop("_words", "_sh")
+    return x.select("row.*", out.alias(MATCHES))
 
 
 @query("op10_license_scan")

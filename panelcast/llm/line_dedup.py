@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm import bitmap
-from panelcast.llm.common import table, without
+from panelcast.llm.common import boxed, table
 from panelcast.llm.registry import query
 from panelcast.session import materialize
 
@@ -110,7 +110,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
                filter_bits: int = FILTER_BITS) -> DataFrame:
     """``df`` plus ``n_lines, n_removed, kept_text`` (the lines that stay, joined by newlines)."""
     keys = [F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_doc")]
-    docs = without(df, *RESULT).select("*", *keys, F.col(text_col).alias("_text"))
+    docs = df.select(boxed(df, *RESULT), *keys, F.col(text_col).alias("_text"))
     occurrences = _occurrences(docs, min_chars)
     firsts = materialize(occurrences.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")), "line-firsts")
     near = _near(occurrences, firsts, filter_bits)
@@ -125,7 +125,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     kept = F.when(F.col("_gone").isNull(), F.coalesce(F.col("_text"), F.lit(""))).otherwise(
         F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
     out = joined.withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-    return out.withColumn("kept_text", kept).drop("_id", "_doc", "_text", "_gid", "_gdoc", "_gone")
+    return out.withColumn("kept_text", kept).select("row.*", *RESULT)
 
 
 @query("op6_line_dedup")

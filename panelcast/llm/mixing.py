@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import WORD, table, without
+from panelcast.llm.common import WORD, boxed, table
 from panelcast.llm.registry import query
 from panelcast.operators.ranking import prefix_sum
 from panelcast.session import materialize
@@ -28,7 +28,7 @@ from panelcast.session import materialize
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_REPEATS = 2
-_COUNT = F.regexp_count
+RESULT = ("size", "source_size", "target", "copies")
 
 
 def target_shares(sources: DataFrame, total_share: float, max_repeats: float) -> DataFrame:
@@ -47,8 +47,8 @@ def target_shares(sources: DataFrame, total_share: float, max_repeats: float) ->
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, total_share: float = SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """Targets of the sources of ``sized`` (_key, _size); weights repeat over the sources in code-point order, null last."""
-    sources = sized.groupBy(F.col("_key").alias("key")).agg(F.sum("_size").alias("source_size"))
+    """Targets of the sources of ``sized`` (_key, size); weights repeat over the sources in code-point order, null last."""
+    sources = sized.groupBy(F.col("_key").alias("key")).agg(F.sum("size").alias("source_size"))
     rank = F.row_number().over(Window.orderBy("key")) - 1
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (rank % len(weights) + 1).cast("int"))
     return target_shares(sources.withColumn("weight", weight), total_share, max_repeats)
@@ -62,30 +62,36 @@ def _unit(*parts: Column) -> Column:
 def mix_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
                total_share: float = SHARE, max_repeats: int = MAX_REPEATS, seed: str = "mix") -> DataFrame:
     """``df`` plus ``size, source_size, target, copies``: how often the mix emits each row (0 to ``max_repeats``)."""
-    key = F.coalesce(F.concat(F.lit("0"), F.col(source_col)), F.lit("1"))  # null after all others
-    size = F.coalesce(_COUNT(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = df.select("*", key.alias("_key"), size.alias("_size"), F.monotonically_increasing_id().alias("_n"))
-    return _copies(materialize(sized, "mix-sizes"), id_col, weights, total_share, max_repeats, seed)
+    sized = materialize(df.select(boxed(df, *RESULT), *_measures(id_col, text_col, source_col)), "mix-sizes")
+    taken = _copies(sized.drop("row"), weights, total_share, max_repeats, seed)
+    return sized.select("row", "_n").join(taken, "_n").select("row.*", *RESULT)
 
 
-def _copies(sized: DataFrame, id_col, weights, total_share, max_repeats, seed) -> DataFrame:
+def _measures(id_col: str, text_col: str, source_col: str) -> list[Column]:
+    """A row's source key (null after all others), size, digest of the id, and number."""
+    return [F.coalesce(F.concat(F.lit("0"), F.col(source_col)), F.lit("1")).alias("_key"),
+            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_md5"), F.monotonically_increasing_id().alias("_n")]
+
+
+def _copies(sized: DataFrame, weights, total_share, max_repeats, seed) -> DataFrame:
+    """``_n, size, source_size, target, copies`` of the rows of a written table of :func:`_measures`."""
     targets = materialize(source_targets(sized, weights, total_share, max_repeats).withColumnRenamed("key", "_key"), "mix-targets")
-    # the rank needs keys only; rows follow by their number
-    order = sized.select("_key", (-F.col("_size")).alias("_neg"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_md5"), "_n")
+    order = sized.select("*", (-F.col("size")).alias("_neg"))
     ranked = prefix_sum(order, ["_neg", "_md5", "_n"], keys=["_key"], out="_rank").join(targets, "_key")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     part = rate - F.floor(rate)
     offset = _unit(F.lit(seed), F.col("_key"))
     crossed = F.floor(offset + part * F.col("_rank")) - F.floor(offset + part * (F.col("_rank") - 1))
-    taken = ranked.select("_n", "source_size", "target", (F.floor(rate) + crossed).alias("copies"))
-    return without(sized, "source_size", "target", "copies").join(taken, "_n").withColumnRenamed("_size", "size").drop("_key", "_n")
+    return ranked.withColumn("copies", F.floor(rate) + crossed).drop("_neg", "_md5", "_key", "_rank", "key", "weight")
 
 
 def mix_sources(df: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``df``, each as often as it is taken, with the columns of ``df`` only."""
-    counted = mix_counts(df, **options).filter("copies > 0")
-    again = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return again.select(*[f"`{c}`" for c in df.columns])
+    counted = mix_counts(df.select(boxed(df), *[F.col(f"`{c}`") for c in (options.get("id_col", "doc_id"), options.get("text_col", "text"),
+                                                                           options.get("source_col", "source"))]), **options)
+    again = counted.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return again.select("row.*")
 
 
 @query("op8_mixing", """
@@ -106,8 +112,6 @@ SELECT doc_id, size, source_size, target,
 """)
 def op8_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    key = F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))
-    size = F.coalesce(_COUNT(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = materialize(docs.select("doc_id", key.alias("_key"), size.alias("_size"), F.monotonically_increasing_id().alias("_n")), "mix-sizes")
-    out = _copies(sized, "doc_id", WEIGHTS, SHARE, MAX_REPEATS, "mix")
+    sized = materialize(docs.select("doc_id", *_measures("doc_id", "text", "source")), "mix-sizes")
+    out = _copies(sized, WEIGHTS, SHARE, MAX_REPEATS, "mix")
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))

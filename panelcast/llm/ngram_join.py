@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm import bitmap
-from panelcast.llm.common import mix, raw, slices, table, valid_windows, window_hashes, word_bounds, word_hashes
+from panelcast.llm.common import boxed, mix, raw, slices, table, valid_windows, window_hashes, word_bounds, word_hashes
 from panelcast.llm.components import connected_components
 from panelcast.llm.registry import query
 from panelcast.session import materialize
@@ -309,9 +309,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     best = classes.filter("node != 0 AND (doc_id <=> class_id)").groupBy("class_id").agg(F.min("_h").alias("_h"))
     empty = classes.filter("node = 0").select(F.col("doc_id").alias("_id"), "_h")
     keep = materialize(best.select(F.col("class_id").alias("_id"), "_h").union(empty).distinct(), "forest-keep").withColumnRenamed("_h", "_kh")
-    docs = df.withColumn("_h", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_kh")))
-    return kept.dropDuplicates([id_col, "_h"]).select(*[f"`{c}`" for c in df.columns])
+    docs = df.select(boxed(df), F.col(id_col).alias("_doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h"))
+    kept = docs.join(keep, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_kh")))
+    return kept.dropDuplicates(["_doc", "_h"]).select("row.*")
 
 
 @query("op2_ngram_join")

@@ -20,8 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import (append_columns, per_text, raw, slices, table, texts_of, valid_windows, window_hashes,
-                                  without, word_bounds, word_hashes, mix)
+from panelcast.llm.common import (append_columns, boxed, mix, per_text, raw, slices, table, texts_of, valid_windows,
+                                  window_hashes, word_bounds, word_hashes)
 from panelcast.llm.registry import query
 from panelcast.session import materialize
 
@@ -164,13 +164,14 @@ def select_cutoffs(labelled: DataFrame, stratum: str, good: Column, alpha: float
 
 def apply_rules(df: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     """``df`` (with counts) plus ``base_failed`` and ``kept``."""
-    df = without(df, "base_failed", "kept")
     rejected = F.lit(False)
     for k, v in _signals().items():
         rejected = rejected | F.coalesce(F.floor(v * GRID) >= F.col(f"_cut_{k}"), F.lit(False))
-    joined = df.withColumn("_stratum", F.coalesce(F.concat(F.lit("="), F.col(stratum)), F.lit(""))).join(cutoffs, "_stratum", "left")
-    out = joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected)
-    return out.drop(*cutoffs.columns)
+    counts = [c.split()[0] for c in COUNTS.split(", ")]
+    key = F.coalesce(F.concat(F.lit("="), F.col(stratum)), F.lit("")).alias("_stratum")
+    joined = df.select(boxed(df, "base_failed", "kept"), key, *counts).join(cutoffs, "_stratum", "left")
+    failed = base_failed()
+    return joined.select("row.*", failed.alias("base_failed"), (~failed & ~rejected).alias("kept"))
 
 
 @query("op9_quality_rules")
