@@ -5,7 +5,7 @@ inserted, deleted or replaced).  Two such lines agree outside one segment, so th
 segments whose surroundings another line shares:
 
 1. distinct lines keep their first place; every line is cut at the segment bounds for its own length and for one less,
-   and the hash of what lies outside a segment is its context; contexts that differing lines share become a bitmap;
+   and the hash of what lies outside a segment is its context; contexts that differing lines share (found exactly, by one narrow aggregate) become a bitmap;
 2. lines with a shared context (few) are kept with their text; for each such segment they emit the hashed variants:
    the segment with each of its characters deleted, and the segment itself;
 3. equal variants meet: a character deleted at the same place on both sides is a replacement, a deletion that equals
@@ -31,7 +31,8 @@ from panelcast.llm.registry import query
 from panelcast.session import materialize
 
 MIN_CHARS = 10
-SEGMENT_CHARS = 128
+#: A line of n characters has max(2, sqrt(n) / SEGMENT_ROOT) segments: hashing what lies around them stays near linear.
+SEGMENT_ROOT = 16
 FILTER_BITS = 1 << 26
 RESULT = ("n_lines", "n_removed", "kept_text")
 
@@ -40,25 +41,17 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _contexts(line: Column, with_middle: bool) -> Column:
-    """For the line's length and one less as base, a struct per segment: base, context hash (and the segment's text)."""
-    length = F.char_length(line)
-
-    def of_base(base):
-        parts = F.greatest(F.lit(2), F.ceil(base / SEGMENT_CHARS).cast("int"))
-
-        def segment(s):
-            head = F.floor(base * s / parts).cast("int")
-            tail = (base - F.floor(base * (s + 1) / parts)).cast("int")
-            context = F.xxhash64(base, s, F.substr(line, F.lit(1), head), F.substr(line, length - tail + 1))
-            if not with_middle:
-                return context
-            return F.struct((length - base).alias("longer"), context.alias("context"),
-                            F.substr(line, head + 1, length - tail - head).alias("middle"))
-
-        return F.transform(F.sequence(F.lit(0), parts - 1), segment)
-
-    return F.flatten(F.transform(F.array(length, length - 1), of_base))
+def _segments(lines: DataFrame) -> DataFrame:
+    """``lines`` with a row per segment for the line's length and for one less as base: ``longer`` (0 or 1), ``head``
+    and ``tail`` (characters before and behind the segment) and ``context`` (hash of base, segment, head and tail)."""
+    sized = lines.withColumn("size", F.char_length("line"))
+    based = sized.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("longer")).withColumn("base", F.col("size") - F.col("longer"))
+    parts = based.withColumn("parts", F.greatest(F.lit(2), F.ceil(F.sqrt("base") / SEGMENT_ROOT).cast("int")))
+    cut = parts.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("s"))
+    cut = cut.withColumn("head", F.expr("cast(cast(base as long) * s div parts as int)"))
+    cut = cut.withColumn("tail", F.expr("cast(base - cast(base as long) * (s + 1) div parts as int)"))
+    context = F.xxhash64("base", "s", F.substr("line", F.lit(1), F.col("head")), F.substr("line", F.col("size") - F.col("tail") + 1))
+    return cut.withColumn("context", context).drop("parts", "s", "base")
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -71,16 +64,15 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def _near(occurrences: DataFrame, firsts: DataFrame, filter_bits: int) -> DataFrame:
     """Lines (h1, h2, place of the first occurrence) within one edit of an earlier line."""
-    contexts = occurrences.select(F.shiftright("h1", 33).cast("int").alias("who"), F.explode(_contexts(F.col("line"), False)).alias("context"))
-    shared = (contexts.groupBy(bitmap.position(F.col("context"), filter_bits).alias("pos"))
-              .agg(F.min("who").alias("a"), F.max("who").alias("b")).filter("a != b"))
-    words = materialize(bitmap.pack(shared, "pos"), "line-contexts")
+    contexts = _segments(occurrences.select(F.shiftright("h1", 33).cast("int").alias("who"), "line")).select("context", "who")
+    shared = contexts.groupBy("context").agg(F.min("who").alias("a"), F.max("who").alias("b")).filter("a != b")
+    words = materialize(bitmap.pack(shared.select(bitmap.position(F.col("context"), filter_bits).alias("pos")), "pos"), "line-contexts")
 
-    spread = occurrences.select("h1", "h2", "place", "line", F.explode(_contexts(F.col("line"), True)).alias("x"))
-    hit = bitmap.with_hit(spread, words, bitmap.position(F.col("x.context"), filter_bits), "_hit").filter("_hit").drop("_hit")
+    hit = bitmap.with_hit(_segments(occurrences), words, bitmap.position(F.col("context"), filter_bits), "_hit").filter("_hit")
     first = firsts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("place").alias("first"))
     hot = hit.join(first, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & (F.col("place") == F.col("first")))
-    hot = materialize(hot.select("h1", "h2", "place", "line", "x"), "line-candidates")
+    middle = F.substr("line", F.col("head") + 1, F.col("size") - F.col("tail") - F.col("head"))
+    hot = materialize(hot.select("h1", "h2", "place", "line", F.struct("context", "longer", middle.alias("middle")).alias("x")), "line-candidates")
 
     middle, longer = F.col("x.middle"), F.col("x.longer")
     size = F.char_length(middle)
@@ -119,13 +111,18 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
              .filter(F.col("place") > F.col("first")).select("place"))
     gone = later.union(near.select("place")).groupBy(F.col("place._id").alias("_gid"), F.col("place._doc").alias("_gdoc")).agg(
         F.collect_set("place.no").alias("_gone"))
-    joined = docs.join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_doc") == F.col("_gdoc")), "left")
-    lines = _lines(F.col("_text"))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    kept = F.when(F.col("_gone").isNull(), F.coalesce(F.col("_text"), F.lit(""))).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    out = joined.withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-    return out.withColumn("kept_text", kept).select("row.*", *RESULT)
+    gone = materialize(gone, "line-removed")
+    # rows that keep all their lines (a bitmap rules most of them out) don't shuffle their texts
+    words = materialize(bitmap.pack(gone.select(bitmap.position(F.col("_gdoc"), filter_bits).alias("pos")), "pos"), "line-changed")
+    marked = bitmap.with_hit(docs, words, bitmap.position(F.col("_doc"), filter_bits), "_hit")
+    same = marked.filter(~F.col("_hit")).select("row", F.size(_lines(F.col("_text"))).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"),
+                                                F.coalesce("_text", F.lit("")).alias("kept_text"))
+    joined = marked.filter("_hit").join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_doc") == F.col("_gdoc")), "left")
+    joined = joined.select("row", _lines(F.col("_text")).alias("_all"), F.coalesce("_gone", F.array().cast("array<int>")).alias("_gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_gone"))
+    changed = joined.select("row", F.size("_all").cast("long").alias("n_lines"), F.size("_gone").cast("long").alias("n_removed"),
+                            F.array_join(F.transform(left, lambda i: F.get(F.col("_all"), i)), "\n").alias("kept_text"))
+    return same.unionByName(changed).select("row.*", *RESULT)
 
 
 @query("op6_line_dedup")
