@@ -84,28 +84,13 @@ def unpivot_long(df: DataFrame, keys: list[str], cols: list[str], var: str, val:
 
 def safe_corr(a, b) -> Column:
     """Pearson correlation over pairwise-complete rows, NULL (not an ANSI divide-by-zero error) for a
-    constant column.  Six primitive sums per pair keep wide multi-column aggregations cheap."""
+    constant column.  Central moments are updated row by row (no difference of large sums), so columns with a
+    large mean and a small spread keep their digits."""
     a = (F.col(a) if isinstance(a, str) else a).cast("double")
     b = (F.col(b) if isinstance(b, str) else b).cast("double")
     both = a.isNotNull() & b.isNotNull()
     x, y = F.when(both, a), F.when(both, b)
-    n = F.count(x)
-    sx, sy = F.sum(x), F.sum(y)
-    cov = n * F.sum(x * y) - sx * sy
-    vx = n * F.sum(x * x) - sx * sx
-    vy = n * F.sum(y * y) - sy * sy
-    return F.try_divide(cov, F.sqrt(vx * vy))
-
-
-def corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair in ONE aggregation pass (long output)."""
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(safe_corr(a, b).alias(f"{a}|{b}"))
-    wide = df.agg(*aggs)
-    long = wide.unpivot([], [f"`{c}`" for c in wide.columns], "pair", "corr")
-    return long.select(F.split("pair", r"\|").getItem(0).alias("a"), F.split("pair", r"\|").getItem(1).alias("b"), "corr")
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def corr_matrix_vector(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -131,7 +116,7 @@ def corr_matrix_vector(df: DataFrame, cols: list[str]) -> DataFrame:
 def kde_by_class(df: DataFrame, value: str, cls: str, points: list[float]) -> DataFrame:
     """Gaussian KDE with Scott's bandwidth per class, evaluated on fixed points in one pass."""
     stats = df.groupBy(cls).agg(F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd"))
-    x = df.join(F.broadcast(stats), cls)  # one row per class: bounded by the class count
+    x = df.join(stats, cls)  # one row per class; the planner broadcasts it if it is small
     h = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
     k = [F.sum(F.exp(F.lit(-0.5) * F.pow((F.col(value) - F.lit(p)) / h, 2))).alias(f"p{i}")
          for i, p in enumerate(points)]

@@ -5,7 +5,7 @@ hour             date_trunc('hour', ts) as NTZ; ``t`` = whole hours since epoch
 target y         1 if any ``error`` event falls in the (entity, hour)
 hour measure     avg(value) / max(value) per (entity, hour)  ("hour-weather")
 interval event   an error event: start = ts, end = ts + value minutes
-daily report     documents, day = 2024-01-01 + doc_id % 45, every third day only
+daily report     documents, day = 2024-01-01 + 3 * (doc_id % 15): every third day has reports
 topic vector     embeddings.embedding keyed vec_id -> hour index vec_id % 720
 adjacency        e -> (e+1)%24, (e+23)%24, (e+5)%24
 
@@ -14,18 +14,21 @@ Each builder is lazy; every registered query composes these with the library ope
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import floor_hour, hour_index
+from panelcast.session import materialize
 from panelcast.sources.tables import read_table
 
 # Fixed values of the data model
 N_ENTITIES = 24
 EVENT_TYPE_TARGET = "error"
 REPORT_EPOCH = "2024-01-01"
-REPORT_DAY_MOD = 45
-REPORT_KEEP_EVERY = 3
+REPORT_DAYS = 15
+REPORT_DAY_STEP = 3
 TOPIC_HOURS = 720
 TOPIC_EPOCH = "2024-01-01 00:00:00"
 NEIGHBOUR_OFFSETS = (1, 23, 5)
@@ -56,12 +59,16 @@ def entities(spark: SparkSession) -> DataFrame:
     return spark.range(N_ENTITIES).select(F.col("id").cast("int").alias("entity_id"))
 
 
-def entity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
+def conformed(ev: DataFrame) -> DataFrame:
+    """Events with their entity and hour."""
     return ev.select(entity_of("user_id").alias("entity_id"), floor_hour("ts").alias("hour"),
                      "ts", "event_type", "value", "event_id", "user_id")
 
 
+def entity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conformed(events(spark, sf_dir))
+
+
 def dense_backbone(observed: DataFrame, ents: DataFrame, time_col: str = "hour") -> DataFrame:
     """Every (entity, hour) between the observed min and max hour.
 
@@ -73,16 +80,22 @@ def dense_backbone(observed: DataFrame, ents: DataFrame, time_col: str = "hour")
                 .select("entity_id", F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(time_col)))
 
 
-def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense (entity, hour) panel with target and hour measures, missing cells = 0."""
-    ev = entity_events(spark, sf_dir)
-    agg = ev.groupBy("entity_id", "hour").agg(
+def hourly_cells(events_: DataFrame) -> DataFrame:
+    """The observed (entity, hour) cells of ``events_``, written once.
+
+    The events are scanned and aggregated (map-side first) one time; bounds, grid and every feature branch then read
+    this table, which has a row per entity and hour.
+    """
+    cells = events_.groupBy("entity_id", "hour").agg(
         F.max(F.when(F.col("event_type") == EVENT_TYPE_TARGET, 1).otherwise(0)).alias("y"),
-        F.count(F.lit(1)).alias("n_events"),
-        F.avg("value").alias("value_avg"),
-        F.max("value").alias("value_max"))
-    grid = dense_backbone(ev, entities(spark))
-    return (grid.join(agg, ["entity_id", "hour"], "left")
+        F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("value_avg"), F.max("value").alias("value_max"))
+    return materialize(cells, "cells")
+
+
+def densify(cells: DataFrame) -> DataFrame:
+    """D1 from its cells: every (entity, hour) between the first and the last cell, missing cells = 0."""
+    grid = dense_backbone(cells, entities(cells.sparkSession))
+    return (grid.join(cells, ["entity_id", "hour"], "left")
                 .select("entity_id", "hour", hour_index("hour").alias("t"),
                         F.coalesce("y", F.lit(0)).alias("y"),
                         F.coalesce("n_events", F.lit(0).cast("long")).alias("n_events"),
@@ -90,25 +103,23 @@ def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("value_max", F.lit(0.0)).alias("value_max")))
 
 
+def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense (entity, hour) panel with target and hour measures; one scan of the events."""
+    return densify(hourly_cells(entity_events(spark, sf_dir)))
+
+
 def hourly_panel_tail(spark: SparkSession, sf_dir: str, hours: int) -> DataFrame:
     """D1 restricted to the last ``hours`` hours before the latest observed hour (W17/S11 at the source).
 
-    Events are filtered right after the scan against a one-row max, so serving-side features cost the
-    same whatever the length of the history.  Hours of the window with no events anywhere are zeros in the
-    full panel too, so every feature that looks back less than ``hours`` rows is unchanged.
+    Two scans of the events: one of ``ts`` alone for its max, one with the pushed filter ``ts >= cut`` (row groups
+    before the tail are skipped when the table is laid out by time).  Hours of the window with no events anywhere are
+    zeros in the full panel too, so every feature that looks back less than ``hours`` rows is unchanged.
     """
-    ev = entity_events(spark, sf_dir)
-    mx = ev.agg(F.max("hour").alias("_mx"))
-    tail = ev.crossJoin(F.broadcast(mx)).filter(F.col("hour") > F.col("_mx") - F.make_dt_interval(hours=F.lit(hours)))
-    agg = tail.groupBy("entity_id", "hour").agg(
-        F.max(F.when(F.col("event_type") == EVENT_TYPE_TARGET, 1).otherwise(0)).alias("y"),
-        F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("value_avg"), F.max("value").alias("value_max"))
-    grid = dense_backbone(tail, entities(spark))
-    return (grid.join(agg, ["entity_id", "hour"], "left")
-                .select("entity_id", "hour", hour_index("hour").alias("t"), F.coalesce("y", F.lit(0)).alias("y"),
-                        F.coalesce("n_events", F.lit(0).cast("long")).alias("n_events"),
-                        F.coalesce("value_avg", F.lit(0.0)).alias("value_avg"),
-                        F.coalesce("value_max", F.lit(0.0)).alias("value_max")))
+    raw = events(spark, sf_dir)
+    latest = raw.agg(F.max("ts")).first()[0]
+    cut = F.lit(False) if latest is None else F.col("ts") >= F.lit(
+        latest.replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours - 1)).cast("timestamp_ntz")
+    return densify(hourly_cells(conformed(raw.filter(cut))))
 
 
 def error_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,14 +141,16 @@ def edges(spark: SparkSession) -> DataFrame:
     return out
 
 
-def daily_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per kept day (the lowest doc_id of the day wins)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"])
-    day = F.date_add(F.lit(REPORT_EPOCH).cast("date"), F.pmod("doc_id", F.lit(REPORT_DAY_MOD)).cast("int"))
-    d = docs.withColumn("day", day).filter(F.pmod(F.datediff("day", F.lit(REPORT_EPOCH).cast("date")),
-                                                  F.lit(REPORT_KEEP_EVERY)) == 0)
-    first = d.groupBy("day").agg(F.min_by(F.struct("doc_id", "text", "lang", "n_chars"), F.col("doc_id")).alias("r"))
-    return first.select("day", "r.*")
+def daily_reports(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ("n_chars",)) -> DataFrame:
+    """One document per day, the last one (highest doc_id); days without a document have no row.
+
+    Only ``columns`` are read and carried through the aggregate: features of a report don't pull its text along.
+    """
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", *columns])
+    step = (F.pmod("doc_id", F.lit(REPORT_DAYS)) * REPORT_DAY_STEP).cast("int")
+    d = docs.withColumn("day", F.date_add(F.lit(REPORT_EPOCH).cast("date"), step))
+    last = d.groupBy("day").agg(F.max(F.struct("doc_id", *columns)).alias("r"))
+    return last.select("day", "r.*")
 
 
 def topic_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

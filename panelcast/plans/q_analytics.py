@@ -99,13 +99,22 @@ def one_hot_condition(spark, sf):
     return ev.select("event_id", *K.one_hot(F.col("event_type"), EVENT_TYPES, "is_"))
 
 
-@query("keyword_classify", covers="F18", sql="""
-SELECT doc_id, CASE WHEN contains(text, 'Snow') THEN 'Snow' WHEN contains(text, 'Rain') THEN 'Rain'
-  WHEN contains(text, 'Overcast') OR contains(text, 'cloudy') THEN 'Cloudy' WHEN contains(text, 'Clear') THEN 'Clear'
-  WHEN contains(text, 'Fog') THEN 'Fog' ELSE 'Other' END AS condition FROM documents""")
+# condition phrases as the feeds write them; two of a document's three phrases are joined, so the order of the classes decides
+PHRASES = ["Snow showers", "Light Rain", "Overcast", "Partly cloudy", "Clear sky", "Fog", "Windy", "rain and snow"]
+
+
+@query("keyword_classify", covers="F18", sql=f"""
+SELECT doc_id, phrase, CASE WHEN contains(phrase, 'Snow') THEN 'Snow' WHEN contains(phrase, 'Rain') THEN 'Rain'
+  WHEN contains(phrase, 'Overcast') OR contains(phrase, 'cloudy') THEN 'Cloudy' WHEN contains(phrase, 'Clear') THEN 'Clear'
+  WHEN contains(phrase, 'Fog') THEN 'Fog' ELSE 'Other' END AS condition
+FROM (SELECT doc_id, p[CAST(doc_id % 8 AS INTEGER) + 1] || ', ' || p[CAST(doc_id // 8 % 8 AS INTEGER) + 1] AS phrase
+      FROM documents, (SELECT {PHRASES} AS p))""")
 def keyword_classify(spark, sf):
-    d = read_table(spark, sf, "documents", ["doc_id", "text"])
-    return d.select("doc_id", K.classify_condition(F.col("text")).alias("condition"))
+    d = read_table(spark, sf, "documents", ["doc_id"])
+    words = F.array(*[F.lit(p) for p in PHRASES])
+    pick = lambda i: F.element_at(words, F.pmod(i, F.lit(len(PHRASES))).cast("int") + 1)
+    d = d.withColumn("phrase", F.concat(pick(F.col("doc_id")), F.lit(", "), pick(F.expr("doc_id div 8"))))
+    return d.select("doc_id", "phrase", K.classify_condition(F.col("phrase")).alias("condition"))
 
 
 def _flags_sql(mapping, prefix):
@@ -354,16 +363,16 @@ def lagged_crosscorr(spark, sf):
 
 
 def lagged_corr_raw(spark, sf):
-    """corr(y, lag_k(value_avg)) for k = 0..MAX_XLAG in one window pass and one aggregate."""
+    """corr(y, lag_k(value_avg)) for k = 0..MAX_XLAG: one window pass, then one narrow aggregate by lag that is
+    combined map-side (a row per lag leaves each task)."""
 
     def feats(w):
         return [F.lag("value_avg", k).over(w).alias(f"l{k}") for k in range(1, MAX_XLAG + 1)]
 
     x = W.apply_windowed(D.hourly_panel(spark, sf), feats, lead_in=MAX_XLAG, bucket_rows=D.bucket_rows(spark))
-    wide = x.agg(G.safe_corr("y", "value_avg").alias("c0"),
-                 *[G.safe_corr("y", f"l{k}").alias(f"c{k}") for k in range(1, MAX_XLAG + 1)])
-    long = wide.unpivot([], [f"c{k}" for k in range(MAX_XLAG + 1)], "name", "corr")
-    return long.select(F.substring("name", 2, 3).cast("int").alias("lag"), "corr")
+    lagged = F.array("value_avg", *[F.col(f"l{k}") for k in range(1, MAX_XLAG + 1)])
+    long = x.select("y", F.posexplode(lagged).alias("lag", "x"))
+    return long.groupBy("lag").agg(G.safe_corr("y", "x").alias("corr"))
 
 
 PROFILE_COLS = ["disc", "tax", "l_quantity", "l_extendedprice"]

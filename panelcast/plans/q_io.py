@@ -151,24 +151,40 @@ def html_extract(spark, sf):
     return pages.select("page_id", title.alias("title"), F.md5(text).alias("text_md5"), n.cast("long").alias("n_blocks"))
 
 
-@query("title_date_parse", covers="F20", sql="""
-SELECT page_id, regexp_extract(url, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AS url_date_text,
-  CAST(TRY_CAST(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1) AS DATE) AS TIMESTAMP) AS title_date_cast FROM pages""")
+def dated_pages(spark, sf):
+    """Pages as a daily report site names them: the record's date, a title with the month spelt out (none on every
+    seventh page) and a path with the date (a day off on every fifth, none on every ninth); every tenth URL twice."""
+    p = read_table(spark, sf, "pages", ["page_id"])
+    day = F.date_add(F.lit("2022-02-24").cast("date"), F.pmod("page_id", F.lit(400)).cast("int"))
+    off = F.date_add(day, F.when(F.pmod("page_id", F.lit(5)) == 0, 1).otherwise(0))
+    title = F.when(F.pmod("page_id", F.lit(7)) != 0, F.concat(F.lit("Campaign report, "), F.date_format(day, "MMMM d, yyyy"), F.lit(" - site")))
+    number = F.when(F.pmod("page_id", F.lit(10)) == 0, F.lit(0)).otherwise(F.col("page_id")).cast("string")
+    path = F.when(F.pmod("page_id", F.lit(9)) != 0, F.date_format(off, "yyyy-MM-dd")).otherwise(F.lit("undated"))
+    return p.select("page_id", day.alias("record_date"), F.coalesce(title, F.lit("Campaign report")).alias("title"),
+                    F.concat(F.lit("/reports/"), path, F.lit("/"), number).alias("url"))
+
+
+DATED_SQL = """dp AS (SELECT page_id, DATE '2022-02-24' + CAST(page_id % 400 AS INTEGER) AS day FROM pages),
+dt AS (SELECT page_id, CAST(day AS TIMESTAMP) AS record_date, CASE WHEN page_id % 7 <> 0 THEN CAST(day AS TIMESTAMP) END AS title_date,
+  CASE WHEN page_id % 9 <> 0 THEN CAST(day + CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS TIMESTAMP) END AS url_date,
+  '/reports/' || CASE WHEN page_id % 9 <> 0 THEN strftime(day + CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END, '%Y-%m-%d') ELSE 'undated' END
+  || '/' || CASE WHEN page_id % 10 = 0 THEN 0 ELSE page_id END AS url FROM dp)"""
+
+
+@query("title_date_parse", covers="F20 T1", sql=with_(DATED_SQL) + " SELECT page_id, title_date, url_date FROM dt")
 def title_date_parse(spark, sf):
-    pages = read_table(spark, sf, "pages", ["page_id", "url", "html"])
-    t = F.regexp_extract("html", r"(?s)<title[^>]*>(.*?)</title>", 1)
-    return pages.select("page_id", F.regexp_extract("url", r"[0-9]{4}-[0-9]{2}-[0-9]{2}", 0).alias("url_date_text"),
-                        F.try_to_date(t).cast("timestamp_ntz").alias("title_date_cast"))
+    d = dated_pages(spark, sf)
+    return d.select("page_id", Fi.title_date(F.col("title")).cast("timestamp_ntz").alias("title_date"),
+                    Fi.path_date(F.col("url")).cast("timestamp_ntz").alias("url_date"))
 
 
-@query("url_date_agreement", covers="Q6 F20")
+@query("url_date_agreement", covers="Q6 F20", sql=with_(DATED_SQL) + """
+SELECT page_id, url, COALESCE(title_date = record_date, false) AS title_agrees, COALESCE(url_date = record_date, false) AS url_agrees,
+       COALESCE(title_date = url_date, false) AS dates_agree, count(*) OVER (PARTITION BY url) AS url_copies FROM dt""")
 def url_date_agreement(spark, sf):
-    """Q6: date agreement between title (month-name form), URL and the record, plus duplicate URLs."""
-    pages = read_table(spark, sf, "pages", ["page_id", "url", "html"])
-    t = F.regexp_extract("html", r"(?s)<title[^>]*>(.*?)</title>", 1)
-    d_title = Fi.title_date(t)
-    d_url = Fi.path_date(F.col("url"))
-    dup = pages.groupBy("url").agg(F.count(F.lit(1)).alias("url_copies"))
-    x = pages.join(dup, "url").select("page_id", "url", d_title.alias("title_date"), d_url.alias("url_date"),
-                                      "url_copies")
-    return x.withColumn("dates_agree", F.coalesce(F.col("title_date") == F.col("url_date"), F.lit(False)))
+    """Q6: do the record's date, the title's and the URL's agree, and how often does the URL occur."""
+    d = dated_pages(spark, sf).select("page_id", "url", "record_date", Fi.title_date(F.col("title")).alias("t"), Fi.path_date(F.col("url")).alias("u"))
+    copies = d.groupBy("url").agg(F.count(F.lit(1)).alias("url_copies"))
+    same = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
+    return d.join(copies, "url").select("page_id", "url", same("t", "record_date").alias("title_agrees"),
+                                        same("u", "record_date").alias("url_agrees"), same("t", "u").alias("dates_agree"), "url_copies")

@@ -223,20 +223,21 @@ def text_scrub(spark, sf):
 
 
 @query("null_and_range_filters", covers="P3 P5 P6 P7 Q5", sql=with_(EV, """
-iv AS (SELECT ts AS start, ts + to_microseconds(CAST(round(value * 60 * 1000000) AS BIGINT)) AS e FROM ev WHERE event_type = 'error')""") + """
+iv AS (SELECT ts AS start, ts + to_microseconds(CAST(round((value - 60) * 60 * 1000000) AS BIGINT)) AS e FROM ev WHERE event_type = 'error')""") + """
 SELECT 'negative_duration' AS probe, (SELECT count(*) FROM iv WHERE e < start) AS n
 UNION ALL SELECT 'unparsable_source_id', (SELECT count(*) FROM documents
-   WHERE TRY_CAST(regexp_extract(source, '[0-9]+$') AS INTEGER) IS NULL)
+   WHERE TRY_CAST(regexp_extract(source, '[0-9]$') AS INTEGER) IS NULL OR source LIKE '%7')
 UNION ALL SELECT 'none_or_blank_text', (SELECT count(*) FROM documents WHERE text IS NULL OR trim(text) IN ('None', ''))
 UNION ALL SELECT 'discount_outlier', (SELECT count(*) FROM lineitem WHERE l_discount > 0.09 OR l_quantity > 49)
 UNION ALL SELECT 'tax_above_discount', (SELECT count(*) FROM lineitem WHERE l_tax > l_discount)
 UNION ALL SELECT 'kept_after_key_filter', (SELECT count(*) FROM documents
-   WHERE TRY_CAST(regexp_extract(source, '[0-9]+$') AS INTEGER) IS NOT NULL AND NOT (text IS NULL OR trim(text) IN ('None', '')))""")
+   WHERE NOT (TRY_CAST(regexp_extract(source, '[0-9]$') AS INTEGER) IS NULL OR source LIKE '%7') AND NOT (text IS NULL OR trim(text) IN ('None', '')))""")
 def null_and_range_filters(spark, sf):
-    iv = D.error_intervals(spark, sf)
+    # reported ends lie an hour early: some durations are negative; ids of sources ending in 7 are spoilt
+    iv = D.error_intervals(spark, sf).withColumn("end", F.col("end") - F.expr("INTERVAL 1 HOUR"))
     docs = read_table(spark, sf, "documents", ["source", "text"])
     li = read_table(spark, sf, "lineitem", ["l_discount", "l_quantity", "l_tax"])
-    key = F.regexp_extract("source", r"[0-9]+$", 0).try_cast("int")
+    key = F.regexp_extract(F.regexp_replace("source", "7$", "x"), r"[0-9]$", 0).try_cast("int")
     txt = none_string_to_null("text")
     a = iv.agg(F.count_if(F.col("end") < F.col("start")).alias("negative_duration"))
     b = docs.agg(F.count_if(key.isNull()).alias("unparsable_source_id"),
@@ -250,9 +251,12 @@ def null_and_range_filters(spark, sf):
     return one.unpivot([], names, "probe", "n")
 
 
-@query("hash_sample", covers="P16")
+SAMPLE_ROWS = 1000
+
+
+@query("hash_sample", covers="P16", sql=f"""
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5('42-' || o_orderkey), o_orderkey LIMIT {SAMPLE_ROWS}""")
 def hash_sample(spark, sf):
-    """Deterministic sample of 20% of orders by hash of the key (no rand(); stable across reruns)."""
+    """A sample of n rows (the feature), by the digest of seed and key: the same rows in every run."""
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
-    h = F.pmod(F.xxhash64("o_orderkey", F.lit(42)), F.lit(1_000_000))
-    return o.filter(h < F.lit(200_000))
+    return o.orderBy(F.md5(F.concat(F.lit("42-"), F.col("o_orderkey").cast("string"))), "o_orderkey").limit(SAMPLE_ROWS)

@@ -30,11 +30,9 @@ EDGES = """edges AS (
   FROM range(24) CROSS JOIN (VALUES (1), (23), (5)) AS offs(o))"""
 
 REPORTS = """rep_all AS (
-  SELECT doc_id, text, lang, n_chars, DATE '2024-01-01' + CAST(doc_id % 45 AS INTEGER) AS day FROM documents),
+  SELECT doc_id, n_chars, DATE '2024-01-01' + CAST(3 * (doc_id % 15) AS INTEGER) AS day FROM documents),
 reports AS (
-  SELECT day, arg_min(doc_id, doc_id) AS doc_id, arg_min(text, doc_id) AS text, arg_min(lang, doc_id) AS lang,
-         arg_min(n_chars, doc_id) AS n_chars
-  FROM rep_all WHERE date_diff('day', DATE '2024-01-01', day) % 3 = 0 GROUP BY day)"""
+  SELECT day, max(doc_id) AS doc_id, arg_max(n_chars, doc_id) AS n_chars FROM rep_all GROUP BY day)"""
 
 TOPICS = """topics AS (
   SELECT vec_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(vec_id % 720 AS BIGINT)) AS hour,

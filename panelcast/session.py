@@ -68,12 +68,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other problem (no access, no such store) is raised."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A location for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.session import path_exists
+
+_POINTER = "n long, path string"
 DATE_IN_PATH = r"(\d{4}-\d{2}-\d{2})"
 
 
@@ -57,17 +60,22 @@ def write_partitioned_json(df: DataFrame, path: str, parts: list[str]) -> None:
 
 
 def write_versioned(df: DataFrame, base: str, version: str) -> str:
-    """Write a complete new version, then publish it by writing a small pointer file last —
-    readers follow the pointer, so they never observe a half-written table."""
+    """Write a complete new version, then publish it by adding a pointer row last.
+
+    Pointers are only ever appended (numbered from 1), never replaced, so a reader always finds a complete one; the
+    highest number is current.
+    """
     target = f"{base}/v={version}"
     df.write.mode("overwrite").parquet(target)
-    df.sparkSession.createDataFrame([(target,)], "path string").write.mode("overwrite").text(f"{base}/_CURRENT")
+    spark, pointers = df.sparkSession, f"{base}/_pointers"
+    last = spark.read.schema(_POINTER).json(pointers).agg(F.max("n")).first()[0] if path_exists(spark, pointers) else None
+    spark.createDataFrame([((last or 0) + 1, target)], _POINTER).write.mode("append").json(pointers)
     return target
 
 
 def read_versioned(spark: SparkSession, base: str) -> DataFrame:
-    current = spark.read.text(f"{base}/_CURRENT").first()[0]
-    return spark.read.parquet(current)
+    current = spark.read.schema(_POINTER).json(f"{base}/_pointers").agg(F.max(F.struct("n", "path")).alias("p")).first()["p"]
+    return spark.read.parquet(current.path)
 
 
 # ------------------------------------------------------------------------------- HTML

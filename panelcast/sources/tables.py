@@ -6,6 +6,8 @@ Parquet scan (``ReadSchema`` / ``PushedFilters`` in the plan), so callers never
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,29 +19,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Tables whose per-row work is CPU-heavy (regex cleaning, tokenising, HTML parsing)
-CPU_HEAVY = {"documents", "conversations", "pages"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               where: Column | None = None, spread: bool | None = None) -> DataFrame:
+               where: Column | None = None, partitions: int | None = None) -> DataFrame:
     """Parquet scan with projection and pushdown.
 
-    ``spread`` (default: on for CPU-heavy text tables): when the scan yields fewer splits than the
-    cluster has cores (a few large row groups), rows are round-robin repartitioned right after the
-    pruned scan so the expensive per-row work runs on every core.  Large inputs already arrive in
-    many splits and are left untouched.
+    The number of splits follows ``spark.sql.files.maxPartitionBytes`` and the files' row groups; a caller that
+    knows better passes ``partitions`` (a plain ``repartition`` behind the pruned scan).
     """
     df = spark.read.parquet(table_path(sf_dir, name))
     if where is not None:
         df = df.filter(where)
     if columns:
         df = df.select(*columns)
-    if spread if spread is not None else name in CPU_HEAVY:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_range(df: DataFrame, ts_col: str, lo, hi, key_cols: list[str] | None = None) -> DataFrame:
@@ -53,15 +45,16 @@ def read_range(df: DataFrame, ts_col: str, lo, hi, key_cols: list[str] | None =
 def read_tail(df: DataFrame, ts_col: str, hours: int, strict: bool = False) -> DataFrame:
     """The last ``hours`` hours relative to the table's own max timestamp.
 
-    The max is a scalar subquery (one aggregate over the footer-pruned column), joined back as a
-    one-row broadcast, so the filter stays distributed.
+    The max is read first (one aggregate over one column, a scalar), so the cut is a literal: the filter reaches
+    the scan and row groups older than the tail are skipped.  An empty table has an empty tail.
     """
-    mx = df.agg(F.max(ts_col).alias("_mx"))
-    cut = F.col("_mx") - F.make_dt_interval(hours=F.lit(hours))
-    cond = F.col(ts_col) > cut if strict else F.col(ts_col) >= cut
-    return df.crossJoin(F.broadcast(mx)).filter(cond).drop("_mx")
+    latest = df.agg(F.max(ts_col)).first()[0]
+    if latest is None:
+        return df.filter(F.lit(False))
+    cut = F.lit(latest - timedelta(hours=hours)).cast(df.schema[ts_col].dataType)
+    return df.filter(F.col(ts_col) > cut if strict else F.col(ts_col) >= cut)
 
 
 def max_key(df: DataFrame, col: str) -> DataFrame:
-    """One-row max probe (Parquet min/max statistics make this a footer read)."""
+    """One-row max probe: an aggregate over a scan of this one column."""
     return df.agg(F.max(col).alias(f"max_{col}"))
