@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelcast.functions import strings as Sx
 from panelcast.functions.calendar import floor_hour
-from panelcast.functions.stopwords import CUSTOM_REPORT, ENGLISH
+from panelcast.functions.stopwords import CUSTOM_REPORT, ENGLISH, TRASH_MESSAGE
 from panelcast.operators import text as X
 from panelcast.plans import driver as D
 from panelcast.plans.registry import query
-from panelcast.session import materialize
+from panelcast.session import materialize, scratch_path
 from panelcast.sources.tables import read_table
 
 # Report vocabulary parameters (fixed values of the product's report vectoriser)
 MAX_FEATURES, MIN_DF, MAX_DF = 5000, 5, 0.90
 SVD_COMPONENTS = 150
 REPORT_STOP = ENGLISH + CUSTOM_REPORT
+# Chat vocabulary parameters (fixed values of the product's message vectoriser)
+CHAT_FEATURES, CHAT_MIN_DF, CHAT_MAX_DF, CHAT_NGRAMS = 10000, 5, 0.85, (2, 3)
 MIN_TOKEN = 3
 
 # Entity mention patterns for the landed conversations (stems drawn from the corpus; one with an
@@ -24,29 +28,33 @@ MIN_TOKEN = 3
 MESSAGE_PATTERNS = {0: "tion", 1: "eau", 2: "sch|tz", 3: "ment(?!e)", 4: "ier", 5: "ther", 6: "ción|ado", 7: "que"}
 THREAT_PATTERN = "ing|ung|ente"
 ALLCLEAR_PATTERN = "oui|ja"
-# The product's own pattern table (fixed values), usable with the same operator on its message feed
-PRODUCT_ENTITY_PATTERNS = {
-    2: r"вінниц", 3: r"волин|луцьк", 4: r"дніпр|дніпропетровськ", 5: r"донецьк|донеччин", 6: r"житомир",
-    7: r"закарпат|ужгород", 8: r"запоріж", 9: r"івано.франків", 10: r"київськ|київщин", 11: r"кіровоград|кропивницьк",
-    13: r"львів", 14: r"миколаїв", 15: r"одес", 16: r"полтав", 17: r"рівн", 18: r"сум", 19: r"тернопіл",
-    20: r"харків|харківщин", 21: r"херсон", 22: r"хмельниц", 23: r"черкас", 24: r"чернівц", 25: r"чернігів",
-    26: r"київ(?!ськ)"}
-PRODUCT_THREAT_PATTERN = r"загроза|виліт|пуск|ракет|шахед|герань|бпла|дрон|балістич|крилат"
-PRODUCT_ALLCLEAR_PATTERN = r"відбій"
 
 
 def _sql_list(words):
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(words))) + "]"
 
 
-CLEAN_REPORT_SQL = ("trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace({t}, '[\\r\\n]+', ' ', 'g')), "
-                    "'https?://[^ \\t\\n\\r]+', ' ', 'g'), '@[a-z0-9_]+', ' ', 'g'), '[^" + Sx.LETTERS + " ]+', ' ', 'g'), ' +', ' ', 'g'))")
-TOKENS_SQL = "list_filter(string_split(" + CLEAN_REPORT_SQL + ", ' '), lambda w: w <> '')"
+def _clean_report_sql() -> str:
+    x = "lower({t})"
+    for pattern, to in Sx.REPORT_RULES:
+        x = f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
+    return f"trim(regexp_replace({x}, '{Sx.SPACES}', ' ', 'g'))"
+
+
+CLEAN_REPORT_SQL = _clean_report_sql()
+LEMMA_SQL = """CASE WHEN suffix(w, 'sses') THEN regexp_replace(w, 'sses$', 'ss')
+  WHEN length(w) > 4 AND suffix(w, 'ies') THEN regexp_replace(w, 'ies$', 'y')
+  WHEN length(w) > 5 AND suffix(w, 'ing') THEN regexp_replace(w, 'ing$', '')
+  WHEN length(w) > 4 AND suffix(w, 'ed') THEN regexp_replace(w, 'ed$', '')
+  WHEN length(w) > 3 AND suffix(w, 's') AND NOT suffix(w, 'ss') THEN regexp_replace(w, 's$', '')
+  ELSE w END"""
+RAW_WORDS_SQL = (f"list_filter(string_split({CLEAN_REPORT_SQL.format(t='text')}, ' '), lambda w: length(w) >= {MIN_TOKEN} "
+                 f"AND NOT list_contains({_sql_list(REPORT_STOP)}, w))")
+WORDS_SQL = f"list_transform({RAW_WORDS_SQL}, lambda w: {LEMMA_SQL})"
 
 
-def report_tokens_sql(src: str = "documents", where: str = "lang = 'en'") -> str:
-    return (f"SELECT doc_id, list_filter({TOKENS_SQL.format(t='text')}, lambda w: length(w) >= {MIN_TOKEN} "
-            f"AND NOT list_contains({_sql_list(REPORT_STOP)}, w)) AS toks FROM {src} WHERE {where}")
+def vector_tokens_sql(words: str) -> str:
+    return f"list_filter(flatten(list_transform({words}, lambda w: string_split(w, '-'))), lambda w: length(w) >= 2)"
 
 
 @query("text_clean_report", covers="T2", sql=f"""
@@ -74,99 +82,141 @@ def text_clean_message(spark, sf):
 
 
 def report_docs(spark, sf):
-    d = read_table(spark, sf, "documents", ["doc_id", "text", "lang"]).filter(F.col("lang") == "en")
-    return X.doc_tokens(d, "text", REPORT_STOP, MIN_TOKEN).select("doc_id", "tokens")
+    """Every document with its words: cleaned, without stop words, as lemmas."""
+    return read_table(spark, sf, "documents", ["doc_id", "text"]).select(
+        "doc_id", X.report_words(F.col("text"), REPORT_STOP, MIN_TOKEN).alias("words"))
 
 
-@query("word_freq_top20", covers="T12 T4 O3", sql=f"""
-SELECT w AS token, count(*) AS n FROM (SELECT unnest(toks) AS w FROM ({report_tokens_sql()}))
+@query("word_freq_top20", covers="T12 T4 T5 O3", sql=f"""
+SELECT w AS token, count(*) AS n FROM (SELECT unnest({WORDS_SQL}) AS w FROM documents)
 GROUP BY w ORDER BY n DESC, token LIMIT 20""")
 def word_freq_top20(spark, sf):
-    t = report_docs(spark, sf).select(F.explode("tokens").alias("token"))
+    t = report_docs(spark, sf).select(F.explode("words").alias("token"))
     return t.groupBy("token").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "token").limit(20)
 
 
-LEMMA_SQL = """CASE WHEN suffix(w, 'sses') THEN regexp_replace(w, 'sses$', 'ss')
-  WHEN length(w) > 4 AND suffix(w, 'ies') THEN regexp_replace(w, 'ies$', 'y')
-  WHEN length(w) > 5 AND suffix(w, 'ing') THEN regexp_replace(w, 'ing$', '')
-  WHEN length(w) > 4 AND suffix(w, 'ed') THEN regexp_replace(w, 'ed$', '')
-  WHEN length(w) > 3 AND suffix(w, 's') AND NOT suffix(w, 'ss') THEN regexp_replace(w, 's$', '')
-  ELSE w END"""
+@query("shortest_messages", covers="O3", sql="""
+SELECT conv_id, turn, length(text) AS n_chars FROM conversations ORDER BY n_chars, conv_id, turn LIMIT 10""")
+def shortest_messages(spark, sf):
+    c = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    return c.select("conv_id", "turn", F.length("text").cast("long").alias("n_chars")).orderBy("n_chars", "conv_id", "turn").limit(10)
 
 
 @query("lemma_lookup", covers="T5", sql=f"""
 SELECT lemma, count(*) AS n_forms, CAST(sum(n) AS BIGINT) AS n_tokens FROM (
-  SELECT w, count(*) AS n, {LEMMA_SQL} AS lemma FROM (SELECT unnest(toks) AS w FROM ({report_tokens_sql()})) GROUP BY w)
+  SELECT w, count(*) AS n, {LEMMA_SQL} AS lemma FROM (SELECT unnest({RAW_WORDS_SQL}) AS w FROM documents) GROUP BY w)
 GROUP BY lemma""")
 def lemma_lookup(spark, sf):
-    toks = report_docs(spark, sf).select(F.explode("tokens").alias("token"))
+    words = X.remove_stopwords(Sx.word_tokens(Sx.clean_report(F.col("text"))), REPORT_STOP, MIN_TOKEN)
+    toks = read_table(spark, sf, "documents", ["text"]).select(F.explode(words).alias("token"))
     lt = X.lemma_table(toks)
     return lt.groupBy("lemma").agg(F.count(F.lit(1)).alias("n_forms"), F.sum("n").alias("n_tokens"))
 
 
-TERMS_SQL = f"""tk AS ({report_tokens_sql()}),
-terms AS (SELECT doc_id, list_concat(toks, list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1])) AS t FROM tk),
-tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM terms) GROUP BY 1, 2),
-nd AS (SELECT count(*) AS n_docs FROM tk),
+def _vocabulary_sql(min_df: int, max_df: float, features: int) -> str:
+    return f"""tf AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(t) AS term FROM terms) GROUP BY 1, 2),
+nd AS (SELECT count(*) AS n_docs FROM terms),
 st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
-vocab AS (SELECT term, df, cf, n_docs FROM st, nd WHERE df >= {MIN_DF} AND df <= floor({MAX_DF} * n_docs)
-          ORDER BY cf DESC, term LIMIT {MAX_FEATURES})"""
+vocab AS (SELECT term, df, cf, n_docs FROM st, nd WHERE df >= {min_df} AND df <= floor({max_df} * n_docs)
+          ORDER BY cf DESC, term LIMIT {features})"""
+
+
+def _grams_sql(n: int) -> str:
+    joined = " || ' ' || ".join(f"toks[i + {d}]" for d in range(n))
+    return f"list_transform(range(1, len(toks) - {n - 2}), lambda i: {joined})"
+
+
+TERMS_SQL = f"""tk AS (SELECT doc_id AS id, {vector_tokens_sql(WORDS_SQL)} AS toks FROM documents),
+terms AS (SELECT id, list_concat(toks, {_grams_sql(2)}) AS t FROM tk),
+{_vocabulary_sql(MIN_DF, MAX_DF, MAX_FEATURES)}"""
+CHAT_WORDS_SQL = f"list_filter(list_transform({MSG_CLEAN_SQL}, lambda w: {LEMMA_SQL}), lambda w: NOT list_contains({_sql_list(TRASH_MESSAGE)}, w))"
+CHAT_TERMS_SQL = f"""tk AS (SELECT conv_id * 1000 + turn AS id, {vector_tokens_sql(CHAT_WORDS_SQL)} AS toks FROM conversations),
+terms AS (SELECT id, list_concat({_grams_sql(2)}, {_grams_sql(3)}) AS t FROM tk),
+{_vocabulary_sql(CHAT_MIN_DF, CHAT_MAX_DF, CHAT_FEATURES)}"""
+
 
+def report_terms(spark, sf):
+    """(documents with their uni- and bigrams, vocabulary, document count)."""
+    docs = report_docs(spark, sf).select("doc_id", X.vector_tokens(F.col("words")).alias("tokens"))
+    docs = X.add_ngrams(docs, "tokens", (1, 2))
+    n_docs = read_table(spark, sf, "documents", ["doc_id"]).agg(F.count(F.lit(1)).alias("n_docs"))
+    # bounded by MAX_FEATURES; written once, as the weights, their broadcast and the column count all read it
+    return docs, materialize(X.vocabulary(docs, "terms", n_docs, MAX_FEATURES, MIN_DF, MAX_DF), "vocabulary"), n_docs
 
-def _tf_vocab(spark, sf):
-    docs = X.add_ngrams(report_docs(spark, sf), "tokens", (1, 2))
-    # the (doc, term, tf) table feeds both the vocabulary statistics and the weights: materialise it
-    # once (a Parquet table in the shared checkpoint folder) instead of re-tokenising the corpus per branch
-    tf = materialize(X.term_counts(docs, "doc_id"), "tf")
-    # n_samples counts every document (also those left without tokens): a plain count of the table
-    n_docs = read_table(spark, sf, "documents", ["lang"], spread=False).filter(F.col("lang") == "en").agg(
-        F.count(F.lit(1)).alias("n_docs"))
-    return tf, X.vocabulary(tf, n_docs, "doc_id", MAX_FEATURES, MIN_DF, MAX_DF)
+
+def chat_terms(spark, sf):
+    """(messages with their bi- and trigrams, vocabulary, message count): the chat path of the vectoriser."""
+    msgs = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
+    words = X.message_words(Sx.clean_message(F.col("text")), TRASH_MESSAGE)
+    docs = msgs.select((F.col("conv_id") * 1000 + F.col("turn")).alias("msg_id"), X.vector_tokens(words).alias("tokens"))
+    docs = X.add_ngrams(docs, "tokens", CHAT_NGRAMS)
+    n_docs = read_table(spark, sf, "conversations", ["conv_id"]).agg(F.count(F.lit(1)).alias("n_docs"))
+    return docs, materialize(X.vocabulary(docs, "terms", n_docs, CHAT_FEATURES, CHAT_MIN_DF, CHAT_MAX_DF), "chat-vocabulary"), n_docs
+
+
+WEIGHTS_SQL = """,
+w AS (SELECT tf.id, tf.term, tf.tf * (ln((1 + v.n_docs) / (1 + v.df)) + 1) AS w FROM tf JOIN vocab v USING (term))"""
 
 
 @query("ngram_vocab", covers="T6 T7", sql="WITH " + TERMS_SQL + """
 SELECT term, df, CAST(cf AS BIGINT) AS cf FROM vocab""")
 def ngram_vocab(spark, sf):
-    _, v = _tf_vocab(spark, sf)
+    _, v, _ = report_terms(spark, sf)
     return v.select("term", "df", "cf")
 
 
-@query("tfidf_weights", covers="T8", sql="WITH " + TERMS_SQL + """,
-w AS (SELECT tf.doc_id, tf.term, tf.tf * (ln((1 + v.n_docs) / (1 + v.df)) + 1) AS w FROM tf JOIN vocab v USING (term))
-SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
+@query("tfidf_weights", covers="T8", sql="WITH " + TERMS_SQL + WEIGHTS_SQL + """
+SELECT id AS doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS weight FROM w""")
 def tfidf_weights(spark, sf):
-    tf, v = _tf_vocab(spark, sf)
-    w = X.tfidf(tf, v, "doc_id")
-    return w.select("doc_id", "term", D.r6("weight").alias("weight"))
+    docs, v, _ = report_terms(spark, sf)
+    return X.tfidf(docs, "doc_id", "terms", v).select("doc_id", "term", D.r6("weight").alias("weight"))
+
+
+@query("chat_tfidf", covers="T3 T4 T5 T6 T7 T8", sql="WITH " + CHAT_TERMS_SQL + WEIGHTS_SQL + """
+SELECT id AS msg_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS weight FROM w""")
+def chat_tfidf(spark, sf):
+    docs, v, _ = chat_terms(spark, sf)
+    return X.tfidf(docs, "msg_id", "terms", v).select("msg_id", "term", D.r6("weight").alias("weight"))
 
 
 @query("matrix_sparsity", covers="T11", sql="WITH " + TERMS_SQL + """,
-nz AS (SELECT count(*) AS nnz, count(DISTINCT doc_id) AS nrows FROM tf JOIN vocab USING (term))
-SELECT nnz, nrows AS rows, (SELECT count(*) FROM vocab) AS cols,
-       round(1 - nnz / (nrows * (SELECT count(*) FROM vocab)), 6) AS sparsity FROM nz""")
+nz AS (SELECT count(*) AS nnz FROM tf JOIN vocab USING (term))
+SELECT nnz, n_docs AS rows, (SELECT count(*) FROM vocab) AS cols,
+       round(1 - nnz / (n_docs * (SELECT count(*) FROM vocab)), 6) AS sparsity FROM nz, nd""")
 def matrix_sparsity(spark, sf):
-    tf, v = _tf_vocab(spark, sf)
-    w = X.tfidf(tf, v, "doc_id")
-    s = X.sparsity(w, v, "doc_id")
+    docs, v, n_docs = report_terms(spark, sf)
+    s = X.sparsity(X.tfidf(docs, "doc_id", "terms", v), v, n_docs)
     return s.select("nnz", "rows", "cols", D.r6("sparsity").alias("sparsity"))
 
 
-def _svd(spark, sf):
-    tf, v = _tf_vocab(spark, sf)
-    w = X.tfidf(tf, v, "doc_id").cache()
-    return X.truncated_svd(w, v, "doc_id", SVD_COMPONENTS)
+def fitted_topics(spark, sf):
+    """(documents with terms, place of the saved vectoriser, number of components)."""
+    docs, v, _ = report_terms(spark, sf)
+    loadings = X.fit_svd(X.tfidf(docs, "doc_id", "terms", v), v, "doc_id", SVD_COMPONENTS)
+    path = X.save_vectoriser(v, loadings, scratch_path(spark, f"vectoriser/{uuid.uuid4().hex[:12]}"))
+    return docs, path, len(loadings.first().vec)
 
 
 @query("svd_topics", covers="T9 T10")
 def svd_topics(spark, sf):
-    topics, _, _ = _svd(spark, sf)
-    return topics
+    """Topics of every document, by the saved and reread vectoriser."""
+    docs, path, width = fitted_topics(spark, sf)
+    return X.project(spark, docs, "doc_id", "terms", path, width)
+
+
+@query("svd_loading_norms", covers="T9", sql="WITH " + TERMS_SQL + f"""
+SELECT CAST(range AS INTEGER) AS topic, 1.0 AS norm FROM range({SVD_COMPONENTS}) WHERE range < (SELECT count(*) FROM vocab) - 1""")
+def svd_loading_norms(spark, sf):
+    """Every component's loadings have unit length (columns of V)."""
+    _, path, _ = fitted_topics(spark, sf)
+    long = spark.read.parquet(f"{path}/loadings").select(F.posexplode("vec").alias("topic", "x"))
+    return long.groupBy("topic").agg(D.r6(F.sqrt(F.sum(F.col("x") * F.col("x")))).alias("norm"))
 
 
 @query("svd_top_terms", covers="O4")
 def svd_top_terms(spark, sf):
-    _, loadings, _ = _svd(spark, sf)
-    return X.top_terms_per_component(loadings, 10)
+    _, path, _ = fitted_topics(spark, sf)
+    return X.top_terms_per_component(spark.read.parquet(f"{path}/loadings"), 10)
 
 
 MSG_HOUR_SQL = "date_trunc('hour', TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(conv_id % 720 AS BIGINT)) + to_minutes(CAST(turn AS BIGINT)))"
