@@ -3,16 +3,22 @@ tables and returns the final sink contents; the oracle is the batch SQL of the s
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from panelcast.functions.calendar import floor_hour
 from panelcast.operators import dedupe as U
+from panelcast.operators.windows import family_shift
 from panelcast.plans import driver as D
-from panelcast.plans.q_panel import lag_feature_block
+from panelcast.plans.q_panel import WIDE_SQL, family_columns, lag_feature_block, wide_panel
 from panelcast.plans.registry import query
-from panelcast.plans.sqlfrag import EV, PANEL, with_
+from panelcast.plans.sqlfrag import EV, PANEL, REPORTS, with_
+from panelcast.session import materialize, path_exists
+from panelcast.sources.tables import read_tail
 from panelcast.streaming import jobs as J
 
 def week_of(c):
@@ -87,12 +93,12 @@ def stream_upsert(spark, sf):
         cells = (batch.withColumn("entity_id", D.entity_of("user_id")).withColumn("hour", floor_hour("ts"))
                  .groupBy("entity_id", "hour").agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("value_sum"))
                  .withColumn("day", F.to_date("hour")))
-        try:
+        if path_exists(spark, target):  # a failing read is raised: it must not pass for an empty table
             existing = spark.read.parquet(target)
             touched = cells.select("day").distinct()
             old = existing.join(touched, "day", "left_semi").select(*cells.columns)
             merged = U.upsert(old, cells, ["entity_id", "hour"])
-        except Exception:  # first batch: nothing to merge with
+        else:
             merged = cells
         stage = f"{ws}/stage/batch_id={batch_id}"
         merged.write.mode("overwrite").parquet(stage)           # materialise before overwriting partitions
@@ -123,7 +129,7 @@ def stream_dedupe(spark, sf):
 TAIL_HOURS = 720
 
 
-@query("incremental_equals_batch", covers="X6 X7 X11 X12", sql=with_(PANEL, """
+@query("incremental_equals_batch", covers="X6 X12", sql=with_(PANEL, """
 f AS (SELECT entity_id, hour, y, COALESCE(lag(y, 1) OVER w, 0) AS lag_1, COALESCE(lag(y, 3) OVER w, 0) AS lag_3,
         COALESCE(lag(y, 6) OVER w, 0) AS lag_6, COALESCE(lag(y, 12) OVER w, 0) AS lag_12,
         CAST(COALESCE(sum(y) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS alarms_in_last_24h,
@@ -145,30 +151,98 @@ def incremental_equals_batch(spark, sf):
 
     def append_batch(batch, batch_id):
         new = batch.select("entity_id", "hour", "t", "y")
-        try:
-            existing = spark.read.parquet(table)
-        except Exception:
-            existing = None
-        if existing is None:
+        existing = spark.read.parquet(table).filter(F.col("batch_id") < batch_id) if path_exists(spark, table) else None
+        if existing is None or existing.isEmpty():
             feats = lag_feature_block(new, bucket_rows=None)
         else:
-            mx = existing.agg(F.max("hour").alias("_mx"))
-            tail = (existing.crossJoin(F.broadcast(mx))
-                    .filter(F.col("hour") > F.col("_mx") - F.make_dt_interval(hours=F.lit(TAIL_HOURS))))
-            last = tail.filter(F.col("hour") == F.col("_mx")).select(
+            latest = existing.agg(F.max("hour")).first()[0]
+            tail = read_tail(existing, "hour", TAIL_HOURS, strict=True)  # a literal cut: old row groups are skipped
+            last = tail.filter(F.col("hour") == F.lit(latest).cast("timestamp_ntz")).select(
                 "entity_id", F.col("t").alias("_t0"), F.col("y").alias("_y0"), F.col("hours_since_last").alias("_h0"))
             combo = tail.select("entity_id", "hour", "t", "y").unionByName(new)
-            feats = lag_feature_block(combo, bucket_rows=None).drop("hours_since_last")
+            feats = lag_feature_block(combo).drop("hours_since_last")
             feats = feats.join(new.select("entity_id", "t"), ["entity_id", "t"], "left_semi")
             # exact continuation of hours-since: events among the new rows, else the stored state
             from panelcast.operators.windows import prefix_scan
-            ev = prefix_scan(feats, {"_ev": ("max", F.when(F.col("y") == 1, F.col("t")))}, "entity_id", "t")
+            ev = prefix_scan(feats, {"_ev": ("max", F.when(F.col("y") == 1, F.col("t")))}, "entity_id", "t",
+                             bucket_rows=D.bucket_rows(spark))
             ev = ev.join(last, "entity_id", "left")
             hs = (F.when(F.col("_ev").isNotNull(), F.col("t") - F.col("_ev") - 1)
                   .when(F.col("_y0") == 1, F.col("t") - F.col("_t0") - 1)
                   .otherwise(F.col("_h0") + (F.col("t") - F.col("_t0"))))
             feats = ev.withColumn("hours_since_last", hs.cast("double"))
-        feats.select(*cols, "t").write.mode("append").parquet(table)
+        feats.select(*cols, "t").write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")  # a replay writes itself again
 
     J.run_drops(spark, p, "_chunk", PANEL_SCHEMA, build, append_batch, ws)
     return spark.read.parquet(table).select(*cols)
+
+
+FINAL_LEAD_HOURS = 72
+COMPARE_DAYS = 90
+FINAL_COLS = ["entity_id", "hour", "y", "hour_value_avg", "day_value_max", "msg_n_events", "rep_n_chars"]
+FINAL_SQL = """SELECT entity_id, hour, y, round(COALESCE(lag(hour_value_avg, 1) OVER w, 0), 6) AS hour_value_avg,
+  round(COALESCE(lag(day_value_max, 24) OVER w, 0), 6) AS day_value_max, COALESCE(lag(msg_n_events, 1) OVER w, 0) AS msg_n_events,
+  COALESCE(lag(rep_n_chars, 24) OVER w, 0) AS rep_n_chars
+FROM wide WINDOW w AS (PARTITION BY entity_id ORDER BY hour)"""
+
+
+def _shifted(panel, bucket_rows):
+    out = family_shift(panel, family_columns(panel.columns), bucket_rows=bucket_rows)
+    return out.select(*[D.r6(c).alias(c) if c in ("hour_value_avg", "day_value_max") else F.col(c) for c in FINAL_COLS])
+
+
+@query("rebuild_missing_final", covers="X7", sql=with_(PANEL, REPORTS, WIDE_SQL) + FINAL_SQL)
+def rebuild_missing_final(spark, sf):
+    """The second stage finds the earliest hour of the last 90 days that the final table lacks and rebuilds from
+    there, with 72 hours of lead-in; what lies before stays as stored.  Here the stored table has a hole in its third
+    week and ends a day early."""
+    wide = materialize(wide_panel(spark, sf), "unshifted")
+    keys = ["entity_id", "hour"]
+    hole = (F.datediff("hour", F.lit("2024-01-01").cast("date")) == 16) & (F.hour("hour") == 5)
+    late = F.to_date("hour") >= F.to_date(F.lit(wide.agg(F.max("hour")).first()[0]))
+    final = materialize(_shifted(wide, D.bucket_rows(spark)).filter(~hole & ~late), "final")
+
+    recent = read_tail(wide, "hour", 24 * COMPARE_DAYS).select(*keys)
+    start = recent.join(final, keys, "left_anti").agg(F.min("hour")).first()[0]
+    if start is None:
+        return final
+    lead = wide.filter(F.col("hour") >= F.lit(start - timedelta(hours=FINAL_LEAD_HOURS)).cast("timestamp_ntz"))
+    from_start = F.lit(start).cast("timestamp_ntz")
+    new = _shifted(lead, D.bucket_rows(spark)).filter(F.col("hour") >= from_start)
+    return final.filter(F.col("hour") < from_start).unionByName(new)
+
+
+REPORT_SCHEMA = T.StructType([T.StructField("day", T.DateType()), T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType())])
+DAY_OUT = T.StructType([T.StructField("day", T.TimestampNTZType()), T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType())])
+
+
+@query("stream_report_carry", covers="X11 W14", sql=with_(REPORTS, """
+cal AS (SELECT DATE '2024-01-01' + CAST(range AS INTEGER) AS day FROM range(45))""") + """
+SELECT CAST(c.day AS TIMESTAMP) AS day, COALESCE(r.doc_id, 0) AS doc_id, COALESCE(r.n_chars, 0) AS n_chars
+FROM cal c LEFT JOIN LATERAL (SELECT * FROM reports r WHERE r.day <= c.day ORDER BY r.day DESC LIMIT 1) r ON true
+WHERE c.day <= (SELECT max(day) FROM reports)""")
+def stream_report_carry(spark, sf):
+    """X11: each tick fills its own days; a day without a report keeps the latest one, across ticks too: the seed is the
+    last stored row with a report.  A batch writes its own folder, so a replay changes nothing."""
+    ws = J.new_workspace(spark, "report-carry")
+    table = f"{ws}/table"
+    reports = D.daily_reports(spark, sf).withColumn("_chunk", week_of("day"))
+
+    def carry(batch, batch_id):
+        stored = spark.read.parquet(table).filter((F.col("batch_id") < batch_id) & (F.col("doc_id") > 0)) if path_exists(spark, table) else None
+        seed = stored.agg(F.max(F.struct("day", "doc_id", "n_chars")).alias("s")).select("s.*") if stored is not None else None
+        done = spark.read.parquet(table).filter(F.col("batch_id") < batch_id).agg(F.max("day")).first()[0] if stored is not None else None
+        first = done.date() + timedelta(days=1) if done is not None else date.fromisoformat(D.REPORT_EPOCH)
+        last = batch.agg(F.max("day")).first()[0]
+        days = spark.range((last - first).days + 1).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("day"))
+        rows = days.join(batch, "day", "left")
+        if seed is not None:
+            rows = rows.unionByName(seed.select(F.lit(first - timedelta(days=1)).alias("day"), "doc_id", "n_chars"))
+        # the days of one tick and a seed row: one small ordered window
+        w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+        filled = rows.select("day", *[F.coalesce(F.last(c, ignorenulls=True).over(w), F.lit(0)).cast("long").alias(c) for c in ("doc_id", "n_chars")])
+        out = filled.filter(F.col("day") >= F.lit(first)).withColumn("day", F.col("day").cast("timestamp_ntz"))
+        out.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+    J.run_drops(spark, reports, "_chunk", REPORT_SCHEMA, lambda s: s, carry, ws)
+    return J.read_sink(spark, table, DAY_OUT).select("day", "doc_id", "n_chars")

@@ -12,12 +12,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.session import scratch_path
+from panelcast.session import path_exists, scratch_path
 
 
 def new_workspace(spark: SparkSession, name: str) -> str:
@@ -68,10 +69,8 @@ def run_drops(spark: SparkSession, source: DataFrame, chunk: str, schema: T.Stru
 
 
 def read_sink(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.parquet(out).drop("batch_id")
-    except Exception:  # nothing emitted
-        return spark.createDataFrame([], schema)
+    """What the sink holds; empty only if no batch has written yet (a failing read is raised)."""
+    return spark.read.parquet(out).drop("batch_id") if path_exists(spark, out) else spark.createDataFrame([], schema)
 
 
 # ------------------------------------------------------------------------------------------ X5
@@ -94,13 +93,14 @@ def continue_hours_since(key, pdfs, state):
     else:
         prev_y, prev_h, prev_t = None, None, None
     rows = pdf if prev_t is None else pdf[pdf["t"] > prev_t]   # replayed rows were already emitted
-    out = []
-    for y, t in zip(rows["y"].tolist(), rows["t"].tolist()):
-        h = 0.0 if prev_y is None or prev_y == 1 else prev_h + 1.0
-        out.append(h)
-        prev_y, prev_h, prev_t = int(y), h, int(t)
-    if prev_t is not None:
-        state.update((prev_y, prev_h, prev_t))
+    at = np.arange(len(rows))
+    # the last event row strictly before each row (-1: none in this batch), then hours counted from it or from the state
+    last = np.maximum.accumulate(np.where(rows["y"].to_numpy() == 1, at, -1)) if len(rows) else at
+    before = np.r_[-1, last[:-1]].astype(int) if len(rows) else at
+    carried = 0.0 if prev_y is None or prev_y == 1 else prev_h + 1.0
+    hours = np.where(before >= 0, at - 1 - before, carried + at).astype(float)
+    if len(rows):
+        state.update((int(rows["y"].iloc[-1]), float(hours[-1]), int(rows["t"].iloc[-1])))
     res = rows[["entity_id", "hour", "y"]].copy()
-    res["hours_since_last"] = out
+    res["hours_since_last"] = hours
     yield res
