@@ -105,8 +105,9 @@ def regression_metrics(df: DataFrame, label: str = "y", pred: str = "pred") -> D
 
 
 def champion_gate(new_ap: Column, old_ap: Column, new_f1: Column, old_f1: Column) -> Column:
-    """Accept when PR-AUC improves by more than eps, or ties and F1 is not worse; no champion -> accept."""
+    """Accept when PR-AUC improves by more than eps, or ties and F1 is not worse (both by the
+    same tolerance); no champion -> accept."""
     return (F.when(old_ap.isNull(), F.lit(True))
              .when(new_ap > old_ap + F.lit(GATE_EPS), F.lit(True))
-             .when((F.abs(new_ap - old_ap) <= F.lit(GATE_EPS)) & (new_f1 >= old_f1), F.lit(True))
+             .when((F.abs(new_ap - old_ap) <= F.lit(GATE_EPS)) & (new_f1 >= old_f1 - F.lit(GATE_EPS)), F.lit(True))
              .otherwise(F.lit(False)))

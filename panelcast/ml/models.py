@@ -41,9 +41,8 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 
 
 def with_balanced_weights(df: DataFrame, label: str = "y", out: str = "w") -> DataFrame:
-    """M2: n / (k * n_c) per row via a (bounded: one row per class) broadcast join."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label)
+    """M2: n / (k * n_c) per row; the planner broadcasts the class table if it is small."""
+    return df.join(class_weights(df, label).select(label, F.col("weight").alias(out)), label)
 
 
 def proba(model_df: DataFrame, out: str = "score") -> DataFrame:

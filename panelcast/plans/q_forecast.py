@@ -1,90 +1,73 @@
-"""Forecast queries (M19, M20, A25, S17): recursive Monte-Carlo scoring of the next 24 hours."""
+"""Forecast tables (A25, S17, F23): aggregates over replicas and the nested forecast document of batch-scored rows."""
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+import uuid
+
 from pyspark.sql import functions as F
 
-from panelcast.functions.calendar import from_hour_index
-from panelcast.ml import forecast as Fc
-from panelcast.ml import metrics as Mx
-from panelcast.ml import models as Md
-from panelcast.ml.split import chronological_split
-from panelcast.operators.graph import lagged_global_total, lagged_neighbour_sum
+from panelcast.ml import bundle as B
+from panelcast.operators import windows as W
 from panelcast.plans import driver as D
-from panelcast.plans.q_panel import lag_feature_block
+from panelcast.plans.q_models import fit_bundle, split_panel
 from panelcast.plans.registry import query
-from panelcast.session import scratch_path
-from panelcast.sources.tables import read_tail
-
-
-def recursive_panel(spark, sf):
-    p = D.hourly_panel(spark, sf)
-    lags = lag_feature_block(p)
-    tot = lagged_neighbour_sum(lagged_global_total(p.select("entity_id", "hour", "y"), "y"), D.edges(spark), "y")
-    return lags.join(tot.select("entity_id", "hour", "total_lag1", "neighbour_lag1"), ["entity_id", "hour"])
+from panelcast.plans.sqlfrag import PANEL, with_
+from panelcast.session import path_exists, scratch_path
 
+REPLICA_HOURS = (6, 12, 24)
+ALARM_SHARE = 0.25
 
-def fit_recursive_model(spark, sf):
-    """Balanced L2 logistic regression on the recursively computable features; threshold = best F1 on valid."""
-    x = chronological_split(recursive_panel(spark, sf), "hour", "entity_id").cache()
-    tr = Md.with_balanced_weights(x.filter(F.col("split") == "train"))
-    va = VectorAssembler(inputCols=Fc.RECURSIVE_FEATURES, outputCol="raw")
-    sc = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    n_w = tr.agg(F.sum("w")).first()[0]
-    lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", regParam=1.0 / (Md.LOGREG_C * n_w))
-    model = Pipeline(stages=[va.setParams(handleInvalid="keep"), sc, lr]).fit(
-        tr.select(*[F.col(c).cast("double").alias(c) for c in Fc.RECURSIVE_FEATURES], "y", "w"))
-    valid = x.filter(F.col("split") == "valid").select(*[F.col(c).cast("double").alias(c) for c in Fc.RECURSIVE_FEATURES], "y")
-    scored = Md.proba(model.transform(valid)).select("y", "score")
-    thr = float(Mx.threshold_sweep(scored).filter("is_best").first()["threshold"])
-    scaler, lrm = model.stages[1], model.stages[2]
-    return (lrm.coefficients.toArray(), float(lrm.intercept), scaler.mean.toArray(), scaler.std.toArray(), thr)
 
+@query("replica_aggregate", covers="A25", sql=with_(PANEL, "r AS (" + " UNION ALL ".join(
+    f"SELECT entity_id, hour, {h} AS replica, COALESCE(sum(y) OVER (PARTITION BY entity_id ORDER BY hour ROWS BETWEEN {h} PRECEDING AND 1 PRECEDING), 0) / {h}.0 AS proba FROM panel"
+    for h in REPLICA_HOURS) + ")") + f"""
+SELECT entity_id, hour, round(avg(proba), 6) AS proba_mean, round(stddev_pop(proba), 6) AS proba_std, round(avg(proba), 6) >= {ALARM_SHARE} AS alarm
+FROM r GROUP BY entity_id, hour""")
+def replica_aggregate(spark, sf):
+    """Mean and spread over replicas of an hour's probability, then the alarm; a replica here is the share of alarms in
+    the last 6, 12 or 24 hours."""
+    def shares(w):
+        return [F.array(*[(W.rolling_sum_prev("y", h, w) / F.lit(float(h))) for h in REPLICA_HOURS]).alias("shares")]
 
-def run_forecast(spark, sf):
-    coef, b, mean, std, thr = fit_recursive_model(spark, sf)
-    panel = D.hourly_panel(spark, sf).select("entity_id", "hour", "t", "y")
-    tail = read_tail(panel, "hour", Fc.STATE_HOURS, strict=True)          # W17: hour > max - 168 h
-    edges = {}
-    for r in D.edges(spark).collect():                                    # static adjacency: 3 x entities rows
-        edges.setdefault(r.src, []).append(r.dst)
-    ents = list(range(D.N_ENTITIES))
-    sim = Fc.make_simulator(coef, b, mean, std, ents, edges)
-    sims = Fc.replicate_state(tail.select("entity_id", "t", "y")).groupBy("replica_id").applyInPandas(sim, Fc.OUT_SCHEMA)
-    agg = Fc.aggregate_replicas(sims, thr)
-    return agg.select("entity_id", from_hour_index("t").alias("hour"), F.round("proba_mean", 4).alias("proba"),
-                      F.round("proba_std", 4).alias("uncertainty"), "alarm"), thr
+    x = W.apply_windowed(D.hourly_panel(spark, sf), shares, lead_in=max(REPLICA_HOURS), bucket_rows=D.bucket_rows(spark))
+    long = x.select("entity_id", "hour", F.posexplode("shares").alias("replica", "proba"))
+    g = long.groupBy("entity_id", "hour").agg(D.r6(F.avg("proba")).alias("proba_mean"), D.r6(F.stddev_pop("proba")).alias("proba_std"))
+    return g.withColumn("alarm", F.col("proba_mean") >= ALARM_SHARE)
 
 
-@query("recursive_forecast", covers="M19 M20 A25")
-def recursive_forecast(spark, sf):
-    out, _ = run_forecast(spark, sf)
-    return out
+def forecast_document(scored, threshold: float, trained: str):
+    """One JSON document: header, and entity -> {HH:mm -> alarm, probability}; bounded by entities x 24 hours."""
+    fc = scored.withColumn("k", F.date_format("hour", "HH:mm"))
+    per = fc.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "alarm"))).alias("forecast"),
+                                      F.map_from_entries(F.collect_list(F.struct("k", F.round("score", 4)))).alias("forecast_proba"))
+    record = F.struct(F.col("entity_id").alias("region_id"), F.concat(F.lit("city-"), F.col("entity_id")).alias("city_name"), "forecast", "forecast_proba")
+    regions = per.agg(F.map_from_entries(F.collect_list(F.struct(F.col("entity_id").cast("string"), record))).alias("regions_forecast"))
+    head = fc.agg(F.date_format(F.min("hour") - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd HH:mm:ss").alias("last_prediction_time"),
+                  F.countDistinct("hour").alias("hours"), F.countDistinct("entity_id").alias("regions"), F.count(F.lit(1)).alias("rows"))
+    return head.crossJoin(regions).select("last_prediction_time", F.to_json(F.struct(
+        F.lit(trained).alias("last_model_train_time"), "last_prediction_time", F.lit(threshold).alias("threshold"), "hours", "regions", "rows",
+        "regions_forecast")).alias("document"))
 
 
-@query("forecast_json", covers="S17 F23")
+@query("forecast_json", covers="S17 F23 M18")
 def forecast_json(spark, sf):
-    """The nested forecast document: header + entity -> {HH:MM -> alarm / proba / uncertainty}."""
-    fc, thr = run_forecast(spark, sf)
-    fc = fc.withColumn("k", F.date_format("hour", "HH:mm")).cache()
-    per = fc.groupBy("entity_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("k", "alarm"))).alias("forecast"),
-        F.map_from_entries(F.collect_list(F.struct("k", "proba"))).alias("forecast_proba"),
-        F.map_from_entries(F.collect_list(F.struct("k", "uncertainty"))).alias("forecast_uncertainty"))
-    regions = per.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("entity_id").cast("string"),
-        F.struct(F.col("entity_id").alias("region_id"), "forecast", "forecast_proba", "forecast_uncertainty"))))
-        .alias("regions_forecast"))
-    head = fc.agg(F.date_format(F.min("hour") - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd HH:mm:ss").alias("last_prediction_time"),
-                  F.countDistinct("hour").alias("hours"), F.countDistinct("entity_id").alias("regions"),
-                  F.count(F.lit(1)).alias("rows"))
-    doc = head.crossJoin(regions).select(F.to_json(F.struct(
-        "last_prediction_time", F.lit(thr).alias("threshold"), F.lit(Fc.N_REPLICAS).alias("mc_samples"), "hours",
-        "regions", "rows", "regions_forecast")).alias("document"))
-    out = scratch_path(spark, "forecasts")
-    doc.write.mode("overwrite").text(f"{out}/latest")                    # one bounded document per run
-    return doc
+    """The last 24 hours scored by the saved and reloaded bundle, written as a timestamped document and as the latest,
+    and read back as rows."""
+    x = split_panel(spark, sf)
+    base = scratch_path(spark, f"forecasts/{uuid.uuid4().hex[:12]}")
+    B.promote(B.save_bundle(fit_bundle(x), f"{base}/bundle", spark), base, spark)
+    bundle = B.current_bundle(base, spark)
+    last = x.agg(F.max("hour")).first()[0]
+    day = x.filter(F.col("hour") > F.lit(last).cast("timestamp_ntz") - F.expr("INTERVAL 24 HOURS"))
+    doc = forecast_document(B.score(bundle, day, ["entity_id", "hour"]), bundle.threshold, last.strftime("%Y-%m-%d %H:%M:%S")).cache()
+    stamp = doc.first().last_prediction_time.replace(" ", "T").replace(":", "-")
+    for place in (f"{base}/forecast_{stamp}", f"{base}/latest"):
+        doc.select("document").write.text(place)
+    doc.unpersist()
+    assert path_exists(spark, f"{base}/forecast_{stamp}")
+    schema = ("last_prediction_time string, threshold double, hours long, regions long, rows long, "
+              "regions_forecast map<string, struct<region_id: int, city_name: string, forecast: map<string, boolean>, forecast_proba: map<string, double>>>")
+    back = spark.read.text(f"{base}/latest").select(F.from_json("value", schema).alias("d"))
+    regions = back.select("d.last_prediction_time", "d.threshold", F.explode("d.regions_forecast").alias("k", "r"))
+    rows = regions.select(F.col("r.region_id").alias("entity_id"), "r.city_name", "threshold", "r.forecast", F.explode("r.forecast_proba").alias("time_key", "proba"))
+    return rows.withColumn("alarm", F.col("forecast")[F.col("time_key")]).drop("forecast")

@@ -114,7 +114,7 @@ apo AS (SELECT sum(pos / (SELECT sum(y) FROM so) * tp / (tp + fp)) AS ap FROM (
 fn AS (SELECT 2.0 * count(*) FILTER (WHERE score >= 0.5 AND y = 1) / (count(*) FILTER (WHERE score >= 0.5) + sum(y)) AS f1 FROM sl),
 fo AS (SELECT 2.0 * count(*) FILTER (WHERE score >= 0.5 AND y = 1) / (count(*) FILTER (WHERE score >= 0.5) + sum(y)) AS f1 FROM so)""") + """
 SELECT round(apn.ap, 6) AS new_ap, round(apo.ap, 6) AS old_ap, round(fn.f1, 6) AS new_f1, round(fo.f1, 6) AS old_f1,
-  CASE WHEN apn.ap > apo.ap + 1e-6 THEN true WHEN abs(apn.ap - apo.ap) <= 1e-6 AND fn.f1 >= fo.f1 THEN true ELSE false END AS accepted
+  CASE WHEN apn.ap > apo.ap + 1e-6 THEN true WHEN abs(apn.ap - apo.ap) <= 1e-6 AND fn.f1 >= fo.f1 - 1e-6 THEN true ELSE false END AS accepted
 FROM apn, apo, fn, fo""")
 def champion_gate(spark, sf):
     new = scored_labels(spark, sf)

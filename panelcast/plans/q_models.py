@@ -3,11 +3,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from panelcast.ml import bundle as B
 from panelcast.ml import models as Md
 from panelcast.ml import split as Sp
 from panelcast.operators import windows as W
+from panelcast.operators.clean import align_features
 from panelcast.operators.graph import lagged_global_total, lagged_neighbour_sum
 from panelcast.plans import driver as D
 from panelcast.plans.q_panel import FAMILY_SHIFTS, family_columns, lag_feature_block, wide_panel
@@ -59,13 +63,14 @@ def _train_test(spark, sf):
 
 @query("logreg_fit_score", covers="M6 M15 M18")
 def logreg_fit_score(spark, sf):
-    tr, te, _ = _train_test(spark, sf)
+    tr, te, x = _train_test(spark, sf)
     feats = features_of(tr)
     trw = Md.with_balanced_weights(tr)
     n_w = trw.agg(F.sum("w")).first()[0]
     model = Md.logreg_pipeline(feats, n_w).fit(trw)
+    valid = Md.proba(model.transform(x.filter(F.col("split") == "valid"))).select("y", "score")
+    thr = Md.best_threshold(valid)  # never from the rows it is reported on
     scored = Md.proba(model.transform(te)).select("entity_id", "hour", "y", "score")
-    thr = Md.best_threshold(scored)
     return scored.select("entity_id", "hour", "y", F.round("score", 4).alias("proba"),
                          (F.col("score") >= thr).alias("alarm"))
 
@@ -83,7 +88,7 @@ def logreg_coefficients(spark, sf):
                                  "feature string, coefficient double, share_pct double")
 
 
-@query("gbt_fit_score", covers="M3 M4 M8 M9 M17")
+@query("gbt_fit_score", covers="M3 M8 M9 M17")
 def gbt_fit_score(spark, sf):
     x = split_panel(spark, sf)
     tr = x.filter(F.col("split") == "train")
@@ -102,7 +107,7 @@ def gbt_fit_score(spark, sf):
         rows.append((name, m["average_precision"], m["roc_auc"], m["f1"], thr, cv_ap,
                      Md.summary_record("gbt", m, {"params": params, "threshold": thr})))
     imp = final.featureImportances.toArray().tolist()
-    top = sorted(zip(feats, imp), key=lambda r: -r[1])[:5]
+    top = sorted(zip(feats, imp), key=lambda r: -r[1])[:20]
     return spark.createDataFrame([r + (str(top),) for r in rows],
                                  "split string, average_precision double, roc_auc double, f1 double, threshold double, "
                                  "cv_average_precision double, summary string, top_importances string")
@@ -123,14 +128,14 @@ def rf_fit_score(spark, sf):
 @query("linreg_fit_score", covers="M7 M13")
 def linreg_fit_score(spark, sf):
     from panelcast.ml import metrics as Mx
-    tr, te, _ = _train_test(spark, sf)
+    tr, te, x = _train_test(spark, sf)
     feats = features_of(tr)
     model = Md.linreg().fit(Md.assemble(tr, feats).withColumn("y", F.col("y").cast("double")))
-    scored = model.transform(Md.assemble(te, feats)).select("y", F.col("prediction").alias("score"))
+    score = lambda part: model.transform(Md.assemble(part, feats)).select("y", F.col("prediction").alias("score"))
     grid = [round(0.20 + 0.05 * i, 2) for i in range(11)]        # the linear model sweeps from 0.20
-    sweep = Mx.threshold_sweep(scored, grid=grid)
+    sweep = Mx.threshold_sweep(score(x.filter(F.col("split") == "valid")), grid=grid)  # tuned on the validation rows
     thr = sweep.filter("is_best").first()["threshold"]
-    reg = Mx.regression_metrics(scored.withColumn("pred", (F.col("score") >= thr).cast("double")))
+    reg = Mx.regression_metrics(score(te).withColumn("pred", (F.col("score") >= thr).cast("double")))
     return sweep.crossJoin(reg)
 
 
@@ -145,30 +150,45 @@ def permutation_importance(spark, sf):
     return Md.permutation_importance(model, sample.select("row_id", "y", *feats), feats, repeats=5)
 
 
-@query("retrain_summary", covers="M16 M17 M18")
-def retrain_summary(spark, sf):
-    """Retrain -> evaluate (valid, test) -> gate against the champion -> append the JSON record.
+def fit_bundle(x, rows=None) -> B.Bundle:
+    """The balanced logistic pipeline on the training rows (or on ``rows``), its threshold from the validation rows."""
+    tr = rows if rows is not None else x.filter(F.col("split") == "train")
+    feats = features_of(x)
+    flat = lambda df: align_features(df, feats, ["y"])
+    trw = Md.with_balanced_weights(flat(tr))
+    model = Md.logreg_pipeline(feats, trw.agg(F.sum("w")).first()[0]).fit(trw)
+    thr = Md.best_threshold(Md.proba(model.transform(flat(x.filter(F.col("split") == "valid")))).select("y", "score"))
+    return B.Bundle(model, thr, feats)
+
 
-    The challenger is the balanced logistic pipeline; the champion is the previous model's scorer, here
-    the one-hour-lag rule (score = lag_1).  The record is appended to a metrics table in the shared
-    folder (append-only, one row per retrain) and returned.
+@query("retrain_summary", covers="M16 M17 M18 P13")
+def retrain_summary(spark, sf):
+    """The stored champion (fitted on the first half of the training rows) against a retrained challenger on the test
+    rows; the gate decides whether the challenger is promoted.  The champion's folder stays as the backup.  The summary is
+    written as one JSON record and returned.
     """
     from panelcast.ml import metrics as Mx
-    from panelcast.session import scratch_path
-
-    x = split_panel(spark, sf).cache()
-    tr, va, te = (x.filter(F.col("split") == s) for s in ("train", "valid", "test"))
-    feats = features_of(tr)
-    trw = Md.with_balanced_weights(tr)
-    model = Md.logreg_pipeline(feats, trw.agg(F.sum("w")).first()[0]).fit(trw)
-    thr = Md.best_threshold(Md.proba(model.transform(va)).select("y", "score"))
-    new = Md.evaluate(Md.proba(model.transform(te)).select("y", "score"), thr)
-    old = Md.evaluate(te.select("y", F.col("lag_1").cast("double").alias("score")), 0.5)
-    acc = spark.range(1).select(Mx.champion_gate(F.lit(new["average_precision"]), F.lit(old["average_precision"]),
-                                                 F.lit(new["f1"]), F.lit(old["f1"])).alias("a")).first()["a"]
+    from panelcast.session import materialize, scratch_path
+
+    x = materialize(split_panel(spark, sf), "split-panel")
+    te = x.filter(F.col("split") == "test")
+    base = scratch_path(spark, f"production/{uuid.uuid4().hex[:12]}")
+    train = x.filter(F.col("split") == "train")
+    half = train.agg((F.max("pos") / 2).alias("p")).first().p
+    B.promote(B.save_bundle(fit_bundle(x, train.filter(F.col("pos") < half)), f"{base}/v1", spark), base, spark)
+
+    champion, challenger = B.current_bundle(base, spark), fit_bundle(x)
+    metrics = {n: Md.evaluate(B.score(b, te, ["y"]), b.threshold) for n, b in (("old", champion), ("new", challenger))}
+    old, new = metrics["old"], metrics["new"]
+    ok = spark.range(1).select(Mx.champion_gate(F.lit(new["average_precision"]), F.lit(old["average_precision"]),
+                                                F.lit(new["f1"]), F.lit(old["f1"])).alias("a")).first()["a"]
+    B.save_bundle(challenger, f"{base}/v2", spark)
+    if ok:
+        B.promote(f"{base}/v2", base, spark)
+    done = B.history(base, spark)
     rec = Md.summary_record("logreg", {f"new_{k}": v for k, v in new.items()},
-                            {**{f"old_{k}": v for k, v in old.items()}, "threshold": thr, "accepted": bool(acc),
-                             "n_train": tr.count(), "n_test": te.count(), "features": feats})
-    out = spark.createDataFrame([(rec, bool(acc), thr)], "record string, accepted boolean, threshold double")
-    out.write.mode("append").json(scratch_path(spark, "retrain_metrics"))
+                            {**{f"old_{k}": v for k, v in old.items()}, "threshold": challenger.threshold, "accepted": bool(ok),
+                             "promoted": done[-1], "backups": done[:-1], "n_test": te.count(), "features": challenger.features})
+    out = spark.createDataFrame([(rec, bool(ok), challenger.threshold, len(done))], "record string, accepted boolean, threshold double, promotions int")
+    out.write.json(f"{base}/retrain_metrics")
     return out

@@ -1,4 +1,4 @@
-"""Forecast determinism / bounds and source-format round trips."""
+"""Forecast documents, model bundles and source-format round trips."""
 
 import datetime as dt
 import tempfile
@@ -11,12 +11,39 @@ from panelcast.sources import files as Fi
 from tests.conftest import SF_SMALL
 
 
-def test_recursive_forecast_is_deterministic_and_bounded(spark):
-    a = E.queries()["recursive_forecast"](spark, SF_SMALL).toPandas().sort_values(["entity_id", "hour"])
-    b = E.queries()["recursive_forecast"](spark, SF_SMALL).toPandas().sort_values(["entity_id", "hour"])
-    assert len(a) == 24 * 24
-    assert a["proba"].between(0, 1).all() and (a["uncertainty"] >= 0).all()
-    assert a.reset_index(drop=True).equals(b.reset_index(drop=True))
+def test_forecast_document_holds_a_day_for_every_entity(spark):
+    a = E.queries()["forecast_json"](spark, SF_SMALL).toPandas()
+    assert len(a) == 24 * 24 and a["proba"].between(0, 1).all() and a["city_name"].nunique() == 24
+    assert ((a["proba"] >= a["threshold"] - 1e-4) == a["alarm"]).mean() > 0.99
+
+
+def test_bundle_reloads_and_promotion_keeps_a_backup(spark):
+    from panelcast.ml import bundle as B
+    from panelcast.plans.q_models import fit_bundle, split_panel
+    from panelcast.session import scratch_path
+
+    x = split_panel(spark, SF_SMALL).cache()
+    fitted = fit_bundle(x)
+    base = scratch_path(spark, "test-bundles/" + dt.datetime.now().strftime("%H%M%S%f"))
+    assert B.current_bundle(base, spark) is None
+    for v in ("a", "b"):
+        B.promote(B.save_bundle(fitted, f"{base}/{v}", spark), base, spark)
+    assert B.history(base, spark) == [f"{base}/a", f"{base}/b"]
+    again = B.current_bundle(base, spark)
+    assert (again.threshold, again.features) == (fitted.threshold, fitted.features)
+    part = x.filter(F.col("split") == "test")
+    one, two = (B.score(b, part, ["entity_id", "hour"]).orderBy("entity_id", "hour").collect() for b in (fitted, again))
+    assert one == two
+    # a missing feature counts as 0, an extra one is ignored
+    assert B.score(again, part.drop(again.features[0]).withColumn("other", F.lit(1)), ["hour"]).count() == part.count()
+    x.unpersist()
+
+
+def test_versioned_table_reads_the_last_published(spark):
+    base = tempfile.mkdtemp(prefix="pc-ver-") + "/t"
+    for v in ("1", "2"):
+        Fi.write_versioned(spark.createDataFrame([(v,)], "v string"), base, v)
+    assert Fi.read_versioned(spark, base).collect() == [("2",)]
 
 
 def test_cp1251_semicolon_csv_roundtrip(spark):
