@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.operators.ranking import prefix_sum
+from panelcast.session import materialize
 
 # Fixed values of the product's model-selection rules
 THRESHOLD_GRID = [0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70]
@@ -19,9 +20,9 @@ GATE_EPS = 1e-6
 
 
 def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Distinct score -> (pos, neg) counts."""
-    return df.groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("pos"),
-                                 F.sum((1 - F.col(label)).cast("long")).alias("neg"))
+    """Distinct score -> (pos, neg) counts, written once: curves and totals read the same table."""
+    return materialize(df.groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("pos"),
+                                             F.sum((1 - F.col(label)).cast("long")).alias("neg")), "score-counts")
 
 
 def roc_auc(df: DataFrame, label: str = "y", score: str = "score") -> DataFrame:

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.operators.ranking import exact_quantiles
+from panelcast.operators.ranking import SALTS, exact_quantiles
 
 
 def null_outside(c: str, lo: float | None = None, hi: float | None = None) -> Column:
@@ -27,12 +27,21 @@ def null_outside(c: str, lo: float | None = None, hi: float | None = None) -> Co
 
 
 def group_mean_impute(df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
-    """Fill NULLs with the mean of their group (computed once per group, joined back)."""
+    """Fill NULLs with the mean of their group (computed once per group, joined back).
+
+    Only rows with a NULL meet the means; they are dealt over SALTS parts per group, so a group of any size spreads.
+    Rows with a NULL key have no group and stay as they are.
+    """
     means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    out = df.join(means, keys, "left")
+    missing = F.lit(False)
+    for c in cols:
+        missing = missing | F.col(c).isNull()
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    holes = df.filter(missing).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    out = holes.join(means.withColumn("_salt", salts), [*keys, "_salt"], "left")
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_m_{c}")))
-    return out.drop(*[f"_m_{c}" for c in cols])
+    return df.filter(~missing).unionByName(out.select(*df.columns))
 
 
 def median_impute(df: DataFrame, cols: list[str]) -> DataFrame:

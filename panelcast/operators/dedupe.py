@@ -1,7 +1,7 @@
 """Set operations and de-duplication.
 
-Keep-first / keep-last are written as grouped ``max_by``/``min_by`` over a version ordering: a
-hash aggregate with map-side partial combine, so a hot key is pre-reduced before the shuffle
+Keep-first / keep-last are written as grouped ``max_by``/``min_by`` over a version ordering (sort aggregates, as the
+buffers hold structs) with map-side partial combine, so a hot key is pre-reduced before the shuffle
 (a ``row_number`` window would sort every copy of a hot key inside one task).
 """
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from panelcast.session import materialize
 
 PID = "_pid"
+SALTS = 16
 
 
 def prefix_sum(df: DataFrame, order: list[str], weight: Column | dict | None = None, keys: list[str] | None = None,
@@ -57,7 +58,8 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], keys: list[str]
     """
     keys = list(keys or [])
     vals = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    cnt = vals.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    # counted once: ranks and totals both read this table
+    cnt = materialize(vals.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")), "quantile-values")
     ranked = prefix_sum(cnt, [value], F.col("_c"), keys, out="_hi_rank")  # inclusive count up to value
     n = cnt.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     qs_arr = F.array(*[F.lit(float(q)) for q in qs])
@@ -68,8 +70,10 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], keys: list[str]
     lo_in = (F.col("_lo") >= F.col("_lo_rank")) & (F.col("_lo") < F.col("_hi_rank"))
     up_in = (F.col("_up") >= F.col("_lo_rank")) & (F.col("_up") < F.col("_hi_rank"))
     if keys:
-        # (groups x quantiles) grows with the number of groups: an equi-join on the keys, planner's choice
-        pick = r.join(pos, keys).filter(lo_in | up_in)
+        # a key with very many distinct values is dealt over SALTS parts; its few wanted ranks go to each of them
+        spread = pos.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = r.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
+        pick = salted.join(spread, [*keys, "_salt"]).filter(lo_in | up_in)
     else:
         pick = r.join(F.broadcast(pos), lo_in | up_in)     # |qs| rows
     agg = pick.groupBy(*keys, "q", "_p", "_lo").agg(F.max(F.when(lo_in, F.col(value))).alias("_vlo"),

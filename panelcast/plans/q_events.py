@@ -8,7 +8,7 @@ from panelcast.functions.calendar import add_hours, hour_index
 from panelcast.operators import asof as A
 from panelcast.operators import dedupe as U
 from panelcast.operators import intervals as I
-from panelcast.operators.vectors import vector_mean_by_key
+from panelcast.operators.vectors import scale, vector_mean_by_key
 from panelcast.plans import driver as D
 from panelcast.plans.q_panel import CELLS_SQL, observed_cells
 from panelcast.plans.registry import query
@@ -87,6 +87,25 @@ def asof_decay(spark, sf):
                     D.r6(F.coalesce(F.col("intensity") * A.decay_factor(gap), F.lit(0.0))).alias("intensity"))
 
 
+@query("asof_decay_vector", covers="J11", sql=with_(PANEL, TOPICS, """th_el AS (SELECT hour, i, avg(v) AS m FROM (
+    SELECT hour, unnest(vec) AS v, unnest(range(len(vec))) AS i FROM topics) GROUP BY hour, i),
+th AS (SELECT hour, list(m ORDER BY i) AS vec FROM th_el GROUP BY hour),
+hrs AS (SELECT DISTINCT hour FROM panel),
+x AS (SELECT h.hour, m.vec, CASE WHEN date_diff('hour', m.hour, h.hour - INTERVAL 1 HOUR) <= 0 THEN 1.0
+             ELSE pow(0.5, date_diff('hour', m.hour, h.hour - INTERVAL 1 HOUR) / 6.0) END AS f
+      FROM hrs h JOIN LATERAL (SELECT * FROM th WHERE th.hour <= h.hour - INTERVAL 1 HOUR ORDER BY th.hour DESC LIMIT 1) m ON true)""") + """
+SELECT hour, CAST(i AS INTEGER) AS topic, round(vec[i + 1] * f, 6) AS value FROM (SELECT hour, vec, f, unnest(range(len(vec))) AS i FROM x)""")
+def asof_decay_vector(spark, sf):
+    """J11 on the whole topic vector: the latest vector before each hour, scaled by the decay of its age."""
+    th = topic_hourly(spark, sf).withColumnRenamed("hour", "topic_hour")
+    hrs = D.hourly_panel(spark, sf).select("hour").distinct().withColumn("src", add_hours("hour", -1))
+    x = A.asof_join(hrs, th.withColumn("src", F.col("topic_hour")), "src", ["vec", "topic_hour"],
+                    t_out="_m", bucket_rows=168 * 3_600_000_000).filter(F.col("vec").isNotNull())
+    gap = F.timestamp_diff("HOUR", F.col("topic_hour"), F.col("src"))
+    scaled = x.select("hour", F.posexplode(scale("vec", A.decay_factor(gap))).alias("topic", "v"))
+    return scaled.select("hour", "topic", D.r6("v").alias("value"))
+
+
 @query("asof_decay_entity", covers="J12", sql=with_(EV, CELLS_SQL, """
 L AS (SELECT max(hour) AS last_hour FROM cells),
 tgt AS (SELECT e.entity_id, L.last_hour + to_hours(CAST(k AS BIGINT)) AS hour

@@ -10,6 +10,7 @@ from panelcast.operators.graph import lagged_global_total, lagged_neighbour_sum
 from panelcast.plans import driver as D
 from panelcast.plans.registry import query
 from panelcast.plans.sqlfrag import EDGES, EV as EV_SQL, PANEL, REPORTS, with_
+from panelcast.sources.tables import read_table
 
 
 @query("panel_dense_backbone", covers="J6 J1 P11 F7", sql=with_(PANEL) + """
@@ -243,3 +244,24 @@ def last_state_per_entity(spark, sf):
     ev = cells.groupBy("entity_id").agg(F.max(F.when(F.col("y") == 1, F.col("hour"))).alias("last_event_hour"))
     return last.join(ev, "entity_id").select("entity_id", F.col("hour").alias("last_hour"), F.col("y").alias("last_y"),
                                              D.r6("value_avg").alias("last_value_avg"), "last_event_hour")
+
+
+@query("supplier_daily_features", covers="W3 W7", sql="""
+WITH c AS (SELECT l_suppkey AS entity_id, CAST(date_diff('day', TIMESTAMP '1970-01-01', l_shipdate) AS BIGINT) AS t,
+                  CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS qty, count(*) AS n_lines FROM lineitem GROUP BY 1, 2)
+SELECT entity_id, t, qty, n_lines, COALESCE(sum(qty) OVER (w RANGE BETWEEN 7 PRECEDING AND 7 PRECEDING), 0) AS qty_at_7,
+       COALESCE(sum(qty) OVER (w RANGE BETWEEN 28 PRECEDING AND 1 PRECEDING), 0) AS qty_28d
+FROM c WINDOW w AS (PARTITION BY entity_id ORDER BY t)""")
+def supplier_daily_features(spark, sf):
+    """The clock-window features on the largest landed table: a (supplier, day) panel of shipped lines."""
+    li = read_table(spark, sf, "lineitem", ["l_suppkey", "l_shipdate", "l_quantity"])
+    day = F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date")).cast("long")
+    cells = li.groupBy(F.col("l_suppkey").alias("entity_id"), day.alias("t")).agg(
+        D.money_sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n_lines"))
+
+    def feats(w):
+        total = lambda a, b: F.coalesce(F.sum("qty").over(w.rangeBetween(a, b)), F.lit(0.0))
+        return [total(-7, -7).alias("qty_at_7"), total(-28, -1).alias("qty_28d")]
+
+    x = W.apply_windowed(cells, feats, lead_in=28, bucket_rows=365)
+    return x.select("entity_id", "t", "qty", "n_lines", "qty_at_7", "qty_28d")
