@@ -44,6 +44,8 @@ BLOCK = 256
 FILTER_BITS = 1 << 26
 #: Estimated similarity from which a member joins a leader; from which two leaders are linked.
 ABSORB, LINK = 0.92, 0.4
+#: So many of the nearest leaders are compared before the others.
+NEAREST = 64
 _SEED = 20
 _U = np.uint64
 
@@ -175,22 +177,39 @@ def _matrix(column, dtype) -> np.ndarray:
 
 
 def _lead(rows: pa.Table, absorb: float, link: float):
-    """Edges among the rows of a group, and the rows that lead: (member, leader, signature or None)."""
+    """Edges that connect the linked rows of a group, and the rows that lead it.
+
+    Rows come in order of their labels, so the nearest leaders in the trie are the last ones; they are tried first.
+    An edge is kept only if it joins two parts of the group that weren't connected yet: at most one per row.
+    """
     nodes = rows.column("node").to_numpy()
     sig = _matrix(rows.column("bytes"), np.uint8)
     leaders: list[int] = []
+    part = np.zeros(len(nodes), np.int64)  # of each leader, in order
     edges: list[tuple[int, int]] = []
     for i in range(len(nodes)):
-        if leaders:
-            like = (sig[leaders] == sig[i]).mean(axis=1)
-            best = int(like.argmax())
-            if nodes[leaders[best]] == nodes[i]:
-                continue
-            if like[best] >= absorb:
-                edges.append((nodes[i], nodes[leaders[best]]))
+        n = len(leaders)
+        mine = i
+        for lo, hi in ((max(0, n - NEAREST), n), (0, max(0, n - NEAREST))):
+            at = np.flatnonzero(part[lo:hi] != mine) + lo  # leaders not connected to this row yet
+            if not len(at):
                 continue
-            edges += [(nodes[i], nodes[leaders[x]]) for x in np.flatnonzero(like >= link)]
-        leaders.append(i)
+            chosen = np.array(leaders)[at]
+            if (nodes[chosen] == nodes[i]).any():
+                mine = -1
+                break
+            like = (sig[chosen] == sig[i]).mean(axis=1)
+            if like.max() >= absorb:
+                edges.append((nodes[i], nodes[chosen[int(like.argmax())]]))
+                mine = -1
+                break
+            for x in at[like >= link]:
+                if part[x] != mine:
+                    edges.append((nodes[i], nodes[leaders[x]]))
+                    part[:n][part[:n] == part[x]] = mine
+        if mine >= 0:
+            part[n] = mine
+            leaders.append(i)
     return edges, leaders
 
 
