@@ -121,14 +121,3 @@ def hour_grid(spark: SparkSession, lo_hi: DataFrame, lo: str = "lo", hi: str = "
     n = int(row["b"]) - int(row["a"]) + 1
     parts = max(1, min(4096, n // rows_per_partition + 1))
     return spark.range(0, n, 1, parts).select(from_hour_index(F.col("id") + F.lit(int(row["a"]))).alias(name))
-
-
-def day_grid(spark: SparkSession, lo_hi: DataFrame, lo: str = "lo", hi: str = "hi", name: str = "day") -> DataFrame:
-    """every date between one-row bounds."""
-    row = lo_hi.select(F.col(lo).cast("date").alias("a"), F.col(hi).cast("date").alias("b")).first()
-    if row is None or row["a"] is None:
-        return spark.createDataFrame([], f"{name} date")
-    n = (row["b"] - row["a"]).days + 1
-    start = row["a"].isoformat()
-    return spark.range(0, n, 1, max(1, n // 100_000 + 1)).select(
-        F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias(name))

@@ -180,12 +180,6 @@ def hours_since_last_event(df: DataFrame, y: str = "y", entity: str = "entity_id
     return x.withColumn(out, (F.col(t) - start).cast("double")).drop("_last_ev", "_first_t")
 
 
-def forward_fill(c: str, w: WindowSpec, fill=0) -> Column:
-    """``ffill().fillna(fill)`` over the window order."""
-    return F.coalesce(F.last(F.col(c), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-                      F.lit(fill))
-
-
 def last_row_per_entity(df: DataFrame, entity: str, order: str, cols: list[str]) -> DataFrame:
     """The latest row of each entity as a grouped ``max_by`` (partial aggregation, no sort)."""
     packed = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order))

@@ -214,6 +214,17 @@ def drop_incomplete_month(spark, sf):
     return m.crossJoin(F.broadcast(mx)).filter(~incomplete).select(F.col("m").cast("timestamp_ntz").alias("month"), "n")
 
 
+@query("drop_last_month", covers="A10", sql="""
+WITH m AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1)
+SELECT CAST(m AS TIMESTAMP) AS month, n FROM m WHERE m < (SELECT max(m) FROM m)""")
+def drop_last_month(spark, sf):
+    """A10, the plain form: the last period always goes."""
+    o = read_table(spark, sf, "orders", ["o_orderdate"])
+    m = o.groupBy(C.floor_month("o_orderdate").cast("timestamp_ntz").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    last = m.agg(F.max("month").alias("last"))
+    return m.crossJoin(F.broadcast(last)).filter(F.col("month") < F.col("last")).drop("last")
+
+
 @query("weekly_rollup", covers="A9 F6", sql="""
 SELECT week, n, round(total, 6) AS total, round(total / n, 6) AS mean FROM (
   SELECT CAST(date_trunc('week', o_orderdate) AS TIMESTAMP) AS week, count(*) AS n,

@@ -251,3 +251,28 @@ def dup_audit(spark, sf):
     return (ev.groupBy("user_id", "hour")
               .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_type").alias("n_types"))
               .filter(F.col("n") > 1))
+
+
+@query("first_wins_subset", covers="U2", sql="""
+SELECT user_id, event_type, event_id, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")
+def first_wins_subset(spark, sf):
+    """The first event of each (user, type) stays."""
+    ev = D.events(spark, sf).select("user_id", "event_type", "event_id", "ts")
+    return U.keep_first(ev, ["user_id", "event_type"], "ts")
+
+
+@query("open_interval_flags", covers="J8", sql=with_(PANEL, IV, """
+mx AS (SELECT max(hour) AS m FROM panel),
+o AS (SELECT entity_id, start, CASE WHEN event_id % 2 = 0 AND start > mx.m - INTERVAL 24 HOUR THEN mx.m ELSE "end" END AS e FROM iv, mx)""") + """
+SELECT p.entity_id, p.hour, CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.entity_id = p.entity_id AND o.start < p.hour + INTERVAL 1 HOUR
+  AND o.e > p.hour) THEN 1 ELSE 0 END AS active FROM panel p""")
+def open_interval_flags(spark, sf):
+    """J8 with intervals that haven't ended: half of the last day's alarms are still open (their end is missing, or in
+    year 1) and close at the cutoff, the panel's last hour."""
+    panel = D.hourly_panel(spark, sf).select("entity_id", "hour")
+    cutoff = panel.agg(F.max("hour")).first()[0]
+    still = (F.col("event_id") % 2 == 0) & (F.col("start") > F.lit(cutoff).cast("timestamp_ntz") - F.expr("INTERVAL 24 HOURS"))
+    gone = F.when(F.col("event_id") % 4 == 0, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
+    iv = D.error_intervals(spark, sf).withColumn("end", F.when(still, gone).otherwise(F.col("end")))
+    return I.overlap_flags(I.close_open_intervals(iv, cutoff=cutoff), panel, ["entity_id"]).select("entity_id", "hour", "active")

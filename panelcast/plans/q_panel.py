@@ -265,3 +265,13 @@ def supplier_daily_features(spark, sf):
 
     x = W.apply_windowed(cells, feats, lead_in=28, bucket_rows=365)
     return x.select("entity_id", "t", "qty", "n_lines", "qty_at_7", "qty_28d")
+
+
+@query("last_known_per_entity", covers="W13", sql=with_(EV_SQL, CELLS_SQL) + """
+SELECT entity_id, arg_max(y, hour) FILTER (WHERE n_events > 1) AS last_busy_y, arg_max(n_events, hour) FILTER (WHERE y = 1) AS last_alarm_events
+FROM cells GROUP BY entity_id""")
+def last_known_per_entity(spark, sf):
+    """W13 (``last()``): every column's own last known value; y is unknown in quiet hours, the count outside alarms."""
+    cells = observed_cells(spark, sf).select("entity_id", "hour", F.when(F.col("n_events") > 1, F.col("y")).alias("last_busy_y"),
+                                             F.when(F.col("y") == 1, F.col("n_events")).alias("last_alarm_events"))
+    return W.last_non_null_per_entity(cells, "entity_id", "hour", ["last_busy_y", "last_alarm_events"])

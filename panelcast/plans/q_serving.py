@@ -13,6 +13,7 @@ from panelcast.plans.q_analytics import TARGET_SCHEMA
 from panelcast.plans.q_panel import CELLS_SQL, lag_feature_block, observed_cells, wide_panel
 from panelcast.plans.registry import query
 from panelcast.plans.sqlfrag import EV, PANEL, TOPICS, with_
+from panelcast.sources.tables import read_table
 
 
 def forecast_table(spark, sf):
@@ -47,11 +48,15 @@ def serve_region(spark, sf):
                      S.is_alarm(F.col("entity_id"), F.col("proba")).alias("alarm"))
 
 
-@query("serve_region_list", covers="V2", sql=with_(PANEL) + """
-SELECT DISTINCT entity_id FROM panel WHERE entity_id NOT IN (1, 12)""")
+@query("serve_region_list", covers="V2", sql=with_(EV) + """
+SELECT entity_id, n_name AS city, n_events FROM (SELECT entity_id, count(*) AS n_events FROM ev WHERE entity_id NOT IN (1, 12) GROUP BY 1)
+JOIN nation ON n_nationkey = entity_id""")
 def serve_region_list(spark, sf):
-    p = D.hourly_panel(spark, sf).select("entity_id").distinct()
-    return p.filter(~F.col("entity_id").isin(*S.EXCLUDED_FROM_LIST)).orderBy("entity_id")
+    """V2: the regions that have events, with their city (a nation's name stands for it); the always-on ones are left out."""
+    seen = D.entity_events(spark, sf).groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_events"))
+    names = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    listed = seen.filter(~F.col("entity_id").isin(*S.EXCLUDED_FROM_LIST)).join(names, F.col("entity_id") == F.col("n_nationkey"))
+    return listed.select("entity_id", F.col("n_name").alias("city"), "n_events").orderBy("entity_id")
 
 
 @query("serve_peak_hour", covers="V4 V5 V6", sql=with_(PANEL, FC_SQL, """
@@ -142,22 +147,22 @@ def health_report(spark, sf):
     return Q.health_report(ev, "hour", "entity_id", D.N_ENTITIES, days=60)
 
 
-@query("contract_checks", covers="Q7 Q8", sql=with_(PANEL, TOPICS) + """
+@query("contract_checks", covers="Q7 Q8", sql=with_(EV, CELLS_SQL, TOPICS) + """
 SELECT 'topic_width_mismatch' AS check_name, count(*) FILTER (WHERE len(vec) <> 64) AS n FROM topics
 UNION ALL SELECT 'entity_set_mismatch', (SELECT count(*) FROM ((SELECT range AS e FROM range(24))
-    EXCEPT (SELECT DISTINCT entity_id FROM panel)))
-UNION ALL SELECT 'hours_per_entity_mismatch', (SELECT count(*) FROM (SELECT entity_id, count(*) AS c FROM panel GROUP BY 1)
-    WHERE c <> (SELECT count(DISTINCT hour) FROM panel))
+    EXCEPT (SELECT DISTINCT entity_id FROM cells)))
+UNION ALL SELECT 'hours_per_entity_mismatch', (SELECT count(*) FROM (SELECT entity_id, count(*) AS c FROM cells GROUP BY 1)
+    WHERE c <> (SELECT count(DISTINCT hour) FROM cells))
 UNION ALL SELECT 'schema_missing_columns', 3
 UNION ALL SELECT 'schema_extra_columns', 2""")
 def contract_checks(spark, sf):
     topics = D.topic_vectors(spark, sf)
-    panel = D.hourly_panel(spark, sf)
+    cells = observed_cells(spark, sf).select("entity_id", "hour")  # what was observed, not the grid made from it
     width = topics.agg(F.count_if(F.size("vec") != 64).alias("n")).select(F.lit("topic_width_mismatch").alias("check_name"), "n")
-    ents = D.entities(spark).join(panel.select("entity_id").distinct(), "entity_id", "left_anti").agg(
+    ents = D.entities(spark).join(cells.select("entity_id").distinct(), "entity_id", "left_anti").agg(
         F.count(F.lit(1)).alias("n")).select(F.lit("entity_set_mismatch").alias("check_name"), "n")
-    nh = panel.agg(F.countDistinct("hour").alias("_h"))
-    per = panel.groupBy("entity_id").agg(F.count(F.lit(1)).alias("_c")).crossJoin(F.broadcast(nh))
+    nh = cells.agg(F.countDistinct("hour").alias("_h"))
+    per = cells.groupBy("entity_id").agg(F.count(F.lit(1)).alias("_c")).crossJoin(F.broadcast(nh))
     hrs = per.agg(F.count_if(F.col("_c") != F.col("_h")).alias("n")).select(
         F.lit("hours_per_entity_mismatch").alias("check_name"), "n")
     # Q7: drift of the raw event projection against the aligned target schema (computed on the plan's schema)
