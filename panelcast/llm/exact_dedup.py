@@ -18,6 +18,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm import bitmap
 from panelcast.llm.common import table
 from panelcast.llm.registry import query
 from panelcast.session import materialize
@@ -29,30 +30,14 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
-def _position(n: int, bits: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(n), F.col("text_sha256")), F.lit(bits))
-
-
-def _repeated_words(digests: DataFrame, bits: int) -> DataFrame:
-    """Filter words: ``word``, and in ``hits`` the positions that two or more rows hit."""
-    hit = digests.select(F.explode(F.array(_position(0, bits), _position(1, bits))).alias("pos")).groupBy("pos").count()
-    return (hit.filter("count >= 2").groupBy(F.shiftright("pos", 6).alias("word"))
-               .agg(F.bit_or(F.expr("shiftleft(1L, cast(pos & 63 as int))")).alias("hits")))
-
-
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``; the largest id of equal texts stays."""
     digests = materialize(df.select(F.col(id_col).alias("doc_id"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256")), "dedup-digests")
-    words = materialize(_repeated_words(digests, filter_bits), "dedup-filter")
-    probed = digests
-    for n in (0, 1):
-        side = F.broadcast(words.select(F.col("word").alias("_word"), F.col("hits").alias(f"_hits{n}")))
-        probed = probed.join(side, F.shiftright(_position(n, filter_bits), 6) == F.col("_word"), "left").drop("_word")
-    both = F.lit(True)
-    for n in (0, 1):
-        bit = F.call_function("shiftright", F.col(f"_hits{n}"), F.pmod(_position(n, filter_bits), F.lit(64)).cast("int")).bitwiseAND(F.lit(1))
-        both = both & (F.coalesce(bit, F.lit(0)) == 1)
-    probed = probed.select("doc_id", "text_sha256", both.alias("_maybe"))
+    positions = [bitmap.position(F.xxhash64(F.lit(n), F.col("text_sha256")), filter_bits) for n in (0, 1)]
+    hits = digests.select(F.explode(F.array(*positions)).alias("pos")).groupBy("pos").count().filter("count >= 2")
+    words = materialize(bitmap.pack(hits, "pos"), "dedup-filter")
+    probed = bitmap.with_hit(bitmap.with_hit(digests, words, positions[0], "_first"), words, positions[1], "_second")
+    probed = probed.select("doc_id", "text_sha256", (F.col("_first") & F.col("_second")).alias("_maybe"))
     once = probed.filter(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                                                   F.lit(True).alias("kept"), "text_sha256")
     # the rows that shuffle; written with a row number, so that of fully equal rows one can be told from the rest
