@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages over ``documents``; each stage works on all that its predecessor kept.
 
 1. toxicity: documents scored 0.7 or more go.
-2. line dedup: lines within one edit of an earlier line go; a document that had lines and lost all of them goes.
+2. line dedup: lines within one edit of an earlier line go; a document that lost lines and has no word left goes.
 3. n-gram Jaccard join: of each class of near-duplicate texts one document stays.
 4. mixing: documents are repeated or left out until the sources have their target weights.
 5. byte-level BPE: ids of every text, and a check that they decode to it.
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import byte_bpe, line_dedup, mixing, ngram_join, toxicity
+from panelcast.llm.common import WORD
 from panelcast.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     done = line_dedup.line_dedup(docs.select(*COLUMNS))
-    left = done.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    left = done.filter((F.col("n_removed") == 0) | F.col("kept_text").rlike(WORD))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     changed = left.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return changed.select(*COLUMNS)
