@@ -10,6 +10,7 @@ HEADLINE = ["panel_lag_features", "panel_ewm", "panel_leakfree_shift", "panel_ne
 
 
 def plan_of(spark, key):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else paths are cut short in the plan's text
     return E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
