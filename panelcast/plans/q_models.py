@@ -16,6 +16,7 @@ from panelcast.operators.graph import lagged_global_total, lagged_neighbour_sum
 from panelcast.plans import driver as D
 from panelcast.plans.q_panel import FAMILY_SHIFTS, family_columns, lag_feature_block, wide_panel
 from panelcast.plans.registry import query
+from panelcast.session import materialize
 
 # Columns never used as model inputs (target, keys, calendar strings, leak-prone totals)
 DROP_COLS = ["y", "entity_id", "hour", "t", "alarms_in_last_24h", "neighbour_lag1", "total_lag1"]
@@ -44,7 +45,8 @@ def features_of(df):
 
 def split_panel(spark, sf):
     mp = model_panel(spark, sf)
-    return Sp.chronological_split(mp, "hour", "entity_id")
+    # written once: fits, thresholds and scores pass over it many times
+    return materialize(Sp.chronological_split(mp, "hour", "entity_id"), "split-panel")
 
 
 @query("feature_label_split", covers="M1 P13")
@@ -168,9 +170,9 @@ def retrain_summary(spark, sf):
     written as one JSON record and returned.
     """
     from panelcast.ml import metrics as Mx
-    from panelcast.session import materialize, scratch_path
+    from panelcast.session import scratch_path
 
-    x = materialize(split_panel(spark, sf), "split-panel")
+    x = split_panel(spark, sf)
     te = x.filter(F.col("split") == "test")
     base = scratch_path(spark, f"production/{uuid.uuid4().hex[:12]}")
     train = x.filter(F.col("split") == "train")
