@@ -1,14 +1,15 @@
 """License scan: MinHash bands over overlapping windows retrieve templates, shingle containment verifies.
 
 Texts are cut into words (runs of letters and digits, lower-case) and hashed shingles of five words.  A template of n
-words looks at windows of 2n words that start every n words, so each occurrence lies whole in a window.  Window and
-template collide if any of 64 one-row MinHash bands agrees.  A template with m shingles at containment 0.8 has Jaccard
-similarity of at least 1/6 with its window (m = 1), 0.3 for longer ones, so a collision is missed with probability at
-most (5/6)**64 < 1e-5.  Collisions are verified by the exact share of the template's shingles in the window.
+words looks at the windows of 2n words, so an occurrence may hold as many inserted words as the template has.  A window
+starts at every shingle of the text that is one of the template's: any other window loses no such shingle if it is moved
+on to the next of them, so the best of these is the best of all start positions.  Window and template collide if any of
+64 one-row MinHash bands agrees.  A template with m shingles at containment 0.8 has Jaccard similarity of at least 1/6
+with its window (m = 1), 0.26 for longer ones, so a collision is missed with probability at most (5/6)**64 < 1e-5.
+The share of the template's shingles in the window is exact, and bands are computed only where it is enough.
 
 All of it is row-local, native column functions: no shuffle, no join, no group.  Two lossless checks save work: a text
-without any of the words that a match needs isn't cut up, and a window without a shingle of the template has no
-similarity to it.
+without any of the words that a match needs isn't cut up, and a text without a shingle of the template has no window.
 
 Edge cases: null counts as empty; texts and templates under five words have no shingles and don't match; repeated rows
 are scanned each; extra columns pass through, one named like a result column is replaced.
@@ -101,12 +102,13 @@ def license_scan(df: DataFrame, text_col: str = "text", templates: dict[str, str
     found = []
     for r in rows:
         mine = _longs(r.shingles)
-        starts = F.when(F.arrays_overlap(F.col("_sh"), mine), F.sequence(F.lit(0), F.size("_sh") - 1, F.lit(r.n))).otherwise(F.array().cast("array<int>"))
-        windows = F.transform(starts, lambda s: F.struct(s.alias("at"), F.slice(F.col("_sh"), s + 1, F.lit(2 * r.n - SHINGLE + 1)).alias("sh")))  # noqa: B023
-        near = F.filter(windows, lambda w: F.arrays_overlap(w["sh"], mine) & F.arrays_overlap(bands_of(w["sh"]), _longs(r.bands)))  # noqa: B023
-        scored = F.transform(near, lambda w: F.struct((F.size(F.array_intersect(mine, w["sh"])) / len(r.shingles)).alias("c"), (-w["at"]).alias("at")))  # noqa: B023
-        found.append(F.struct(F.lit(r.name).alias("name"), F.array_max(scored).alias("best")))
-    hits = F.filter(F.array(*found), lambda f: F.coalesce(f["best"]["c"] >= least, F.lit(False)))
+        here = F.filter(F.sequence(F.lit(0), F.size("_sh") - 1), lambda s: F.array_contains(mine, F.get(F.col("_sh"), s)))  # noqa: B023
+        starts = F.when(F.arrays_overlap(F.col("_sh"), mine), here).otherwise(F.array().cast("array<int>"))
+        window = lambda s: F.slice(F.col("_sh"), s + 1, F.lit(2 * r.n - SHINGLE + 1))  # noqa: B023, E731
+        scored = F.transform(starts, lambda s: F.struct((F.size(F.array_intersect(mine, window(s))) / len(r.shingles)).alias("c"), (-s).alias("at")))  # noqa: B023
+        near = F.filter(scored, lambda w: (w["c"] >= least) & F.arrays_overlap(bands_of(window(-w["at"])), _longs(r.bands)))  # noqa: B023
+        found.append(F.struct(F.lit(r.name).alias("name"), F.array_max(near).alias("best")))
+    hits = F.filter(F.array(*found), lambda f: f["best"].isNotNull())
     out = F.transform(hits, lambda f: F.struct(f["name"].alias("name"), (-f["best"]["at"]).cast("long").alias("first_word"), f["best"]["c"].alias("containment")))
     return x.select("row.*", out.alias(MATCHES))
 

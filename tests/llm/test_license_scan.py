@@ -32,6 +32,25 @@ def test_against_all_windows(spark, prose, odd_texts):
         assert got[i] == expected(t), t
 
 
+def test_every_start_position(spark, prose):
+    grant = TEMPLATES["MIT-grant"].replace("documentation files,", 'documentation files (the "Software"),')  # as the license has it
+    words, notice = grant.split(), TEMPLATES["GPL-notice"].split()
+    longest = " ".join(notice[:12] + ["inserted"] * 10 + notice[12:])
+    texts = [f"{prose(s)} {t} {prose(40)}" for s in range(1, 61) for t in (grant, longest, " ".join(words[:14] + ["added", "words"] + words[14:]))]
+    got = {r.doc_id: r.licenses for r in license_scan(documents(spark, list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        have, _ = shingles(t)
+        want = {}
+        for name, template in TEMPLATES.items():
+            mine, n = shingles(template)
+            shares = [len(set(mine) & set(have[s : s + 2 * n - 4])) / len(mine) for s in range(len(have))]
+            if max(shares) >= 0.8:
+                want[name] = max(shares)
+        assert {m.name: m.containment for m in got[i]} == want, t
+        if i % 3 < 2:
+            assert [(m.name, m.first_word) for m in got[i]] == [(("MIT-grant", "GPL-notice")[i % 3], i // 3 + 1)], t
+
+
 def test_needed_words_are_needed():
     for name, t in TEMPLATES.items():
         mine, _ = shingles(t)
