@@ -1,18 +1,21 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 ``fit`` takes a bounded sample of labelled rows (``max_examples``, lowest digests of the id; equal texts count once) and
-chooses the terms that speak for label 1 (chi-square, and odds that are sure, at most ``max_terms``).  Document
-frequencies of these terms are counted over all documents.  The examples' normalised TF-IDF vectors go into an inverted
-index whose postings are cut into blocks of examples, with each term's largest weight per block.
+indexes all their words: none is cut.  Document frequencies of the words are counted over all documents.  A word's IDF
+is multiplied by its relevance, the logarithm of its odds of label 1 relative to all examples (lower bound at two
+standard deviations, at least 0) plus ``REST``: words that speak for label 1 weigh most, the others still tell
+near copies, and a word seen once hardly gains.  The examples' normalised vectors go into an inverted index.
 
-A query walks the blocks from the highest upper bound (query weights times block maxima) down and stops when no block
-can reach the k-th best similarity: the k nearest are exact, ties go to the example that comes first in the index.
-Votes are weighted by 1 / (distance + 0.1); the vote of each example's own neighbours, itself left out, calibrates votes
-to probabilities (monotone regression over 20 bins).  ``evidence`` holds the neighbours' similarities and labels.
+A query adds up the short posting lists.  Examples (in order of their norms, so that block maxima are tight) whose sum
+can't reach the k-th best with the largest weights of the long lists in their block are out.  Few others get the rest one
+by one, many by a product of dense rows: the k nearest are exact (to 1e-6), ties go to the example that comes first in
+the index.  Votes are weighted by 1 / (distance + 0.1).  They are calibrated to probabilities by
+monotone regression over 20 bins, on votes that each half of the examples gets from the other half, relevance included:
+an example's own label has no part in its vote.  ``evidence`` holds the neighbours' similarities and labels.
 
-The index has at most ``max_examples`` sparse rows over ``max_terms`` terms, so it is sent to the executors once.
+The index has at most ``max_examples`` sparse rows, so it is sent to the executors once.
 
-Edge cases: null counts as empty; a text without any chosen term gets the smoothed share of label 1 among such examples;
+Edge cases: null counts as empty; a text without any word of an example gets the smoothed share of label 1 among such examples;
 null labels don't count, of several labels of an id the largest does; labels without a row are left out; without
 examples every score is 0; repeated rows are scored each; extra columns pass through, one named like a result is
 replaced.
@@ -21,11 +24,11 @@ replaced.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +37,14 @@ from panelcast.llm.registry import query
 from panelcast.session import materialize
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 2_048
-MIN_CHI2 = 30.0
-#: The lower confidence bound of a term's odds of label 1 is at least so many times the odds over all examples.
-MIN_ODDS = 8.0
-MIN_DOCS = 5
+#: Relevance of words that don't speak for label 1.
+REST = 0.3
 NEIGHBOURS = 15
+#: Posting lists longer than this share of the examples are also kept as dense rows, with maxima over blocks of examples.
+LONG = 1 / 8
 BLOCK = 128
+#: So many texts' dense parts are multiplied together.
+TOGETHER = 32
 BINS = 20
 LEAST_SCORE = 0.7
 _WORD = re.compile(r"[^\W_]+")
@@ -51,22 +55,27 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _term_counts(batches):
-    """(term, label) counts of a partition's texts, every term once per text; sent on when they get many."""
-    counts: Counter = Counter()
+def _distinct_terms(batches):
+    """The words of a partition's texts; sent on when they get many."""
+    terms: set = set()
+    for b in batches:
+        for text in texts_of(b.column("text")):
+            terms.update(words_of(text))
+            if len(terms) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.string())], names=["term"])
+                terms.clear()
+    yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.string())], names=["term"])
 
-    def ready():
-        rows = pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()),
-                                           pa.array(list(counts.values()), pa.int64())], names=["term", "label", "n"])
-        counts.clear()
-        return rows
 
-    for b in batches:
-        for text, label in zip(texts_of(b.column("text")), b.column("label").to_pylist()):
-            counts.update((w, label) for w in set(words_of(text)))
-            if len(counts) > 500_000:
-                yield ready()
-    yield ready()
+def counted(text: str, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a text's known words, ascending, and how often each occurs."""
+    ids, counts = np.unique(np.array([known.get(w, -1) for w in words_of(text)], np.int64), return_counts=True)
+    unknown = int(len(ids) > 0 and ids[0] < 0)
+    return ids[unknown:], counts[unknown:]
+
+
+def idf_of(n_docs: int, freq: np.ndarray) -> np.ndarray:
+    return np.log((n_docs + 1) / (freq + 1)) + 1e-6
 
 
 def examples_of(docs: DataFrame, labels: DataFrame, max_examples: int) -> DataFrame:
@@ -78,105 +87,151 @@ def examples_of(docs: DataFrame, labels: DataFrame, max_examples: int) -> DataFr
     return rows.groupBy(F.sha2(text, 256).alias("key")).agg(F.first(text).alias("text"), F.max("label").cast("int").alias("label"))
 
 
-def choose_terms(examples: DataFrame, max_terms: int) -> list[str]:
-    """Terms that speak for label 1: at most ``max_terms``, by chi-square, with sure odds (a lower bound at two standard
-    deviations).  Terms that merely occur in copies of a toxic text, or rarely, would crowd out these in the cosine."""
-    n, ones = examples.agg(F.count(F.lit(1)), F.sum("label")).first()
-    if not n or not ones or ones == n:
-        return []
-    counts = examples.select("text", "label").mapInArrow(_term_counts, "term string, label int, n long")
-    per = counts.groupBy("term").agg(F.sum("n").alias("d"), F.sum(F.col("n") * F.col("label")).alias("t")).filter(F.col("d") >= MIN_DOCS)
-    base, d, t = ones / n, F.col("d"), F.col("t")
-    chi2 = n * F.pow(t * n - d * ones, 2) / (d * (n - d + 1e-9) * float(ones) * float(n - ones))
-    share, z = t / d, 2.0
-    low = (share + z * z / (2 * d) - z * F.sqrt(share * (1 - share) / d + z * z / (4 * d * d))) / (1 + z * z / d)
-    odds = low / (1 - low + 1e-9) / (base / (1 - base))
-    best = per.select("term", chi2.alias("chi2"), odds.alias("odds")).filter((F.col("chi2") >= MIN_CHI2) & (F.col("odds") >= MIN_ODDS))
-    return sorted(r.term for r in best.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect())
+def relevance(d: np.ndarray, t: np.ndarray, n: int, ones: int) -> np.ndarray:
+    """Factor per term: log of its odds of label 1 (a sure lower bound) relative to all examples, at least 0, plus ``REST``.
 
+    ``d`` of the ``n`` examples hold the term, ``t`` of them with label 1."""
+    if not 0 < ones < n:
+        return np.full(len(d), REST)
+    d, z = np.maximum(d, 1), 2.0
+    share = t / d
+    low = (share + z * z / (2 * d) - z * np.sqrt(share * (1 - share) / d + z * z / (4 * d * d))) / (1 + z * z / d)
+    odds = low / (1 - low + 1e-9) / (ones / (n - ones))
+    return np.log(np.maximum(odds, 1.0)) + REST
 
-def _document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those that hold each term; counted over all documents."""
-    known = {t: i for i, t in enumerate(terms)}
+
+def _document_frequencies(docs: DataFrame, sent) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that hold each term (broadcast ``sent``: term -> number); counted over all documents."""
 
     def count(batches):
+        known = sent.value
         n, freq = 0, np.zeros(len(known), np.int64)
         for b in batches:
             for text in texts_of(b.column("text")):
                 n += 1
-                for i in {known[w] for w in words_of(text) if w in known}:
-                    freq[i] += 1
+                freq[counted(text, known)[0]] += 1
         ids = np.flatnonzero(freq)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, ids], pa.int64()), pa.array(np.r_[n, freq[ids]], pa.int64())], names=["term", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # one row per term
-    found = {r.term: r.n for r in rows}
-    return found.get(-1, 0), np.array([found.get(i, 0) for i in range(len(terms))], np.int64)
+    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
+    term, n = rows.column("term").to_numpy(), rows.column("n").to_numpy()
+    freq = np.zeros(len(sent.value), np.int64)
+    freq[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), freq
 
 
 @dataclass
 class Index:
-    """Blocked postings of the examples' TF-IDF vectors."""
+    """Postings of the examples' weighted TF-IDF vectors."""
 
     known: dict
-    idf: np.ndarray
+    idf: np.ndarray  # times relevance
     labels: np.ndarray
-    starts: np.ndarray  # postings of term t and block b: starts[t * n_blocks + b] up to the next
+    starts: np.ndarray  # postings of term t: starts[t] up to the next
     example: np.ndarray
     weight: np.ndarray
-    block_max: np.ndarray  # term x block
+    block_max: np.ndarray  # term x 1
     calibration: np.ndarray | None = None
     prior: float = 0.0
+    _dense: tuple | None = None
 
     @classmethod
-    def build(cls, terms: list[str], n_docs: int, freq: np.ndarray, texts: list[str], labels: list[int]) -> Index:
+    def build(cls, terms: list[str], n_docs: int, freq: np.ndarray, texts: list[str], labels: list[int], factor: np.ndarray | None = None) -> Index:
         known = {t: i for i, t in enumerate(terms)}
-        idf = np.log((n_docs + 1) / (freq + 1)) + 1e-6 if len(terms) else np.zeros(0)
-        self = cls(known, idf, np.zeros(0, np.int8), *[np.zeros(0)] * 4)
-        vectors = [(*self.vector(t), y) for t, y in zip(texts, labels)]
-        bare = [y for t, w, y in vectors if not len(t)]
-        self.prior = (sum(bare) + sum(labels) / max(1, len(labels))) / (len(bare) + 1) if labels else 0.0
-        full = [v for v in vectors if len(v[0])]
-        # like examples side by side (by their heaviest terms), so that block maxima are tight
-        full.sort(key=lambda v: (tuple(v[0][np.argsort(-v[1], kind="stable")][:3].tolist()), v[1].tolist(), v[2]))
-        self.labels = np.array([v[2] for v in full], np.int8)
-        blocks = max(1, -(-len(full) // BLOCK))
-        term = np.concatenate([v[0] for v in full]) if full else np.zeros(0, np.int64)
-        self.weight = np.concatenate([v[1] for v in full]) if full else np.zeros(0)
-        self.example = np.repeat(np.arange(len(full)), [len(v[0]) for v in full]).astype(np.int64)
-        order = np.lexsort((self.example, term))
-        term, self.weight, self.example = term[order], self.weight[order], self.example[order]
-        cell = term * blocks + self.example // BLOCK
-        self.starts = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
-        self.block_max = np.zeros((len(terms), blocks))
-        np.maximum.at(self.block_max.reshape(-1), cell, self.weight)
-        return self
+        found = [counted(t, known) for t in texts]
+        sizes = [len(t) for t, _ in found]
+        ids = np.concatenate([t for t, _ in found]) if found else np.zeros(0, np.int64)
+        counts = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
+        return cls.of(known, idf_of(n_docs, freq) * (1.0 if factor is None else factor), np.array(sizes, np.int64), ids, counts, np.array(labels, np.int8))
+
+    @classmethod
+    def of(cls, known: dict, idf: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> Index:
+        """From the examples' terms, one after another (``sizes`` terms each), and how often each occurs."""
+        bare = labels[sizes == 0]
+        prior = (float(bare.sum()) + labels.sum() / max(1, len(labels))) / (len(bare) + 1) if len(labels) else 0.0
+        n = int((sizes > 0).sum())
+        row = np.repeat(np.arange(n, dtype=np.uint16 if n < 1 << 16 else np.int32), sizes[sizes > 0])
+        weight = (1 + np.log(counts, dtype=np.float32)) * idf.astype(np.float32)[ids]
+        norm = np.sqrt(np.bincount(row, weight * weight, n)).astype(np.float32)
+        weight /= norm[row]
+        by_norm = np.argsort(norm, kind="stable")
+        rank = np.zeros(n, row.dtype)
+        rank[by_norm] = np.arange(n)
+        row = rank[row]
+        order = np.lexsort((row, ids))
+        starts = np.r_[0, np.cumsum(np.bincount(ids, minlength=len(idf)))]
+        weight, row = weight[order], row[order]
+        most = np.zeros((len(idf), 1), np.float32)
+        has = np.flatnonzero(np.diff(starts))
+        if len(has):
+            most[has, 0] = np.maximum.reduceat(weight, starts[has])
+        return cls(known, idf, labels[sizes > 0][by_norm], starts, row, weight, most, None, float(prior))
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and normalised TF-IDF weights of a text."""
-        counts = Counter(self.known[w] for w in words_of(text) if w in self.known)
-        terms = np.array(sorted(counts), np.int64)
-        weights = (1 + np.log([counts[t] for t in terms.tolist()])) * self.idf[terms] if len(terms) else np.zeros(0)
+        """Terms and normalised weights of a text."""
+        return self.weigh(*counted(text, self.known))
+
+    def weigh(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = (1 + np.log(counts)) * self.idf[terms] if len(terms) else np.zeros(0)
         return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
 
+    def _long(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of each term with a long posting list (or -1), these lists as dense rows, their block maxima; once per process."""
+        if self._dense is None:
+            n = len(self.labels)
+            terms = np.flatnonzero(np.diff(self.starts) > max(LONG * n, 16))
+            rows, at = np.zeros((len(terms), n), np.float32), np.full(len(self.idf), -1)
+            for i, t in enumerate(terms):
+                a, z = self.starts[t], self.starts[t + 1]
+                rows[i, self.example[a:z]] = self.weight[a:z]
+            at[terms] = np.arange(len(terms))
+            self._dense = at, rows, np.maximum.reduceat(rows, np.arange(0, n, BLOCK), axis=1) if n else rows
+        return self._dense
+
+    def _short_sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        first = self.starts[terms]
+        sizes = self.starts[terms + 1] - first
+        ends = np.cumsum(sizes)
+        pos = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + sizes, sizes)
+        return np.bincount(self.example[pos], self.weight[pos] * np.repeat(weights, sizes), len(self.labels))
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples and their cosines, exact."""
-        blocks = self.block_max.shape[1]
-        bound = weights @ self.block_max[terms]
-        best_i, best_s, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best_i) == k and bound[b] < least - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                a, z = self.starts[t * blocks + b], self.starts[t * blocks + b + 1]
-                scores[self.example[a:z] - b * BLOCK] += w * self.weight[a:z]
-            at = np.flatnonzero(scores > max(0.0, least - 1e-12))
-            best_i, best_s = np.r_[best_i, at + b * BLOCK], np.r_[best_s, scores[at]]
-            order = np.lexsort((best_i, -np.round(best_s, 9)))[:k]
-            best_i, best_s = best_i[order], best_s[order]
-            least = best_s.min() if len(best_s) == k else 0.0
-        return best_i, np.minimum(best_s, 1.0)
+        return self.nearest_all([(terms, weights)], k)[0]
+
+    def nearest_all(self, vectors: list, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of several texts, whose dense parts are multiplied together."""
+        at, rows, tops = self._long()
+        n, out = len(self.labels), []
+
+        def best(near, scores):
+            full = scores > 1e-9
+            near, scores = near[full], np.round(scores[full], 6)
+            if len(near) > k:
+                most = scores >= np.partition(scores, len(near) - k)[len(near) - k]
+                near, scores = near[most], scores[most]
+            order = np.lexsort((near, -scores))[:k]
+            return near[order], np.minimum(scores[order], 1.0)
+
+        for i in range(0, len(vectors), TOGETHER):
+            dense, open_, got = np.zeros((min(TOGETHER, len(vectors) - i), len(rows)), np.float32), [], {}
+            for j, (terms, weights) in enumerate(vectors[i : i + TOGETHER]):
+                row = at[terms]
+                scores = self._short_sums(terms[row < 0], weights[row < 0])
+                long, w = row[row >= 0], weights[row >= 0].astype(np.float32)
+                least = np.partition(scores, n - k)[n - k] if n > k else 0.0
+                reach = np.repeat(w @ tops[long], BLOCK)[:n] if len(long) else 0.0
+                near = np.flatnonzero(scores + reach >= least - 1e-6)
+                if len(near) <= n // 8 or not len(long):
+                    got[j] = best(near, scores[near] + (w @ rows[np.ix_(long, near)] if len(long) else 0.0))
+                else:
+                    dense[len(open_), long] = w
+                    open_.append((j, scores))
+            rest = dense[: len(open_)] @ rows if open_ else dense
+            for (j, scores), more in zip(open_, rest):
+                got[j] = best(np.arange(n), scores + more)
+            out += [got[j] for j in range(len(got))]
+        return out
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         pull = 1 / (1 - cosine + 0.1)
@@ -185,10 +240,13 @@ class Index:
     def calibrated(self, vote: float) -> float:
         return float(self.calibration[min(BINS - 1, int(vote * BINS))])
 
-    def score(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS):
-        if not len(terms) or not len(self.labels):
-            return self.prior, []
-        near, cosine = self.nearest(terms, weights, k)
+    def scores(self, vectors: list, k: int = NEIGHBOURS) -> list:
+        """(score, evidence) of each vector."""
+        full = [v for v in vectors if len(v[0])] if len(self.labels) else []
+        nearest = iter(self.nearest_all(full, k))
+        return [self._scored(*next(nearest)) if len(v[0]) and full else (self.prior, []) for v in vectors]
+
+    def _scored(self, near: np.ndarray, cosine: np.ndarray):
         if not len(near):
             return self.prior, []
         evidence = [{"similarity": float(c), "label": int(y)} for c, y in zip(cosine, self.labels[near])]
@@ -211,46 +269,73 @@ class Index:
         self.calibration = np.concatenate([[o / s] * int(c) for s, o, c in pools])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Index:
     """``docs`` (id, text), ``labels`` (id, label 0/1): only the labels given are learnt from."""
     spark = docs.sparkSession
     examples = materialize(examples_of(docs, labels, max_examples), "toxicity-examples")
-    terms = choose_terms(examples, max_terms)
-    n_docs, freq = _document_frequencies(docs, terms)
-    known = {t: i for i, t in enumerate(terms)}
+    terms = examples.select("text").mapInArrow(_distinct_terms, "term string").distinct().toArrow().column("term").to_pylist()
+    known = {t: i for i, t in enumerate(sorted(terms))}
+    sent = spark.sparkContext.broadcast(known)
+    n_docs, freq = _document_frequencies(docs, sent)
+
+    def numbers(batch):  # an example is needed as its terms' numbers only
+        found = [counted(t, sent.value) for t in texts_of(batch.column("text"))]
+        return [[t.astype(np.int32) for t, _ in found], [c.astype(np.int32) for _, c in found]]
+
+    numbered = materialize(append_columns(examples.select("key", "label", "text"), "terms array<int>, counts array<int>", numbers)
+                           .select("key", "label", "terms", "counts"), "toxicity-numbers")
+    sent.destroy()
+    got = numbered.toArrow()  # at most max_examples texts' terms
+    got = got.take(pa.array(np.argsort(got.column("key").to_numpy()))) if got.num_rows else got
+    flat = lambda c: np.concatenate([np.zeros(0, np.int32)] + [x.flatten().to_numpy() for x in got.column(c).chunks])
+    y, ids, counts = got.column("label").to_numpy().astype(np.int8), flat("terms"), flat("counts")
+    sizes = pa.compute.list_value_length(got.column("terms")).to_numpy().astype(np.int64)
+    half = np.array([half_of(k) for k in got.column("key").to_pylist()], np.int64)
+    idf = idf_of(n_docs, freq)
+    del got, terms
+    pa.default_memory_pool().release_unused()
+
+    def part(mine: np.ndarray) -> Index:
+        at = np.repeat(mine, sizes)
+        d = np.bincount(ids[at], minlength=len(known))
+        t = np.bincount(ids[at], np.repeat(y[mine], sizes[mine]), len(known))
+        weighted = idf * relevance(d, t, int(mine.sum()), int(y[mine].sum())) * (d > 0)  # words it hasn't seen don't count
+        return Index.of({}, weighted, sizes[mine], ids[at], counts[at], y[mine])
+
+    sent_halves = [spark.sparkContext.broadcast(part(half != h)) for h in (0, 1)]
+    votes = _left_out_votes(numbered, sent_halves) if len(y) else []
+    for x in sent_halves:
+        x.destroy()
+    index = part(np.ones(len(y), bool))
+    index.known = known
+    index.calibrate(votes)
+    return index
 
-    def reduced(batch):  # an example is needed as its chosen terms only
-        return [[" ".join(w for w in words_of(t) if w in known) for t in texts_of(batch.column("text"))]]
 
-    rows = append_columns(examples.select("key", "label", "text"), "words string", reduced).select("words", "label", "key").orderBy("key").collect()
-    index = Index.build(terms, n_docs, freq, [r.words for r in rows], [r.label for r in rows])
-    index.calibrate(_left_out_votes(spark, index, rows))
-    return index
+def half_of(key: str) -> int:
+    return int(key[0], 16) % 2
 
 
-def _left_out_votes(spark, index: Index, rows) -> list[tuple[float, int]]:
-    """(vote, label) of every example from its nearest others, computed on the executors."""
-    full = [(r.words, r.label) for r in rows if r.words]
-    if not full:
-        return []
-    sent = spark.sparkContext.broadcast(index)
+def _left_out_votes(numbered: DataFrame, halves: list) -> list[tuple[float, int]]:
+    """(vote, label) of every example from its nearest in the other half (``halves[h]`` is without half h), on the executors."""
 
     def votes(batches):
-        idx = sent.value
         for b in batches:
-            out = []
-            for text, label in zip(texts_of(b.column("words")), b.column("label").to_pylist()):
-                near, cosine = idx.nearest(*idx.vector(text), NEIGHBOURS + 1)
-                # the example itself is one of those at similarity 1 with its label
-                own = np.flatnonzero((cosine > 1 - 1e-9) & (idx.labels[near] == label))[:1]
-                near, cosine = np.delete(near, own if len(own) else len(near) - 1), np.delete(cosine, own if len(own) else len(cosine) - 1)
-                out.append(idx.vote(near, cosine) if len(near) else float("nan"))
+            keys, out = [half_of(k) for k in b.column("key").to_pylist()], np.full(b.num_rows, np.nan)
+            for h in (0, 1):
+                idx, mine, vectors = halves[h].value, [], []
+                for i in np.flatnonzero(np.array(keys) == h):
+                    terms, counts = b.column("terms")[i].values.to_numpy(), b.column("counts")[i].values.to_numpy()
+                    seen = idx.idf[terms] > 0
+                    if seen.any():
+                        mine.append(i)
+                        vectors.append(idx.weigh(terms[seen].astype(np.int64), counts[seen]))
+                for i, (near, cosine) in zip(mine, idx.nearest_all(vectors, NEIGHBOURS)):
+                    out[i] = idx.vote(near, cosine) if len(near) else np.nan
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), b.column("label")], names=["vote", "label"])
 
-    parts = max(1, min(spark.sparkContext.defaultParallelism, len(full) // 500 + 1))
-    df = spark.createDataFrame(full, "words string, label int").repartition(parts)
-    got = df.mapInArrow(votes, "vote double, label int").filter("NOT isnan(vote)").collect()  # at most max_examples pairs
-    return [(r.vote, r.label) for r in got]
+    got = numbered.mapInArrow(votes, "vote double, label int").filter("NOT isnan(vote)").toArrow()  # at most max_examples pairs
+    return list(zip(got.column("vote").to_pylist(), got.column("label").to_pylist()))
 
 
 def score_texts(df: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
@@ -258,14 +343,16 @@ def score_texts(df: DataFrame, index: Index, text_col: str = "text") -> DataFram
     sent = df.sparkSession.sparkContext.broadcast(index)
 
     def run(batch):
-        idx, seen, made = sent.value, {}, []
+        idx, first, vectors, at = sent.value, {}, [], []
         for text in texts_of(batch.column(text_col)):
             terms, weights = idx.vector(text)
             key = (terms.tobytes(), weights.tobytes())
-            if key not in seen:
-                seen[key] = idx.score(terms, weights)
-            made.append(seen[key])
-        return list(zip(*made)) if made else [[], []]
+            if key not in first:
+                first[key] = len(vectors)
+                vectors.append((terms, weights))
+            at.append(first[key])
+        made = idx.scores(vectors)
+        return list(zip(*[made[i] for i in at])) if at else [[], []]
 
     return append_columns(df, SCORED, run)
 

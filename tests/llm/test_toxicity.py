@@ -50,6 +50,18 @@ def test_nearest_is_exact(rng):
         assert np.allclose(dense[near] @ q, cosine)
 
 
+def test_rare_words_and_a_third_toxic(spark, prose):
+    texts = [(i, prose(25) + (" vile" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(36)]
+    rare = " ".join(f"seldom{j}" for j in range(12))
+    texts += [(100 + i, f"{rare} {prose(3)}", 1) for i in range(4)]  # words of four examples
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "id long, text string")
+    idx = X.fit(docs, spark.createDataFrame([(i, y) for i, _, y in texts], "id long, label int"))
+    assert set(idx.known) == {w for _, t, _ in texts for w in X.words_of(t)}
+    cosines = X.score_texts(documents(spark, [(1, rare), (2, prose(25) + " vile"), (3, prose(25))]), idx).orderBy("doc_id").collect()
+    assert [e.label for e in cosines[0].evidence[:4]] == [1] * 4 and cosines[0].evidence[3].similarity > 0.5
+    assert cosines[1].score > 2 * cosines[2].score and sum(e.label for e in cosines[1].evidence) >= 8
+
+
 def test_odd_texts_and_clash(spark, index, odd_texts):
     df = documents(spark, list(enumerate(odd_texts)))
     out = X.score_texts(df, index)
