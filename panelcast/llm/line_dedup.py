@@ -13,7 +13,8 @@ segments whose surroundings another line shares:
    listed.  The edit distance of each line and the earlier line it met is then verified on their texts.
 
 Native DataFrame functions throughout.  The bitmap has a fixed size (see ``bitmap``); if it fills, more lines emit
-variants, and the result is the same.  Lines shorter than ``min_chars`` characters are kept always.
+variants, and the result is the same.  The search for lines within one edit leaves out lines shorter than ``min_chars``
+characters; equal lines go from ``equal_chars`` characters on (``min_chars`` if not given), if they aren't blank.
 
 Edge cases: null text has one empty line, as an empty text; a null id comes before all others; rows that are equal in id
 and text count as one document and keep the same lines; rows of equal id and different texts are ordered by a hash;
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm import bitmap
-from panelcast.llm.common import boxed, table
+from panelcast.llm.common import WORD, boxed, table
 from panelcast.llm.registry import query
 from panelcast.session import materialize
 
@@ -54,10 +55,11 @@ def _segments(lines: DataFrame) -> DataFrame:
     return cut.withColumn("context", context).drop("parts", "s", "base")
 
 
-def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Every line: two hashes that identify its text, its place, and the text."""
+def _occurrences(docs: DataFrame, min_chars: int, equal_chars: int) -> DataFrame:
+    """Every line that can go: two hashes that identify its text, its place, and the text."""
     x = docs.select("_id", "_doc", F.posexplode(_lines(F.col("_text"))).alias("no", "line"))
-    return x.filter(F.char_length("line") >= min_chars).select(
+    size = F.char_length("line")
+    return x.filter((size >= min_chars) | (size >= equal_chars) & F.col("line").rlike(WORD)).select(
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"),
         F.struct("_id", "_doc", "no").alias("place"), "line")
 
@@ -99,13 +101,13 @@ def _near(occurrences: DataFrame, firsts: DataFrame, filter_bits: int) -> DataFr
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
-               filter_bits: int = FILTER_BITS) -> DataFrame:
+               filter_bits: int = FILTER_BITS, equal_chars: int | None = None) -> DataFrame:
     """``df`` plus ``n_lines, n_removed, kept_text`` (the lines that stay, joined by newlines)."""
     keys = [F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_doc")]
     docs = df.select(boxed(df, *RESULT), *keys, F.col(text_col).alias("_text"))
-    occurrences = _occurrences(docs, min_chars)
+    occurrences = _occurrences(docs, min_chars, min_chars if equal_chars is None else equal_chars)
     firsts = materialize(occurrences.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")), "line-firsts")
-    near = _near(occurrences, firsts, filter_bits)
+    near = _near(occurrences.filter(F.char_length("line") >= min_chars), firsts, filter_bits)
     repeated = firsts.filter("n > 1").select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("place").alias("first"))
     later = (occurrences.select("h1", "h2", "place").join(repeated, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")))
              .filter(F.col("place") > F.col("first")).select("place"))
@@ -127,5 +129,5 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
 @query("op6_line_dedup")
 def op6_line_dedup(spark, sf_dir):
-    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), equal_chars=1)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))

@@ -1,6 +1,7 @@
 import pytest
 
 from panelcast.llm.line_dedup import line_dedup
+from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tests.llm.conftest import documents
 
@@ -22,6 +23,26 @@ def test_against_brute_force(spark, rng, prose, odd_texts, bits):
     assert got == brute.line_dedup(rows, 10)
 
 
+def test_equal_short_lines(spark):
+    rows = [(1, "Of.\n \n\nOf.\n一二"), (2, "Of!\nOf.\n\n \n一二"), (3, "a line of text"), (4, "a line of texts\nOf.")]
+    got = {r.doc_id: r.kept_text for r in line_dedup(documents(spark, rows), equal_chars=1).collect()}
+    assert got == {1: "Of.\n \n\n一二", 2: "Of!\n\n ", 3: "a line of text", 4: ""}
+
+
+def test_query_removes_equal_short_lines(spark):
+    import __spark_entry__ as E
+
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect())
+    known, want = set(), {}
+    for i, t in docs:
+        short = [x for x in t.split("\n") if len(x) < 10 and brute.words(x)]
+        want[i] = sum(x in known or x in short[:n] for n, x in enumerate(short))
+        known.update(short)
+    long = {i: gone for i, (_, gone, _) in brute.line_dedup(docs, 10).items()}
+    assert sum(want.values()) > 0
+    assert {r.doc_id: r.n_removed for r in E.queries()["op6_line_dedup"](spark, SF_SMALL).collect()} == {i: want[i] + long[i] for i in want}
+
+
 def test_long_lines(spark, odd_texts, prose):
     long = prose(3000).replace("\n", " ")
     got = {r.doc_id: r.n_removed for r in line_dedup(documents(spark, [(1, long), (2, long[:5000] + long[5001:]), (3, long[:-1] + "_"), (4, long[2:])])).collect()}
