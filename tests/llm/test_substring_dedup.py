@@ -36,6 +36,37 @@ def test_equal_ids_and_null_ids(spark, prose):
     assert sorted((str(r.doc_id), r.n_removed) for r in got) == [("5", 0), ("5", 0), ("None", 0), ("None", 30)]
 
 
+@pytest.mark.parametrize("chunk_bytes", [2000, 8 << 20])
+def test_many_rows_of_null_and_equal_ids(spark, rng, prose, chunk_bytes):
+    passages = [prose(30) for _ in range(6)]
+    ids = [None] * 60 + [7] * 60 + [rng.randrange(40) for _ in range(60)] + [9_000 + i for i in range(10)]
+    rows = [(i, f"{prose(rng.randint(0, 20))} {rng.choice(passages)} {prose(rng.randint(0, 20))}") for i in ids] + [(7, passages[0])] * 20
+    first, want = {}, []
+    order = lambda i: 10**9 if i is None else i
+    for i, t in rows:
+        for a in range(len(t.split()) - 12):
+            k = tuple(t.split()[a : a + 13])
+            first[k] = min(first.get(k, 10**9), order(i))
+    for i, t in rows:
+        w = t.split()
+        gone = {p for a in range(len(w) - 12) if first[tuple(w[a : a + 13])] < order(i) for p in range(a, a + 13)}
+        want.append((str(i), len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)))
+    got = substring_dedup(documents(spark, rows), chunk_ids=16, chunk_bytes=chunk_bytes).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in got) == sorted(want)
+
+
+def test_a_group_is_bounded(spark, prose):
+    from panelcast.llm import substring_dedup as S
+
+    text = prose(40)
+    docs = spark.createDataFrame([(None if i % 3 else 5, text) for i in range(900)], "doc_id long, text string")
+    split = S._split(*S._sizes(docs, 512), 20 * len(text)).collect()
+    groups = {}
+    for r in split:
+        groups[r.chunk, r.part] = groups.get((r.chunk, r.part), 0) + len(r.text)
+    assert len(split) == 900 and max(groups.values()) <= 30 * len(text)
+
+
 def test_empty_table(spark):
     assert substring_dedup(documents(spark, [])).count() == 0
 
