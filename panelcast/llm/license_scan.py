@@ -1,4 +1,4 @@
-"""License scan: MinHash bands over overlapping windows retrieve templates, shingle containment verifies.
+"""License scan: overlapping windows around shared shingles, MinHash bands and shingle containment.
 
 Texts are cut into words (runs of letters and digits, lower-case) and hashed shingles of five words.  A template of n
 words looks at the windows of 2n words, so an occurrence may hold as many inserted words as the template has.  A window
