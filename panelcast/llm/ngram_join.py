@@ -303,7 +303,8 @@ def verified_links(docs: DataFrame, comps: DataFrame, threshold: float, filter_b
 def ngram_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, trees: int = TREES,
                   depth: int = DEPTH, recall: float = RECALL, filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per row of ``df``: ``doc_id, _h`` (hash of the text), ``node`` (of its shingle set; 0: no words),
-    ``class_id`` (smallest id of its connected texts) and ``n_links`` (other texts that it is linked to)."""
+    ``class_id`` (smallest id of its connected texts) and ``n_links`` (other shingle sets that its own
+    is linked to: texts with an equal set add none)."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
     signed = docs.mapInArrow(lambda it: _signed(it, trees, depth), f"doc_id {df.schema[id_col].dataType.simpleString()}, _h long, node long, sig binary, bytes binary")
     signed = materialize(signed, "forest-signatures")
