@@ -24,7 +24,7 @@ def rows(spark, name):
 
 
 def test_names():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
