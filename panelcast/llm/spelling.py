@@ -74,12 +74,12 @@ def _prefixes(words: DataFrame) -> DataFrame:
                 node = sums[first[rows] + pos] - sums[first[rows]]
                 node = np.where(pos > 0, mix(node + pos.astype(_U)), _U(_ROOT)).view(np.int64)
                 ends = pos == size[rows]
-                code = np.zeros(len(rows), np.int32)
-                code[~ends] = points
+                after = np.full(len(rows), None, object)
+                after[~ends] = list("".join(part))
                 yield pa.RecordBatch.from_arrays([pa.array(part).take(pa.array(rows)), pa.array(pos.astype(np.int32)), pa.array(node),
-                                                  pa.array(code, mask=ends)], names=["word", "pos", "node", "next"])
+                                                  pa.array(after, pa.string())], names=["word", "pos", "node", "next"])
 
-    return words.select("word").mapInArrow(run, "word string, pos int, node long, next int")
+    return words.select("word").mapInArrow(run, "word string, pos int, node long, next string")
 
 
 def _pieces(words: list[str], limit: int = 1 << 18):
@@ -96,42 +96,44 @@ def _pieces(words: list[str], limit: int = 1 << 18):
 
 
 def trie(words: DataFrame, split: int = SPLIT) -> DataFrame:
-    """Edge table of ``words`` (word, n): ``level, node, copies, label, child, kids, child_copies, end, end_n``.
+    """Edge table of ``words`` (word, n): ``level, node, copies, first, label, child, firsts, child_copies, end, end_n``.
 
     Kept nodes are the root, those with several next code points and those where a word ends; a word's kept prefixes, in
-    order, are its path, and consecutive ones an edge.
+    order, are its path, and consecutive ones an edge.  ``first`` is the label's first code point, ``firsts`` has those of the
+    child's own edges, ``end`` the word that ends at the child.
     """
     prefixes = materialize(_prefixes(words), "trie-prefixes")
-    nodes = prefixes.groupBy("node").agg(F.count(F.lit(1)).alias("below"), F.min("next").alias("lo"), F.max("next").alias("hi"),
+    nodes = prefixes.groupBy("node").agg(F.count(F.lit(1)).alias("below"), F.concat_ws("", F.collect_set("next")).alias("firsts"),
                                          F.max(F.when(F.col("next").isNull(), F.col("word"))).alias("end"))
-    kept = nodes.filter((F.col("node") == _ROOT) | F.col("end").isNotNull() | (F.col("lo") != F.col("hi")))
-    kept = materialize(kept.select("node", F.ceil(F.col("below") / split).cast("int").alias("copies"), F.col("lo").isNotNull().alias("kids"), "end"), "trie-nodes")
-    # a word's path: its kept prefixes; below a node all words repeat its edges, one of each stays
-    path = prefixes.select("word", "pos", "node").join(kept.select("node"), "node").groupBy("word").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "node"))).alias("path"))
+    kept = nodes.filter((F.col("node") == _ROOT) | F.col("end").isNotNull() | (F.char_length("firsts") > 1))
+    kept = materialize(kept.select("node", F.ceil(F.col("below") / split).cast("int").alias("copies"), "firsts", "end"), "trie-nodes")
+    # a word's path: its kept prefixes, the root without a join; below a node all words repeat its edges, one of each stays
+    inner = prefixes.filter("pos > 0").select("word", "pos", "node").join(kept.select("node"), "node")
+    path = inner.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("pos", "node"))).alias("path"))
+    root = F.array(F.struct(F.lit(0).alias("pos"), F.lit(_ROOT).cast("long").alias("node")))
+    path = path.select("word", F.concat(root, "path").alias("path"))
     step = F.transform(F.sequence(F.lit(0), F.size("path") - 2), lambda i: F.struct(
         i.alias("level"), F.col("path")[i]["node"].alias("node"), F.col("path")[i + 1]["node"].alias("child"),
         F.substring(F.col("word"), F.col("path")[i]["pos"] + 1, F.col("path")[i + 1]["pos"] - F.col("path")[i]["pos"]).alias("label")))
-    edges = path.select(F.explode(step).alias("e")).select("e.*").distinct()
+    edges = path.select(F.explode(step).alias("e")).select("e.*").distinct().withColumn("first", F.substring("label", 1, 1))
     counted = kept.join(words.select(F.col("word").alias("end"), F.col("n").alias("end_n")), "end", "left")
-    child = counted.select(F.col("node").alias("child"), F.col("copies").alias("child_copies"), "kids", "end", "end_n")
+    child = counted.select(F.col("node").alias("child"), F.col("copies").alias("child_copies"), "firsts", "end", "end_n")
     edges = edges.join(child, "child").join(kept.select("node", "copies"), "node")
     return materialize(edges, "trie-edges")
 
 
 def _readings() -> Column:
-    """How a state can read the label of an edge: array of (pos, edits) after it, empty if it can't."""
+    """How a state without edits can read the label of an edge: array of (pos, edits) after it, null where it can't."""
     size = F.char_length("label")
     part = lambda more: F.substring("word", F.col("pos") + 1, size + more)
     whole, wider, narrower = part(0), part(1), part(-1)
     one = lambda s: F.levenshtein(s, F.col("label"), 1) == 1
-    fresh = F.col("edits") == 0
-    step = lambda more, edits: F.struct((F.col("pos") + size + more).alias("pos"), edits.alias("edits"))
-    return F.filter(F.array(
-        F.when(whole == F.col("label"), step(0, F.col("edits"))),
-        F.when(fresh & (F.char_length(whole) == size) & one(whole), step(0, F.lit(1))),
-        F.when(fresh & (F.char_length(wider) == size + 1) & one(wider), step(1, F.lit(1))),
-        F.when(fresh & (F.char_length(narrower) == size - 1) & one(narrower), step(-1, F.lit(1)))), lambda r: r.isNotNull())
+    step = lambda more, edits: F.struct((F.col("pos") + size + more).alias("pos"), F.lit(edits).alias("edits"))
+    return F.array(
+        F.when(whole == F.col("label"), step(0, 0)),
+        F.when((F.char_length(whole) == size) & one(whole), step(0, 1)),
+        F.when((F.char_length(wider) == size + 1) & one(wider), step(1, 1)),
+        F.when((F.char_length(narrower) == size - 1) & one(narrower), step(-1, 1)))
 
 
 def near_words(words: DataFrame, split: int = SPLIT) -> DataFrame:
@@ -139,17 +141,24 @@ def near_words(words: DataFrame, split: int = SPLIT) -> DataFrame:
     edges = trie(words, split)
     copies = edges.filter(F.col("level") == 0).agg(F.coalesce(F.max("copies"), F.lit(1))).first()[0]
     states = words.select("word", F.lit(0).alias("pos"), F.lit(_ROOT).cast("long").alias("node"), F.lit(0).alias("edits"), F.lit(copies).alias("copies"))
+    coming = F.substring("word", F.col("pos") + 1, F.lit(1))
     hits, level = [], 0
     while True:
         here = edges.filter(F.col("level") == level).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("level", "copies")
         dealt = states.withColumn("copy", F.pmod(F.xxhash64("word"), F.col("copies")).cast("int")).drop("copies")
-        read = dealt.join(here, ["node", "copy"]).withColumn("r", F.explode(_readings()))
-        left = F.char_length("word") - F.col("r.pos")
-        hit = F.col("end").isNotNull() & (F.col("r.edits") + left == 1)
-        # with the edit spent, a state goes on only if something is left to read; else one more code point may come
-        live = F.col("kids") & (left >= F.col("r.edits"))
-        found = read.select("word", F.col("r.pos").alias("pos"), F.col("child").alias("node"), F.col("r.edits").alias("edits"),
-                            F.col("child_copies").alias("copies"), F.when(hit, F.col("end")).alias("near"), "end_n", live.alias("live"))
+        fresh = dealt.filter("edits = 0").join(here, ["node", "copy"]).withColumn("r", F.explode(_readings())).filter("r IS NOT NULL")
+        # with the edit spent, a label must continue the word: its first code point is part of the join's key
+        spent = dealt.filter("edits = 1").withColumn("first", coming).join(here, ["node", "copy", "first"])
+        spent = spent.filter(F.substring("word", F.col("pos") + 1, F.char_length("label")) == F.col("label"))
+        spent = spent.withColumn("r", F.struct((F.col("pos") + F.char_length("label")).alias("pos"), F.lit(1).alias("edits")))
+        read = fresh.unionByName(spent.select(fresh.columns)).select(
+            "word", F.col("r.pos").alias("pos"), F.col("child").alias("node"), F.col("r.edits").alias("edits"), F.col("child_copies").alias("copies"),
+            "firsts", "end", "end_n")
+        left = F.char_length("word") - F.col("pos")
+        hit = F.col("end").isNotNull() & (F.col("edits") + left == 1)
+        # with the edit spent, a state goes on only where the child has an edge for the next code point
+        live = (F.col("firsts") != "") & ((F.col("edits") == 0) | ((left > 0) & F.contains(F.col("firsts"), coming)))
+        found = read.withColumn("near", F.when(hit, F.col("end"))).withColumn("live", live).drop("firsts", "end")
         found = materialize(found.filter("live OR near IS NOT NULL"), "trie-frontier")
         hits.append(found.filter("near IS NOT NULL").select("word", "near", F.col("end_n").alias("near_n")))
         states = found.filter("live").select("word", "pos", "node", "edits", "copies")
