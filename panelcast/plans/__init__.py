@@ -11,6 +11,7 @@ from panelcast.plans import q_ml  # noqa: F401
 from panelcast.plans import q_stream  # noqa: F401
 from panelcast.plans import q_models  # noqa: F401
 from panelcast.plans import q_forecast  # noqa: F401
+from panelcast.plans import q_future  # noqa: F401
 from panelcast.plans import q_io  # noqa: F401
 
 QUERIES = registry.QUERIES
