@@ -17,6 +17,7 @@ from panelcast.sources.tables import read_table
 
 # Report vocabulary parameters (fixed values of the product's report vectoriser)
 MAX_FEATURES, MIN_DF, MAX_DF = 5000, 5, 0.90
+CHAT_COMPONENTS = 250
 SVD_COMPONENTS = 150
 REPORT_STOP = ENGLISH + CUSTOM_REPORT
 # Chat vocabulary parameters (fixed values of the product's message vectoriser)
@@ -138,7 +139,8 @@ terms AS (SELECT id, list_concat({_grams_sql(2)}, {_grams_sql(3)}) AS t FROM tk)
 def report_terms(spark, sf):
     """(documents with their uni- and bigrams, vocabulary, document count)."""
     docs = report_docs(spark, sf).select("doc_id", X.vector_tokens(F.col("words")).alias("tokens"))
-    docs = X.add_ngrams(docs, "tokens", (1, 2))
+    # cleaned and tokenised once: the vocabulary and the weights read the written tokens
+    docs = X.add_ngrams(materialize(docs, "tokens"), "tokens", (1, 2))
     n_docs = read_table(spark, sf, "documents", ["doc_id"]).agg(F.count(F.lit(1)).alias("n_docs"))
     # bounded by MAX_FEATURES; written once, as the weights, their broadcast and the column count all read it
     return docs, materialize(X.vocabulary(docs, "terms", n_docs, MAX_FEATURES, MIN_DF, MAX_DF), "vocabulary"), n_docs
@@ -149,7 +151,7 @@ def chat_terms(spark, sf):
     msgs = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
     words = X.message_words(Sx.clean_message(F.col("text")), TRASH_MESSAGE)
     docs = msgs.select((F.col("conv_id") * 1000 + F.col("turn")).alias("msg_id"), X.vector_tokens(words).alias("tokens"))
-    docs = X.add_ngrams(docs, "tokens", CHAT_NGRAMS)
+    docs = X.add_ngrams(materialize(docs, "chat-tokens"), "tokens", CHAT_NGRAMS)
     n_docs = read_table(spark, sf, "conversations", ["conv_id"]).agg(F.count(F.lit(1)).alias("n_docs"))
     return docs, materialize(X.vocabulary(docs, "terms", n_docs, CHAT_FEATURES, CHAT_MIN_DF, CHAT_MAX_DF), "chat-vocabulary"), n_docs
 
@@ -190,17 +192,18 @@ def matrix_sparsity(spark, sf):
 
 
 def fitted_topics(spark, sf):
-    """(documents with terms, place of the saved vectoriser, number of components)."""
+    """(documents with terms, place of the saved vectoriser, number of components, spectrum)."""
     docs, v, _ = report_terms(spark, sf)
-    loadings = X.fit_svd(X.tfidf(docs, "doc_id", "terms", v), v, "doc_id", SVD_COMPONENTS)
+    rows = materialize(X.tfidf_rows(docs, "doc_id", "terms", v), "report-rows")
+    loadings, spectrum = X.fit_topics(rows, v, SVD_COMPONENTS)
     path = X.save_vectoriser(v, loadings, scratch_path(spark, f"vectoriser/{uuid.uuid4().hex[:12]}"))
-    return docs, path, len(loadings.first().vec)
+    return docs, path, len(loadings.first().vec), spectrum
 
 
 @query("svd_topics", covers="T9 T10")
 def svd_topics(spark, sf):
     """Topics of every document, by the saved and reread vectoriser."""
-    docs, path, width = fitted_topics(spark, sf)
+    docs, path, width, _ = fitted_topics(spark, sf)
     return X.project(spark, docs, "doc_id", "terms", path, width)
 
 
@@ -208,17 +211,32 @@ def svd_topics(spark, sf):
 SELECT CAST(range AS INTEGER) AS topic, 1.0 AS norm FROM range({SVD_COMPONENTS}) WHERE range < (SELECT count(*) FROM vocab) - 1""")
 def svd_loading_norms(spark, sf):
     """Every component's loadings have unit length (columns of V)."""
-    _, path, _ = fitted_topics(spark, sf)
+    _, path, _, _ = fitted_topics(spark, sf)
     long = spark.read.parquet(f"{path}/loadings").select(F.posexplode("vec").alias("topic", "x"))
     return long.groupBy("topic").agg(D.r6(F.sqrt(F.sum(F.col("x") * F.col("x")))).alias("norm"))
 
 
 @query("svd_top_terms", covers="O4")
 def svd_top_terms(spark, sf):
-    _, path, _ = fitted_topics(spark, sf)
+    _, path, _, _ = fitted_topics(spark, sf)
     return X.top_terms_per_component(spark.read.parquet(f"{path}/loadings"), 10)
 
 
+@query("svd_variance", covers="T9")
+def svd_variance(spark, sf):
+    """Singular values of the report vectors and the share of the variance that their components explain."""
+    return fitted_topics(spark, sf)[3]
+
+
+@query("chat_topics", covers="T9 T10")
+def chat_topics(spark, sf):
+    """Topic vector of every chat message (``CHAT_COMPONENTS`` wide), by a vectoriser fitted on all messages, saved and reread."""
+    docs, v, _ = chat_terms(spark, sf)
+    loadings, _ = X.fit_topics(materialize(X.tfidf_rows(docs, "msg_id", "terms", v), "chat-rows"), v, CHAT_COMPONENTS)
+    path = X.save_vectoriser(v, loadings, scratch_path(spark, f"vectoriser/{uuid.uuid4().hex[:12]}"))
+    return X.project(spark, docs, "msg_id", "terms", path, len(loadings.first().vec))
+
+
 MSG_HOUR_SQL = "date_trunc('hour', TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(conv_id % 720 AS BIGINT)) + to_minutes(CAST(turn AS BIGINT)))"
 
 
