@@ -11,14 +11,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from panelcast.functions.calendar import floor_hour
-from panelcast.operators import dedupe as U
 from panelcast.operators.windows import family_shift
 from panelcast.plans import driver as D
+from panelcast.plans.q_events import UPSERT_CUT, UPSERT_NEW_FROM
 from panelcast.plans.q_panel import WIDE_SQL, family_columns, lag_feature_block, wide_panel
 from panelcast.plans.registry import query
 from panelcast.plans.sqlfrag import EV, PANEL, REPORTS, with_
 from panelcast.session import materialize, path_exists
 from panelcast.sources.tables import read_tail
+from panelcast.sources.versioned import VersionedTable
 from panelcast.streaming import jobs as J
 
 def week_of(c):
@@ -84,30 +85,104 @@ def stream_state_hours_since(spark, sf):
 SELECT entity_id, hour, count(*) AS n_events, round(sum(value), 6) AS value_sum FROM ev GROUP BY entity_id, hour""")
 def stream_upsert(spark, sf):
     ws = J.new_workspace(spark, "upsert")
-    target = f"{ws}/table"
-
-    def build(s):
-        return s
+    table = VersionedTable(spark, f"{ws}/table", "day")
 
     def upsert_batch(batch, batch_id):
         cells = (batch.withColumn("entity_id", D.entity_of("user_id")).withColumn("hour", floor_hour("ts"))
                  .groupBy("entity_id", "hour").agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("value_sum"))
                  .withColumn("day", F.to_date("hour")))
-        if path_exists(spark, target):  # a failing read is raised: it must not pass for an empty table
-            existing = spark.read.parquet(target)
-            touched = cells.select("day").distinct()
-            old = existing.join(touched, "day", "left_semi").select(*cells.columns)
-            merged = U.upsert(old, cells, ["entity_id", "hour"])
-        else:
-            merged = cells
-        stage = f"{ws}/stage/batch_id={batch_id}"
-        merged.write.mode("overwrite").parquet(stage)           # materialise before overwriting partitions
-        (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day").parquet(target))
-
-    J.run_drops(spark, _event_drops(spark, sf), "_chunk", EVENT_SCHEMA, build, upsert_batch, ws, redeliver=[0])
-    t = spark.read.parquet(target)
-    return t.select("entity_id", "hour", "n_events", D.r6("value_sum").alias("value_sum"))
+        table.upsert(cells, ["entity_id", "hour"], batch=batch_id)  # one commit a batch; a replayed batch changes nothing
+
+    J.run_drops(spark, _event_drops(spark, sf), "_chunk", EVENT_SCHEMA, lambda s: s, upsert_batch, ws, redeliver=[0])
+    return table.read().select("entity_id", "hour", "n_events", D.r6("value_sum").alias("value_sum"))
+
+
+@query("stream_sliding_counts", covers="X12 X2 X3", sql=with_(EV, """
+wm AS (SELECT max(ts) - INTERVAL 2 HOUR AS w FROM ev),
+x AS (SELECT entity_id, event_type, value, hour + to_hours(CAST(k AS BIGINT)) AS until FROM ev, range(1, 25) r(k))""") + """
+SELECT entity_id, until - INTERVAL 24 HOUR AS window_start, until AS window_end, count(*) AS n,
+       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS n_error, round(max(value), 6) AS value_max
+FROM x, wm WHERE until <= wm.w GROUP BY entity_id, until""")
+def stream_sliding_counts(spark, sf):
+    """24-hour windows that start every hour, by event time: a window is emitted once, when the watermark has passed its end, and its
+    state is dropped then.  A row is in 24 windows; they are counted where the row is before any exchange."""
+    ws = J.new_workspace(spark, "sliding")
+
+    def build(s):
+        s = s.withColumn("entity_id", D.entity_of("user_id")).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "2 hours")
+        g = s.groupBy(F.window("ts", "24 hours", "1 hour").alias("w"), "entity_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "error").alias("n_error"), F.max("value").alias("value_max"))
+        return g.select("entity_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "n", "n_error", "value_max")
+
+    J.run_drops(spark, _event_drops(spark, sf), "_chunk", EVENT_SCHEMA, build, J.batch_sink(f"{ws}/out"), ws)
+    out = J.read_sink(spark, f"{ws}/out", T._parse_datatype_string(
+        "entity_id int, window_start timestamp_ntz, window_end timestamp_ntz, n bigint, n_error bigint, value_max double"))
+    return out.select("entity_id", "window_start", "window_end", "n", "n_error", D.r6("value_max").alias("value_max"))
+
+
+def _late_drops(spark, sf):
+    """Weekly drops out of order: every 20th event comes a week late, every 20th after it two weeks."""
+    late = F.when(F.col("event_id") % 20 == 7, 1).when(F.col("event_id") % 20 == 8, 2).otherwise(0)
+    ev = D.events(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
+    return ev.withColumn("_chunk", week_of("ts") + late)
+
+
+LATE_SQL = with_(EV, """
+d AS (SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) AS INTEGER)
+       + CASE WHEN event_id % 20 = 7 THEN 1 WHEN event_id % 20 = 8 THEN 2 ELSE 0 END AS drop_id FROM ev),
+m AS (SELECT drop_id, date_trunc('hour', max(max(ts)) OVER (ORDER BY drop_id)) - INTERVAL 1 HOUR AS cutoff FROM d GROUP BY drop_id),
+b AS (SELECT drop_id, cutoff, lag(cutoff) OVER (ORDER BY drop_id) AS last FROM m),
+v AS (SELECT d.*, coalesce(d.hour <= b.last, false) AS refused, d.hour <= (SELECT max(cutoff) FROM m) AS complete FROM d JOIN b USING (drop_id))""")
+
+
+def admitted_drops(spark, sf):
+    """(ws of the run): every drop's rows with the verdict of :func:`panelcast.streaming.jobs.admit`."""
+    ws = J.new_workspace(spark, "admission")
+    drops = _late_drops(spark, sf).withColumn("entity_id", D.entity_of("user_id")).withColumn("hour", floor_hour("ts"))
+    J.run_drops(spark, drops, "_chunk", drops.drop("_chunk").schema, lambda s: s, J.admit(spark, f"{ws}/admission"), ws)
+    return f"{ws}/admission"
+
+
+@query("stream_admitted_hours", covers="X3 X4", sql=LATE_SQL + """
+SELECT entity_id, hour, count(*) AS n, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS n_error
+FROM v WHERE NOT refused AND complete GROUP BY entity_id, hour""")
+def stream_admitted_hours(spark, sf):
+    """Cells of the hours that were admitted: an hour comes in with one drop, whole, and never changes afterwards."""
+    rows = J.verdicts(spark, admitted_drops(spark, sf), "admitted")
+    return rows.groupBy("entity_id", "hour").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "error").alias("n_error"))
+
+
+@query("stream_refused_rows", covers="X4", sql=LATE_SQL + """
+SELECT drop_id AS batch, count(*) AS landed, CAST(count(*) FILTER (WHERE refused) AS BIGINT) AS refused,
+       min(hour) FILTER (WHERE refused) AS first_refused, max(hour) FILTER (WHERE refused) AS last_refused,
+       CAST(count(*) FILTER (WHERE refused AND hour = (SELECT last FROM b WHERE b.drop_id = v.drop_id)) AS BIGINT) AS on_limit
+FROM v GROUP BY drop_id""")
+def stream_refused_rows(spark, sf):
+    """Per batch: rows that landed and those refused, as observed while the batch was written."""
+    return J.admission_log(spark, admitted_drops(spark, sf)).select("batch", "landed", "refused", "first_refused", "last_refused", "on_limit")
+
+
+@query("versioned_upsert", covers="U4 U5 S14", sql=with_(EV, """
+old AS (SELECT entity_id, hour, count(*) AS n, avg(value) AS v FROM ev WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY 1, 2),
+new AS (SELECT entity_id, hour, count(*) AS n, max(value) AS v FROM ev WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1, 2),
+v2 AS (SELECT * FROM new UNION ALL SELECT o.* FROM old o ANTI JOIN new n ON n.entity_id = o.entity_id AND n.hour = o.hour),
+slice AS (SELECT entity_id, hour, count(*) AS n, min(value) AS v FROM ev WHERE CAST(hour AS DATE) = DATE '2024-01-04' GROUP BY 1, 2),
+v3 AS (SELECT * FROM v2 WHERE CAST(hour AS DATE) NOT IN (DATE '2024-01-04', DATE '2024-01-05') UNION ALL SELECT * FROM slice)""") + """
+SELECT 1 AS version, entity_id, hour, n, round(v, 6) AS v FROM old UNION ALL SELECT 2, entity_id, hour, n, round(v, 6) FROM v2
+UNION ALL SELECT 3, entity_id, hour, n, round(v, 6) FROM v3""")
+def versioned_upsert(spark, sf):
+    """Three commits on a table partitioned by day: a load, an upsert, a replaced slice; every version stays readable."""
+    ev = D.entity_events(spark, sf)
+    cells = lambda x, agg: (x.groupBy("entity_id", "hour").agg(F.count(F.lit(1)).alias("n"), agg("value").alias("v"))
+                            .withColumn("day", F.to_date("hour")))
+    table = VersionedTable(spark, J.new_workspace(spark, "versioned"), "day")
+    cut = lambda t: F.lit(t).cast("timestamp_ntz")
+    table.upsert(cells(ev.filter(F.col("ts") < cut(UPSERT_CUT)), F.avg), ["entity_id", "hour"])
+    table.upsert(cells(ev.filter(F.col("ts") >= cut(UPSERT_NEW_FROM)), F.max), ["entity_id", "hour"])
+    table.replace(["2024-01-04", "2024-01-05"], cells(ev.filter(F.to_date("hour") == F.lit("2024-01-04").cast("date")), F.min))
+    out = [table.read(n).select(F.lit(n).alias("version"), "entity_id", "hour", "n", D.r6("v").alias("v")) for n in (1, 2, 3)]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("stream_dedupe", covers="X10", sql="""

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +74,59 @@ def read_sink(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     return spark.read.parquet(out).drop("batch_id") if path_exists(spark, out) else spark.createDataFrame([], schema)
 
 
+# ------------------------------------------------------------------------------------------ X3, X4
+
+
+def admit(spark: SparkSession, out: str, hour: str = "hour", ts: str = "ts") -> Callable[[DataFrame, int], None]:
+    """Sink that admits the hours (last + 1 h .. cutoff): later rows wait for the next batch, rows up to ``last`` are refused.
+
+    ``cutoff`` is the last hour that is complete at the latest time seen, ``last`` the cutoff of the batch before, so an hour is
+    admitted with exactly one batch.  A batch reads what the batch before left (its limits, its waiting rows) and
+    writes its own folder: replaying it gives the same rows.  Counts are observed while the rows are written.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        before = f"{out}/rows/batch_id={batch_id - 1}"
+        seen = limits = None
+        if batch_id and path_exists(spark, before):
+            waiting = spark.read.parquet(before).filter("verdict = 'waiting'").drop("verdict")
+            batch = batch.withColumn("landed", F.lit(True)).unionByName(waiting.withColumn("landed", F.lit(False)))
+            limits = spark.read.parquet(f"{out}/log/batch_id={batch_id - 1}").first()
+            seen = limits.seen
+        else:
+            batch = batch.withColumn("landed", F.lit(True))
+        latest = batch.agg(F.max(ts)).first()[0]
+        seen = max((x for x in (seen, latest) if x is not None), default=None)
+        if seen is None:
+            return
+        cutoff = seen.replace(minute=0, second=0, microsecond=0) - timedelta(hours=1)
+        last = F.lit(limits.cutoff if limits else None).cast("timestamp_ntz")
+        late = F.coalesce(F.col(hour) <= last, F.lit(False))
+        verdict = F.when(late, "refused").when(F.col(hour) <= F.lit(cutoff).cast("timestamp_ntz"), "admitted").otherwise("waiting")
+        seen_rows = Observation()
+        watched = batch.withColumn("verdict", verdict).observe(
+            seen_rows, F.count_if("landed").alias("landed"), F.count_if(late).alias("refused"), F.min(F.when(late, F.col(hour))).alias("first_refused"),
+            F.max(F.when(late, F.col(hour))).alias("last_refused"), F.count_if(late & (F.col(hour) == last)).alias("on_limit"))
+        watched.drop("landed").write.mode("overwrite").partitionBy("verdict").parquet(f"{out}/rows/batch_id={batch_id}")
+        got = seen_rows.get
+        row = [(batch_id, seen, cutoff, got["landed"], got["refused"], got["first_refused"], got["last_refused"], got["on_limit"])]
+        spark.createDataFrame(row, ADMISSION_LOG).coalesce(1).write.mode("overwrite").parquet(f"{out}/log/batch_id={batch_id}")
+
+    return sink
+
+
+ADMISSION_LOG = ("batch int, seen timestamp_ntz, cutoff timestamp_ntz, landed bigint, refused bigint, first_refused timestamp_ntz, "
+                 "last_refused timestamp_ntz, on_limit bigint")
+
+
+def verdicts(spark: SparkSession, out: str, verdict: str) -> DataFrame:
+    """Rows of all batches with this verdict."""
+    return spark.read.parquet(f"{out}/rows").filter(F.col("verdict") == verdict).drop("verdict", "batch_id")
+
+
+def admission_log(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(f"{out}/log").drop("batch_id")
+
+
 # ------------------------------------------------------------------------------------------ X5
 
 
