@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelcast.llm import ngram_join as J
@@ -31,6 +33,14 @@ def test_against_all_pairs(spark, texts, block, monkeypatch):
     assert got == brute.near_classes(rows)
 
 
+@pytest.mark.parametrize("pair, links", [((0, 0), [1, 1]), ((0, 1), []), ((1, 0), [])])
+def test_links_inside_a_block_are_counted_once(pair, links):
+    """Two linked rows of block 0, alone in a group: as block 0, and as a pair of blocks of which the other is empty."""
+    sets = [np.arange(10, dtype=np.uint64).tobytes(), np.arange(9, dtype=np.uint64).tobytes()]
+    rows = pa.table({"i": [pair[0]] * 2, "j": [pair[1]] * 2, "block": [0, 0], "node": [7, 8], "shingles": sets})
+    assert J._verify(rows, 0.8)[2] == links
+
+
 def test_large_group_of_near_copies(spark, rng, prose):
     base = prose(200)
     rows = [(i, near(rng, base, 0.005)) for i in range(120)] + [(200, prose(200))]
