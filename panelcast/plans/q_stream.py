@@ -287,6 +287,44 @@ def rebuild_missing_final(spark, sf):
     return final.filter(F.col("hour") < from_start).unionByName(new)
 
 
+def second_stage(spark, first: str, table: VersionedTable, bucket_rows: int):
+    """Sink of the stream that reads the first stage's folder ``first``.  It looks for the earliest hour of the last 90 days that
+    the final table lacks, reads the first stage from 72 hours before it, and commits the rebuilt hours under the batch's id:
+    rows before that hour stay as they are, and a replayed batch changes nothing."""
+    keys = ["entity_id", "hour"]
+
+    def sink(batch, batch_id):
+        wide = spark.read.parquet(first).drop("batch_id")
+        recent = read_tail(wide, "hour", 24 * COMPARE_DAYS).select(*keys)
+        stored = table.read().select(*keys) if table.version() else recent.limit(0)
+        start = recent.join(stored, keys, "left_anti").agg(F.min("hour")).first()[0]
+        if start is None:
+            return
+        lead = wide.filter(F.col("hour") >= F.lit(start - timedelta(hours=FINAL_LEAD_HOURS)).cast("timestamp_ntz"))
+        new = _shifted(lead, bucket_rows).filter(F.col("hour") >= F.lit(start).cast("timestamp_ntz"))
+        table.upsert(new.withColumn("day", F.to_date("hour")), keys, batch=batch_id)
+
+    return sink
+
+
+@query("stream_second_stage", covers="X7 U4", sql=with_(PANEL, REPORTS, WIDE_SQL) + FINAL_SQL)
+def stream_second_stage(spark, sf):
+    """Two chained streams: the first lands the unshifted panel drop by drop, the second reads its folder and keeps the final table.
+    After the third drop some hours are taken out of the final table; the next tick puts them back."""
+    ws = J.new_workspace(spark, "second-stage")
+    wide = wide_panel(spark, sf).withColumn("_chunk", week_of("hour"))
+    schema = wide.drop("_chunk").schema
+    table = VersionedTable(spark, f"{ws}/final", "day")
+    first, second = J.batch_sink(f"{ws}/first"), second_stage(spark, f"{ws}/first", table, D.bucket_rows(spark))
+    for i, cid in enumerate(J.stage_drops(wide, "_chunk", f"{ws}/staged")):
+        J.write_drop(f"{ws}/staged", "_chunk", cid, f"{ws}/landing/tick_{i:05d}", spark)
+        J.tick(spark, f"{ws}/landing", schema, f"{ws}/checkpoint-first", lambda s: s, first)
+        J.tick(spark, f"{ws}/first", schema, f"{ws}/checkpoint-second", lambda s: s, second)
+        if i == 2:
+            table.replace(["2024-01-17", "2024-01-18"], table.read().filter((F.col("day") == F.lit("2024-01-17").cast("date")) & (F.hour("hour") < 5)))
+    return table.read().select(*FINAL_COLS)
+
+
 REPORT_SCHEMA = T.StructType([T.StructField("day", T.DateType()), T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType())])
 DAY_OUT = T.StructType([T.StructField("day", T.TimestampNTZType()), T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType())])
 

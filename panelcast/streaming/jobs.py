@@ -63,10 +63,16 @@ def run_drops(spark: SparkSession, source: DataFrame, chunk: str, schema: T.Stru
     order = stage_drops(source, chunk, staged) + list(redeliver or [])
     for i, cid in enumerate(order):
         write_drop(staged, chunk, cid, f"{landing}/tick_{i:05d}", spark)
-        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(landing)
-        q = (build(stream).writeStream.outputMode(output_mode).foreachBatch(sink)
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-        q.awaitTermination()
+        tick(spark, landing, schema, ckpt, build, sink, output_mode)
+
+
+def tick(spark: SparkSession, source: str, schema: T.StructType, checkpoint: str, build: Callable[[DataFrame], DataFrame],
+         sink: Callable[[DataFrame, int], None], output_mode: str = "append") -> None:
+    """One run of a stream over what is new in the folder ``source`` since its last run."""
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+    q = (build(stream).writeStream.outputMode(output_mode).foreachBatch(sink)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def read_sink(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
