@@ -67,6 +67,32 @@ def _distinct_terms(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.string())], names=["term"])
 
 
+class Numbers:
+    """Sorted words and their numbers.  The driver and the broadcast hold an Arrow array; a worker makes the look-up table once."""
+
+    def __init__(self, words: pa.Array):
+        self.words = words.take(pa.compute.array_sort_indices(words))
+        self._known: dict | None = None
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __iter__(self):
+        return iter(self.words.to_pylist())
+
+    def __getstate__(self):
+        return self.words
+
+    def __setstate__(self, words):
+        self.words, self._known = words, None
+
+    @property
+    def known(self) -> dict:
+        if self._known is None:
+            self._known = {w: i for i, w in enumerate(self.words.to_pylist())}
+        return self._known
+
+
 def counted(text: str, known: dict) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of a text's known words, ascending, and how often each occurs."""
     ids, counts = np.unique(np.array([known.get(w, -1) for w in words_of(text)], np.int64), return_counts=True)
@@ -100,22 +126,31 @@ def relevance(d: np.ndarray, t: np.ndarray, n: int, ones: int) -> np.ndarray:
     return np.log(np.maximum(odds, 1.0)) + REST
 
 
-def _document_frequencies(docs: DataFrame, sent) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those that hold each term (broadcast ``sent``: term -> number); counted over all documents."""
+def numbered_docs(df: DataFrame, sent, text_col: str = "text") -> DataFrame:
+    """``df`` without its text, but with the text's word numbers (broadcast ``sent``) and counts; written, as counts and scores read it."""
+    def run(batch):
+        known = sent.value.known
+        found = [counted(t, known) for t in texts_of(batch.column(text_col))]
+        return [[t.astype(np.int32) for t, _ in found], [c.astype(np.int32) for _, c in found]]
+
+    with_numbers = append_columns(df, "terms array<int>, counts array<int>", run)
+    return materialize(with_numbers.select(*[F.col(f"`{c}`") for c in with_numbers.columns if c != text_col]), "toxicity-numbers")
+
+
+def _document_frequencies(numbered: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that hold each term; counted over all documents."""
 
     def count(batches):
-        known = sent.value
-        n, freq = 0, np.zeros(len(known), np.int64)
+        n, freq = 0, np.zeros(n_terms, np.int64)
         for b in batches:
-            for text in texts_of(b.column("text")):
-                n += 1
-                freq[counted(text, known)[0]] += 1
+            n += b.num_rows
+            freq += np.bincount(b.column("terms").flatten().to_numpy(), minlength=n_terms)
         ids = np.flatnonzero(freq)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, ids], pa.int64()), pa.array(np.r_[n, freq[ids]], pa.int64())], names=["term", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
+    rows = numbered.select("terms").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
     term, n = rows.column("term").to_numpy(), rows.column("n").to_numpy()
-    freq = np.zeros(len(sent.value), np.int64)
+    freq = np.zeros(n_terms, np.int64)
     freq[term[term >= 0]] = n[term >= 0]
     return int(n[term < 0].sum()), freq
 
@@ -124,7 +159,7 @@ def _document_frequencies(docs: DataFrame, sent) -> tuple[int, np.ndarray]:
 class Index:
     """Postings of the examples' weighted TF-IDF vectors."""
 
-    known: dict
+    known: dict | Numbers
     idf: np.ndarray  # times relevance
     labels: np.ndarray
     starts: np.ndarray  # postings of term t: starts[t] up to the next
@@ -169,7 +204,7 @@ class Index:
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Terms and normalised weights of a text."""
-        return self.weigh(*counted(text, self.known))
+        return self.weigh(*counted(text, self.known.known if isinstance(self.known, Numbers) else self.known))
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         weights = (1 + np.log(counts)) * self.idf[terms] if len(terms) else np.zeros(0)
@@ -271,19 +306,20 @@ class Index:
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Index:
     """``docs`` (id, text), ``labels`` (id, label 0/1): only the labels given are learnt from."""
-    spark = docs.sparkSession
-    examples = materialize(examples_of(docs, labels, max_examples), "toxicity-examples")
-    terms = examples.select("text").mapInArrow(_distinct_terms, "term string").distinct().toArrow().column("term").to_pylist()
-    known = {t: i for i, t in enumerate(sorted(terms))}
-    sent = spark.sparkContext.broadcast(known)
-    n_docs, freq = _document_frequencies(docs, sent)
+    return fit_numbered(docs, labels, max_examples)[0]
 
-    def numbers(batch):  # an example is needed as its terms' numbers only
-        found = [counted(t, sent.value) for t in texts_of(batch.column("text"))]
-        return [[t.astype(np.int32) for t, _ in found], [c.astype(np.int32) for _, c in found]]
 
-    numbered = materialize(append_columns(examples.select("key", "label", "text"), "terms array<int>, counts array<int>", numbers)
-                           .select("key", "label", "terms", "counts"), "toxicity-numbers")
+def fit_numbered(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> tuple[Index, DataFrame]:
+    """The index and the documents as word numbers (``docs`` without ``text``, plus ``terms, counts``)."""
+    spark = docs.sparkSession
+    examples = materialize(examples_of(docs.select("id", "text"), labels, max_examples), "toxicity-examples")
+    words = examples.select("text").mapInArrow(_distinct_terms, "term string").distinct().toArrow().column("term").combine_chunks()
+    known = Numbers(words if isinstance(words, pa.Array) else pa.array([], pa.string()))
+    del words
+    sent = spark.sparkContext.broadcast(known)
+    rows = numbered_docs(docs, sent)
+    n_docs, freq = _document_frequencies(rows, len(known))
+    numbered = numbered_docs(examples.select("key", "label", "text"), sent)  # an example is needed as its words' numbers only
     sent.destroy()
     got = numbered.toArrow()  # at most max_examples texts' terms
     got = got.take(pa.array(np.argsort(got.column("key").to_numpy()))) if got.num_rows else got
@@ -292,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     sizes = pa.compute.list_value_length(got.column("terms")).to_numpy().astype(np.int64)
     half = np.array([half_of(k) for k in got.column("key").to_pylist()], np.int64)
     idf = idf_of(n_docs, freq)
-    del got, terms
+    del got
     pa.default_memory_pool().release_unused()
 
     def part(mine: np.ndarray) -> Index:
@@ -309,7 +345,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     index = part(np.ones(len(y), bool))
     index.known = known
     index.calibrate(votes)
-    return index
+    return index, rows
 
 
 def half_of(key: str) -> int:
@@ -357,18 +393,45 @@ def score_texts(df: DataFrame, index: Index, text_col: str = "text") -> DataFram
     return append_columns(df, SCORED, run)
 
 
+def score_numbered(rows: DataFrame, index: Index) -> DataFrame:
+    """``rows`` of :func:`fit_numbered` with ``score`` and ``evidence`` in place of the numbers: their texts aren't read again."""
+    sent = rows.sparkSession.sparkContext.broadcast(index)
+
+    def run(batch):
+        idx, vectors = sent.value, []
+        terms, counts = batch.column("terms"), batch.column("counts")
+        edges = terms.offsets.to_numpy().astype(np.int64)
+        ids, n = terms.values.to_numpy().astype(np.int64), counts.values.to_numpy()
+        first, at = {}, []
+        for a, b in zip(edges[:-1], edges[1:]):
+            key = (ids[a:b].tobytes(), n[a:b].tobytes())
+            if key not in first:
+                first[key] = len(vectors)
+                vectors.append(idx.weigh(ids[a:b], n[a:b]))
+            at.append(first[key])
+        made = idx.scores(vectors)
+        return list(zip(*[made[i] for i in at])) if at else [[], []]
+
+    return append_columns(rows, SCORED, run).drop("terms", "counts")
+
+
 def remainder(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string")) % 3
 
 
+def learnt_labels(spark, sf_dir: str) -> DataFrame:
+    """(id, label) of the labelled rows whose id's CRC-32 leaves no remainder of 1 by 3."""
+    return table(spark, sf_dir, "labels").filter(remainder() != 1).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+
+
 def toxicity_scores(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` scored by the labelled rows of ``documents`` whose id's CRC-32 leaves no remainder of 1 by 3."""
+    """``docs`` scored by the labelled rows of ``documents`` that may be learnt from."""
     known = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    labels = table(spark, sf_dir, "labels").filter(remainder() != 1).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
-    return score_texts(docs, fit(known, labels))
+    return score_texts(docs, fit(known, learnt_labels(spark, sf_dir)))
 
 
 @query("op1_toxicity")
 def op1_toxicity(spark, sf_dir):
-    scored = toxicity_scores(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
-    return scored.select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "doc_id")
+    index, rows = fit_numbered(docs, learnt_labels(spark, sf_dir))
+    return score_numbered(rows, index).select("doc_id", F.coalesce(remainder() == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
