@@ -24,6 +24,7 @@ replaced.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -68,11 +69,14 @@ def _distinct_terms(batches):
 
 
 class Numbers:
-    """Sorted words and their numbers.  The driver and the broadcast hold an Arrow array; a worker makes the look-up table once."""
+    """Sorted words and their numbers.  The driver and the broadcasts hold an Arrow array; a worker makes the look-up table
+    once, and keeps only the last one (the index and the numbering share it)."""
+
+    _last: tuple[str, dict] = ("", {})
 
     def __init__(self, words: pa.Array):
         self.words = words.take(pa.compute.array_sort_indices(words))
-        self._known: dict | None = None
+        self.key = uuid.uuid4().hex
 
     def __len__(self) -> int:
         return len(self.words)
@@ -80,17 +84,12 @@ class Numbers:
     def __iter__(self):
         return iter(self.words.to_pylist())
 
-    def __getstate__(self):
-        return self.words
-
-    def __setstate__(self, words):
-        self.words, self._known = words, None
-
     @property
     def known(self) -> dict:
-        if self._known is None:
-            self._known = {w: i for i, w in enumerate(self.words.to_pylist())}
-        return self._known
+        if Numbers._last[0] != self.key:
+            Numbers._last = ("", {})
+            Numbers._last = (self.key, {w: i for i, w in enumerate(self.words.to_pylist())})
+        return Numbers._last[1]
 
 
 def counted(text: str, known: dict) -> tuple[np.ndarray, np.ndarray]:
