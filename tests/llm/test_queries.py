@@ -12,6 +12,7 @@ from panelcast.llm import ORACLES, QUERIES
 from tests.conftest import SF_SMALL
 from tests.helpers import assert_frames_match
 from tests.llm import brute
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +49,12 @@ def test_quality_counts(spark, docs):
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (r.kept and r.base_failed)
 
 
+def test_simhash(spark, docs):
+    prints = [(i, plain_fingerprint(t)) for i, t in docs]
+    parts = plain_components(prints)
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows(spark, "op12_simhash")} == {i: (f"{p:016x}", parts[p]) for i, p in prints}
+
+
 def test_license_scan_and_line_dedup_return_every_document(spark, docs):
     for name in ("op10_license_scan", "op6_line_dedup"):
         assert sorted(r.doc_id for r in rows(spark, name)) == sorted(i for i, _ in docs)
