@@ -21,6 +21,9 @@ FITTED = {
     "retrain_summary": lambda p: len(p) == 1 and p["promotions"][0] == 1 + int(p["accepted"][0]),
     "forecast_json": lambda p: len(p) == 24 * 24 and p["proba"].between(0, 1).all(),
     "svd_topics": lambda p: p["doc_id"].nunique() == 200 and p["value"].notna().all(),
+    "svd_variance": lambda p: (p.sort_values("component")["singular_value"].diff().dropna() <= 1e-9).all() and (p["ratio"] >= 0).all()
+    and 0 < p["cumulative_ratio"].max() <= 1 + 1e-9,
+    "chat_topics": lambda p: p["msg_id"].nunique() == 87 and p["value"].notna().all(),
     "svd_top_terms": lambda p: (p.groupby("topic").size() == 10).all(),
 }
 
