@@ -25,8 +25,7 @@ SELECT entity_id, hour, CAST(least(greatest(sum(us), 0), 3600000000) AS BIGINT)
 FROM m WHERE us > 0 GROUP BY entity_id, hour""")
 def interval_hour_minutes(spark, sf):
     iv = D.error_intervals(spark, sf)
-    h = I.hourly_minutes(I.expand_minutes(iv), ["entity_id"])
-    return h.select("entity_id", "hour", "minutes_in_hour", "active")
+    return I.swept_minutes(iv, ["entity_id"]).select("entity_id", "hour", "minutes_in_hour", "active")
 
 
 @query("interval_overlap_flags", covers="J8", sql=with_(PANEL, IV) + """

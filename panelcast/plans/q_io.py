@@ -50,17 +50,24 @@ def io_roundtrip(spark, sf):
                     F.coalesce("is_latest", F.lit(False)).alias("is_latest"), F.lit(n_cols).alias("n_columns"))
 
 
+#: Records of one JSON array (about this many: parts are dealt by a hash)
+ARRAY_ROWS = 20_000
+
+
 @query("json_arrays_by_day_hour", covers="S2 S16", sql=with_(EV) + """
 SELECT CAST(CAST(hour AS DATE) AS TIMESTAMP) AS day, CAST(hour(hour) AS INTEGER) AS hour, count(*) AS n, max(event_id) AS last_event
 FROM ev GROUP BY 1, 2""")
 def json_arrays_by_day_hour(spark, sf):
-    """One file per (day, hour) folder holding a JSON array of records, read back as rows."""
+    """Files in a (day, hour) folder that hold a JSON array of records each, read back as rows.  An hour with more
+    than ``ARRAY_ROWS`` records has several files, by a hash of the id, so that no array grows with the hour."""
     base = scratch_path(spark, f"arrays/{uuid.uuid4().hex[:12]}")
     ev = D.events(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
+    ev = ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("hour", F.hour("ts"))
+    sizes = ev.groupBy("day", "hour").agg(F.ceil(F.count(F.lit(1)) / ARRAY_ROWS).alias("parts"))  # a row per hour
     rec = F.struct("event_id", "ts", "user_id", "event_type", "value")
-    files = ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), F.hour("ts").alias("hour")).agg(
-        F.to_json(F.collect_list(rec)).alias("value"))  # one hour's snapshot is one document
-    files.write.partitionBy("day", "hour").text(base)
+    part = F.pmod(F.xxhash64("event_id"), F.col("parts")).alias("part")
+    files = ev.join(sizes, ["day", "hour"]).groupBy("day", "hour", part).agg(F.to_json(F.collect_list(rec)).alias("value"))
+    files.write.partitionBy("day", "hour", "part").text(base)
     back = Fi.read_json_records(spark, base, EVENT_CSV_SCHEMA, multiline=True)
     hour = F.regexp_extract("file_path", r"/hour=(\d+)/", 1).cast("int")
     return back.groupBy(Fi.path_date("file_path").cast("timestamp_ntz").alias("day"), hour.alias("hour")).agg(

@@ -145,7 +145,7 @@ def range_and_tail_scan(spark, sf):
     ev = Tb.read_table(spark, sf, "events", ["event_id", "ts", "value"])
     rng = Tb.read_range(ev, "ts", "2024-01-01 00:00:00", "2024-12-31 23:00:00", key_cols=["event_id"])
     tail = Tb.read_tail(rng, "ts", 168, strict=True)
-    mx = Tb.max_key(ev, "ts")
+    mx = Tb.max_key_at(spark, Tb.table_path(sf, "events"), "ts")
     return tail.crossJoin(F.broadcast(mx)).select("event_id", "ts", "value", F.col("max_ts").alias("max_ts"))
 
 

@@ -6,10 +6,14 @@ Parquet scan (``ReadSchema`` / ``PushedFilters`` in the plan), so callers never
 
 from __future__ import annotations
 
-from datetime import timedelta
+from contextlib import contextmanager
+from datetime import datetime, timedelta
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -58,3 +62,69 @@ def read_tail(df: DataFrame, ts_col: str, hours: int, strict: bool = False) -> D
 def max_key(df: DataFrame, col: str) -> DataFrame:
     """One-row max probe: an aggregate over a scan of this one column."""
     return df.agg(F.max(col).alias(f"max_{col}"))
+
+
+# ------------------------------------------------------------------ S12 from footers
+
+_V1_SOURCES, _PUSH = "spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown"
+_IN_FOOTERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+
+
+@contextmanager
+def footer_aggregates(spark: SparkSession):
+    """Within it, Parquet is read by the scan that answers MIN and MAX from footer statistics."""
+    v1, push = spark.conf.get(_V1_SOURCES), spark.conf.get(_PUSH)
+    spark.conf.set(_V1_SOURCES, ",".join(x for x in v1.split(",") if x.strip() != "parquet"))
+    spark.conf.set(_PUSH, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_V1_SOURCES, v1)
+        spark.conf.set(_PUSH, push)
+
+
+def footer_max(spark: SparkSession, path: str, schema: T.StructType, col: str) -> DataFrame:
+    """MAX of a column by footers (inside :func:`footer_aggregates`); timestamps are read as their stored number, since only
+    numbers and dates are answered by footers.  The other columns stay in the schema, as statistics are found by position."""
+    number = lambda f: T.LongType() if f.name == col and isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else f.dataType
+    flat = T.StructType([T.StructField(f.name, number(f)) for f in schema])
+    return spark.read.schema(flat).parquet(path).agg(F.max(col).alias("m"))
+
+
+def _bound(spark: SparkSession, path: str, schema: T.StructType, col: str) -> Column | None:
+    """A literal from the footers that the largest value should equal, or None if they don't tell."""
+    kind = schema[col].dataType
+    before = [f.dataType for f in schema][: schema.names.index(col)]
+    if not isinstance(kind, (*_IN_FOOTERS, T.TimestampType, T.TimestampNTZType)) or any(isinstance(t, (T.StructType, T.ArrayType, T.MapType)) for t in before):
+        return None  # a nested column before it has several leaves: positions don't match
+    try:
+        with footer_aggregates(spark):
+            m = footer_max(spark, path, schema, col).first()[0]
+    except (PySparkException, Py4JError):  # a file without statistics or with other columns; what is really broken fails again in the scan
+        return None
+    if m is None:
+        return None
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(m))
+    if isinstance(kind, T.TimestampNTZType):
+        try:
+            return F.lit(datetime(1970, 1, 1) + timedelta(microseconds=m)).cast(kind)
+        except OverflowError:  # stored in another unit
+            return None
+    return F.lit(m).cast(kind)
+
+
+def max_key_at(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """One-row max probe (``max_<col>``) of the Parquet files at ``path``, from their footers.
+
+    The footers' value cuts a scan of this one column to the row groups that reach it, and the maximum is taken there: it is
+    exact whatever the footers say (another unit, another column order).  Where they say nothing, or nothing reaches their value,
+    the column is scanned.
+    """
+    df = spark.read.parquet(path)
+    bound = _bound(spark, path, df.schema, col)
+    if bound is not None:
+        found = df.filter(F.col(col) >= bound).agg(F.max(col).alias("m")).first()[0]
+        if found is not None:
+            return spark.createDataFrame([(found,)], T.StructType([T.StructField(f"max_{col}", df.schema[col].dataType)]))
+    return max_key(df, col)
