@@ -7,6 +7,7 @@ from panelcast.plans import q_analytics  # noqa: F401
 from panelcast.plans import q_serving  # noqa: F401
 from panelcast.plans import q_misc  # noqa: F401
 from panelcast.plans import q_text  # noqa: F401
+from panelcast.plans import q_lemma  # noqa: F401
 from panelcast.plans import q_ml  # noqa: F401
 from panelcast.plans import q_stream  # noqa: F401
 from panelcast.plans import q_models  # noqa: F401

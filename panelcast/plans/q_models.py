@@ -52,7 +52,7 @@ def split_panel(spark, sf):
 @query("feature_label_split", covers="M1 P13")
 def feature_label_split(spark, sf):
     x = split_panel(spark, sf)
-    feats = features_of(model_panel(spark, sf))
+    feats = features_of(x)
     a = Md.assemble(x, feats)
     return a.select("entity_id", "hour", "split", F.col("y").alias("label"),
                     Md.vector_to_array("features").alias("features"))
@@ -77,6 +77,30 @@ def logreg_fit_score(spark, sf):
                          (F.col("score") >= thr).alias("alarm"))
 
 
+def folded(train, n_splits=3):
+    """Training rows with their expanding fold, written."""
+    ntr = train.agg(F.count(F.lit(1)).alias("_ntr"))
+    x = Sp.expanding_folds(train.crossJoin(F.broadcast(ntr)), "_ntr", n_splits)
+    return x.withColumn("_first_test", F.col("_ntr") - F.col("fold_size") * n_splits)
+
+
+@query("logreg_fold_scores", covers="M6 W16 M10 M11")
+def logreg_fold_scores(spark, sf):
+    """M6: the pipeline over three expanding folds, medians and scales from each fold's past; mean and deviation beside every fold."""
+    tr, _, _ = _train_test(spark, sf)
+    feats = features_of(tr)
+
+    def fit(rows):
+        w = Md.with_balanced_weights(rows)
+        return Md.logreg_pipeline(feats, w.agg(F.sum("w")).first()[0]).fit(w)
+
+    rows = Md.fold_scores(materialize(folded(tr), "folds"), fit)
+    out = spark.createDataFrame([(r["fold"], r["n_train"], r["n_test"], r["roc_auc"], r["average_precision"]) for r in rows],
+                                "fold int, n_train bigint, n_test bigint, roc_auc double, average_precision double")
+    stats = [f(c).alias(f"{n}_{c}") for c in ("roc_auc", "average_precision") for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    return out.crossJoin(out.agg(*stats))  # three rows and one
+
+
 @query("logreg_coefficients", covers="M15")
 def logreg_coefficients(spark, sf):
     tr, _, _ = _train_test(spark, sf)
@@ -94,11 +118,8 @@ def logreg_coefficients(spark, sf):
 def gbt_fit_score(spark, sf):
     x = split_panel(spark, sf)
     tr = x.filter(F.col("split") == "train")
-    ntr = tr.agg(F.count(F.lit(1)).alias("_ntr"))
-    tr = Sp.expanding_folds(tr.crossJoin(F.broadcast(ntr)), "_ntr", 3)
-    tr = tr.withColumn("_first_test", F.col("_ntr") - F.col("fold_size") * 3)
-    feats = features_of(model_panel(spark, sf))
-    tr = Md.assemble(tr, feats).cache()
+    feats = features_of(x)
+    tr = materialize(Md.assemble(folded(tr), feats), "gbt-folds")
     params, cv_ap, oof = Md.search_gbt(tr, QUICK_GBT_GRID)
     thr = Md.best_threshold(oof)
     final = Md.gbt(params).fit(Md.with_balanced_weights(tr))
@@ -117,14 +138,18 @@ def gbt_fit_score(spark, sf):
 
 @query("rf_fit_score", covers="M5 M15")
 def rf_fit_score(spark, sf):
+    """M5: the product's three forests by mean ROC-AUC over expanding folds; the best is fitted on all training rows and tested."""
     tr, te, _ = _train_test(spark, sf)
     feats = features_of(tr)
-    model = Md.random_forest().fit(Md.with_balanced_weights(Md.assemble(tr, feats)))
-    scored = Md.proba(model.transform(Md.assemble(te, feats))).select("y", "score")
+    best, cv_auc, scores = Md.search_forest(materialize(Md.assemble(folded(tr), feats), "forest-folds"))
+    model = Md.random_forest(**best).fit(Md.with_balanced_weights(Md.assemble(tr, feats)))
+    scored = materialize(Md.proba(model.transform(Md.assemble(te, feats))).select("y", "score"), "forest-scores")
     m = Md.evaluate(scored, 0.5)
+    summary = Md.summary_record("forest", m, {"params": best, "folds": scores})
     imp = sorted(zip(feats, model.featureImportances.toArray().tolist()), key=lambda r: -r[1])
-    return spark.createDataFrame([(f, float(v), m["average_precision"], m["roc_auc"]) for f, v in imp],
-                                 "feature string, importance double, test_average_precision double, test_roc_auc double")
+    return spark.createDataFrame([(f, float(v), m["average_precision"], m["roc_auc"], cv_auc, best["numTrees"], best["maxDepth"], summary) for f, v in imp],
+                                 "feature string, importance double, test_average_precision double, test_roc_auc double, "
+                                 "cv_roc_auc double, num_trees int, max_depth int, summary string")
 
 
 @query("linreg_fit_score", covers="M7 M13")

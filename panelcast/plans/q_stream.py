@@ -359,3 +359,30 @@ def stream_report_carry(spark, sf):
 
     J.run_drops(spark, reports, "_chunk", REPORT_SCHEMA, lambda s: s, carry, ws)
     return J.read_sink(spark, table, DAY_OUT).select("day", "doc_id", "n_chars")
+
+
+ASOF_OUT = "entity_id int, hour timestamp_ntz, doc_id bigint, n_chars bigint, as_of_day date"
+
+
+@query("stream_report_join", covers="X11 J10 S14", sql=with_(PANEL, REPORTS, """
+r AS (SELECT *, floor(date_diff('day', DATE '2024-01-01', day) / 7) + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS landed FROM reports),
+p AS (SELECT entity_id, hour, CAST(hour AS DATE) AS d, floor(date_diff('day', DATE '2024-01-01', CAST(hour AS DATE)) / 7) AS week FROM panel),
+pick AS (SELECT q.d, max(r.day) AS day FROM (SELECT DISTINCT d, week FROM p) q JOIN r ON r.day <= q.d AND r.landed <= q.week GROUP BY q.d)""") + """
+SELECT p.entity_id, p.hour, r.doc_id, r.n_chars, CAST(r.day AS TIMESTAMP) AS as_of_day
+FROM p LEFT JOIN pick ON pick.d = p.d LEFT JOIN r ON r.day = pick.day""")
+def stream_report_join(spark, sf):
+    """X11 as a stream-static join: a stream of panel hours, joined to a versioned table of daily reports as it stood at the tick.
+    Every third report lands a week late, so the hours of its own week carry an older one."""
+    ws = J.new_workspace(spark, "report-join")
+    reports = VersionedTable(spark, f"{ws}/reports", "week")
+    landed = D.daily_reports(spark, sf).withColumn("week", week_of("day"))
+    landed = materialize(landed.withColumn("_landed", F.col("week") + (F.col("doc_id") % 3 == 0).cast("int")), "reports-landed")
+    panel = D.hourly_panel(spark, sf).select("entity_id", "hour").withColumn("_chunk", week_of("hour"))
+    schema = panel.drop("_chunk").schema
+    sink = J.join_as_of(spark, reports, "day", ["doc_id", "n_chars"], ws)
+    for i, week in enumerate(J.stage_drops(panel, "_chunk", f"{ws}/staged")):
+        reports.upsert(landed.filter(F.col("_landed") == week).drop("_landed"), ["day"], batch=week)
+        J.write_drop(f"{ws}/staged", "_chunk", week, f"{ws}/landing/tick_{i:05d}", spark)
+        J.tick(spark, f"{ws}/landing", schema, f"{ws}/checkpoint", lambda s: s, sink)
+    out = spark.read.schema(ASOF_OUT).parquet(f"{ws}/out").drop("batch_id")
+    return out.withColumn("as_of_day", F.col("as_of_day").cast("timestamp_ntz"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions import strings as Sx
 from panelcast.functions.calendar import floor_hour
-from panelcast.functions.stopwords import CUSTOM_REPORT, ENGLISH, TRASH_MESSAGE
+from panelcast.functions.stopwords import CUSTOM_REPORT, ENGLISH, TRASH_MESSAGE, UKRAINIAN
 from panelcast.operators import text as X
 from panelcast.plans import driver as D
 from panelcast.plans.registry import query
@@ -18,6 +18,7 @@ from panelcast.sources.tables import read_table
 # Report vocabulary parameters (fixed values of the product's report vectoriser)
 MAX_FEATURES, MIN_DF, MAX_DF = 5000, 5, 0.90
 CHAT_COMPONENTS = 250
+CHAT_STOP = UKRAINIAN + TRASH_MESSAGE
 SVD_COMPONENTS = 150
 REPORT_STOP = ENGLISH + CUSTOM_REPORT
 # Chat vocabulary parameters (fixed values of the product's message vectoriser)
@@ -130,7 +131,7 @@ def _grams_sql(n: int) -> str:
 TERMS_SQL = f"""tk AS (SELECT doc_id AS id, {vector_tokens_sql(WORDS_SQL)} AS toks FROM documents),
 terms AS (SELECT id, list_concat(toks, {_grams_sql(2)}) AS t FROM tk),
 {_vocabulary_sql(MIN_DF, MAX_DF, MAX_FEATURES)}"""
-CHAT_WORDS_SQL = f"list_filter(list_transform({MSG_CLEAN_SQL}, lambda w: {LEMMA_SQL}), lambda w: NOT list_contains({_sql_list(TRASH_MESSAGE)}, w))"
+CHAT_WORDS_SQL = f"list_filter(list_transform({MSG_CLEAN_SQL}, lambda w: {LEMMA_SQL}), lambda w: NOT list_contains({_sql_list(CHAT_STOP)}, w))"
 CHAT_TERMS_SQL = f"""tk AS (SELECT conv_id * 1000 + turn AS id, {vector_tokens_sql(CHAT_WORDS_SQL)} AS toks FROM conversations),
 terms AS (SELECT id, list_concat({_grams_sql(2)}, {_grams_sql(3)}) AS t FROM tk),
 {_vocabulary_sql(CHAT_MIN_DF, CHAT_MAX_DF, CHAT_FEATURES)}"""
@@ -149,7 +150,7 @@ def report_terms(spark, sf):
 def chat_terms(spark, sf):
     """(messages with their bi- and trigrams, vocabulary, message count): the chat path of the vectoriser."""
     msgs = read_table(spark, sf, "conversations", ["conv_id", "turn", "text"])
-    words = X.message_words(Sx.clean_message(F.col("text")), TRASH_MESSAGE)
+    words = X.message_words(Sx.clean_message(F.col("text")), CHAT_STOP)
     docs = msgs.select((F.col("conv_id") * 1000 + F.col("turn")).alias("msg_id"), X.vector_tokens(words).alias("tokens"))
     docs = X.add_ngrams(materialize(docs, "chat-tokens"), "tokens", CHAT_NGRAMS)
     n_docs = read_table(spark, sf, "conversations", ["conv_id"]).agg(F.count(F.lit(1)).alias("n_docs"))

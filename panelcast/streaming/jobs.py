@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.operators.asof import asof_join
 from panelcast.session import path_exists, scratch_path
+from panelcast.sources.versioned import VersionedTable
 
 
 def new_workspace(spark: SparkSession, name: str) -> str:
@@ -133,6 +135,38 @@ def admission_log(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/log").drop("batch_id")
 
 
+# ------------------------------------------------------------------------------------------ X11
+
+
+def pinned_version(spark: SparkSession, table: VersionedTable, pins: str, batch_id: int) -> int:
+    """The version of ``table`` that a batch reads: the latest when the batch is first tried, the same one at every later try.
+
+    The pin is complete before the batch writes anything, so no row comes from a version that a replay wouldn't read.
+    """
+    pin = f"{pins}/batch_id={batch_id}"
+    if not path_exists(spark, f"{pin}/_SUCCESS"):
+        spark.createDataFrame([(table.version(),)], "version int").coalesce(1).write.mode("overwrite").parquet(pin)
+    return spark.read.parquet(pin).first().version
+
+
+def join_as_of(spark: SparkSession, table: VersionedTable, day: str, payload: list[str], ws: str, hour: str = "hour",
+               bucket_days: int = 366) -> Callable[[DataFrame, int], None]:
+    """Sink that joins a stream of hours to a versioned daily table: each row gets the latest day on or before its own, as the
+    table stood when the batch was first tried.  The as-of lookup runs over the batch's days, a few, and meets the rows by an equi-join."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        version = pinned_version(spark, table, f"{ws}/pins", batch_id)
+        rows = batch.withColumn("_day", F.to_date(hour))
+        days = rows.select("_day").distinct()
+        if version:
+            known = table.read(version).select(F.col(day).alias("_day"), *payload)
+            days = asof_join(days, known, "_day", payload, bucket_rows=bucket_days, t_out=f"as_of_{day}")
+            rows = rows.join(days, "_day")
+        rows.drop("_day").write.mode("overwrite").parquet(f"{ws}/out/batch_id={batch_id}")
+
+    return sink
+
+
 # ------------------------------------------------------------------------------------------ X5
 
 

@@ -15,7 +15,9 @@ FITTED = {
     "logreg_fit_score": lambda p: p["proba"].between(0, 1).all() and p["alarm"].any(),
     "logreg_coefficients": lambda p: abs(p["share_pct"].sum()) <= 100.01,
     "gbt_fit_score": lambda p: set(p["split"]) == {"valid", "test"} and p["roc_auc"].between(0, 1).all(),
-    "rf_fit_score": lambda p: abs(p["importance"].sum() - 1) < 1e-6,
+    "logreg_fold_scores": lambda p: list(p.sort_values("fold")["n_train"].diff().dropna()) == list(p.sort_values("fold")["n_test"])[:2]
+    and p["roc_auc"].between(0, 1).all() and abs(p["roc_auc"].mean() - p["mean_roc_auc"][0]) < 1e-9,
+    "rf_fit_score": lambda p: abs(p["importance"].sum() - 1) < 1e-6 and p["summary"][0].count('"fold"') == 9 and p["cv_roc_auc"].between(0, 1).all(),
     "linreg_fit_score": lambda p: len(p) == 11 and p["is_best"].sum() == 1,
     "permutation_importance": lambda p: p["feature"].is_unique and (p["importance_std"] >= 0).all(),
     "retrain_summary": lambda p: len(p) == 1 and p["promotions"][0] == 1 + int(p["accepted"][0]),
