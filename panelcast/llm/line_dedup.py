@@ -13,8 +13,8 @@ segments whose surroundings another line shares:
    listed.  The edit distance of each line and the earlier line it met is then verified on their texts.
 
 Native DataFrame functions throughout.  The bitmap has a fixed size (see ``bitmap``); if it fills, more lines emit
-variants, and the result is the same.  The search for lines within one edit leaves out lines shorter than ``min_chars``
-characters; equal lines go from ``equal_chars`` characters on (``min_chars`` if not given), if they aren't blank.
+variants, and the result is the same.  Lines without a word (blank ones) stay; all others take part from one character on.
+A caller who wants to spare short lines sets ``min_chars`` (one-edit search) and ``equal_chars`` (equality).
 
 Edge cases: null text has one empty line, as an empty text; a null id comes before all others; rows that are equal in id
 and text count as one document and keep the same lines; rows of equal id and different texts are ordered by a hash;
@@ -31,7 +31,7 @@ from panelcast.llm.common import WORD, boxed, table
 from panelcast.llm.registry import query
 from panelcast.session import materialize
 
-MIN_CHARS = 10
+MIN_CHARS = 1
 #: A line of n characters has max(2, sqrt(n) / SEGMENT_ROOT) segments: hashing what lies around them stays near linear.
 SEGMENT_ROOT = 16
 FILTER_BITS = 1 << 26
@@ -58,16 +58,16 @@ def _segments(lines: DataFrame) -> DataFrame:
 def _occurrences(docs: DataFrame, min_chars: int, equal_chars: int) -> DataFrame:
     """Every line that can go: two hashes that identify its text, its place, and the text."""
     x = docs.select("_id", "_doc", F.posexplode(_lines(F.col("_text"))).alias("no", "line"))
-    size = F.char_length("line")
-    return x.filter((size >= min_chars) | (size >= equal_chars) & F.col("line").rlike(WORD)).select(
+    return x.filter((F.char_length("line") >= min(min_chars, equal_chars)) & F.col("line").rlike(WORD)).select(
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"),
         F.struct("_id", "_doc", "no").alias("place"), "line")
 
 
 def _near(occurrences: DataFrame, firsts: DataFrame, filter_bits: int) -> DataFrame:
     """Lines (h1, h2, place of the first occurrence) within one edit of an earlier line."""
-    contexts = _segments(occurrences.select(F.shiftright("h1", 33).cast("int").alias("who"), "line")).select("context", "who")
-    shared = contexts.groupBy("context").agg(F.min("who").alias("a"), F.max("who").alias("b")).filter("a != b")
+    contexts = _segments(occurrences.select("h1", "h2", "line")).select("context", "h1", "h2")
+    ends = [f(c).alias(f"{n}_{c}") for c in ("h1", "h2") for n, f in (("a", F.min), ("b", F.max))]
+    shared = contexts.groupBy("context").agg(*ends).filter("a_h1 != b_h1 OR a_h2 != b_h2")
     words = materialize(bitmap.pack(shared.select(bitmap.position(F.col("context"), filter_bits).alias("pos")), "pos"), "line-contexts")
 
     hit = bitmap.with_hit(_segments(occurrences), words, bitmap.position(F.col("context"), filter_bits), "_hit").filter("_hit")
@@ -129,5 +129,5 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
 @query("op6_line_dedup")
 def op6_line_dedup(spark, sf_dir):
-    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), equal_chars=1)
+    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))

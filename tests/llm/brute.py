@@ -95,14 +95,15 @@ def distance_at_most_one(a, b):
 
 
 def line_dedup(docs, least):
-    """docs: (id, text) -> {id: (n_lines, n_removed, kept text)}; a line goes if an earlier one is within one edit."""
+    """docs: (id, text) -> {id: (n_lines, n_removed, kept text)}; a line goes if an earlier one is within one edit; lines
+    without a word and lines under ``least`` characters stay."""
     out, seen = {}, []
     known = set()
     for i, t in sorted(docs, key=lambda d: d[0]):
         kept = []
         lines = (t or "").split("\n")
         for x in lines:
-            if len(x) >= least:
+            if len(x) >= least and words(x):
                 gone = x in known or any(distance_at_most_one(x, y) for y in seen)
                 if x not in known:
                     known.add(x)

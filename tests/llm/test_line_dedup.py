@@ -11,36 +11,39 @@ def edits(rng, line):
     return rng.choice([line[:p] + line[p + 1 :], line[:p] + rng.choice("xyzé世") + line[p:], line[:p] + rng.choice("xyz") + line[p + 1 :]])
 
 
-@pytest.mark.parametrize("bits", [64, 1 << 26])  # a full bitmap: every line emits its variants
-def test_against_brute_force(spark, rng, prose, odd_texts, bits):
+@pytest.mark.parametrize("bits,least", [(64, 1), (1 << 26, 1), (1 << 26, 10)])  # a full bitmap: every line emits its variants
+def test_against_brute_force(spark, rng, prose, odd_texts, bits, least):
     lines = [prose(rng.randint(2, 12)).replace("\n", " ") for _ in range(25)] + [prose(90).replace("\n", " "), "short", "0123456789", "a" * 40]
     texts = [x for x in odd_texts if x is None or len(x) < 5000]
     for _ in range(40):
         part = [rng.choice(lines) for _ in range(rng.randint(1, 5))]
         texts.append("\n".join(edits(rng, x) if rng.random() < 0.4 else edits(rng, edits(rng, x)) if rng.random() < 0.2 else x for x in part))
     rows = list(enumerate(texts))
-    got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_text) for r in line_dedup(documents(spark, rows), filter_bits=bits).collect()}
-    assert got == brute.line_dedup(rows, 10)
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_text) for r in line_dedup(documents(spark, rows), filter_bits=bits, min_chars=least).collect()}
+    assert got == brute.line_dedup(rows, least)
 
 
 def test_equal_short_lines(spark):
     rows = [(1, "Of.\n \n\nOf.\n一二"), (2, "Of!\nOf.\n\n \n一二"), (3, "a line of text"), (4, "a line of texts\nOf.")]
-    got = {r.doc_id: r.kept_text for r in line_dedup(documents(spark, rows), equal_chars=1).collect()}
+    got = {r.doc_id: r.kept_text for r in line_dedup(documents(spark, rows), min_chars=10, equal_chars=1).collect()}
     assert got == {1: "Of.\n \n\n一二", 2: "Of!\n\n ", 3: "a line of text", 4: ""}
 
 
-def test_query_removes_equal_short_lines(spark):
+def test_lines_of_one_to_nine_characters(spark, rng):
+    """Few letters, so that most lines have neighbours; code points beyond 16 bits and blank lines among them."""
+    alphabet = ["a", "b", ".", " ", "é", "世", "𐍈"]
+    rows = [(i, "\n".join("".join(rng.choices(alphabet, k=rng.choice([0, 1, 1, 2, 3, 4, 6, 9]))) for _ in range(rng.randint(1, 6)))) for i in range(150)]
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_text) for r in line_dedup(documents(spark, rows)).collect()}
+    want = brute.line_dedup(rows, 1)
+    assert got == want and 0 < sum(w[1] for w in want.values()) < sum(w[0] for w in want.values())
+
+
+def test_query_against_brute_force(spark):
     import __spark_entry__ as E
 
-    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect())
-    known, want = set(), {}
-    for i, t in docs:
-        short = [x for x in t.split("\n") if len(x) < 10 and brute.words(x)]
-        want[i] = sum(x in known or x in short[:n] for n, x in enumerate(short))
-        known.update(short)
-    long = {i: gone for i, (_, gone, _) in brute.line_dedup(docs, 10).items()}
-    assert sum(want.values()) > 0
-    assert {r.doc_id: r.n_removed for r in E.queries()["op6_line_dedup"](spark, SF_SMALL).collect()} == {i: want[i] + long[i] for i in want}
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    want = {i: (n, gone, brute.sha(kept)) for i, (n, gone, kept) in brute.line_dedup(docs, 1).items()}
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in E.queries()["op6_line_dedup"](spark, SF_SMALL).collect()} == want
 
 
 def test_long_lines(spark, odd_texts, prose):

@@ -70,7 +70,7 @@ def test_pipeline_against_plain_stages(spark):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, p in scored.items() if not p)
 
     lined = stages["line dedup"](spark, clean, SF_SMALL)
-    want = {i: t for i, (n, gone, t) in brute.line_dedup([(r.doc_id, r.text) for r in clean.collect()], 10).items() if gone == 0 or brute.words(t)}
+    want = {i: t for i, (n, gone, t) in brute.line_dedup([(r.doc_id, r.text) for r in clean.collect()], 1).items() if gone == 0 or brute.words(t)}
     assert {r.doc_id: r.text for r in lined.collect()} == want
     assert all(r.n_chars == len(r.text) for r in lined.collect())
 
