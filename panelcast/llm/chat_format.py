@@ -118,9 +118,14 @@ g AS (SELECT conv_id, count(*) AS n_turns,
              string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
              coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
              sum(16 + length(replace(replace(replace(role || text, '\', '\s'), '<', '\l'), '>', '\g'))) AS formatted_chars
-      FROM c GROUP BY conv_id)
-SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
-       formatted_chars::BIGINT AS formatted_chars FROM g
+      FROM c GROUP BY conv_id),
+t AS (SELECT conv_id, role, row_number() OVER w AS at, lag(role) OVER w AS last FROM c
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+e AS (SELECT conv_id, min(at) FILTER (WHERE NOT CASE WHEN last IS NULL THEN role IN ('system', 'user') WHEN last IN ('system', 'assistant') THEN role = 'user'
+                                                     WHEN last = 'user' THEN role = 'assistant' ELSE false END) AS error_turn FROM t GROUP BY conv_id)
+SELECT g.conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars::BIGINT AS formatted_chars, error_turn IS NULL AS valid, error_turn::INTEGER AS error_turn
+FROM g JOIN e ON g.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
 
@@ -135,4 +140,4 @@ def op7_chat_format(spark, sf_dir):
     turns = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select("conv_id", F.size("back").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
                        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss"), 256).alias("loss_sha256"),
-                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+                       F.char_length("formatted").cast("long").alias("formatted_chars"), "valid", "error_turn")
