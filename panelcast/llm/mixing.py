@@ -17,7 +17,7 @@ from digests of the seed, source and id: reruns agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import WORD, boxed, table
@@ -32,26 +32,26 @@ RESULT = ("size", "source_size", "target", "copies")
 
 
 def target_shares(sources: DataFrame, total_share: float, max_repeats: float) -> DataFrame:
-    """``sources`` (key, weight, source_size) plus ``target``: one row per source, ordered windows over that small table."""
-    by_cap = Window.orderBy(F.col("source_size") / F.col("weight"), "key")
-    whole = Window.partitionBy()
-    capped = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_cap.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = ((total_share * F.sum("source_size").over(whole) - max_repeats * F.coalesce(F.sum("source_size").over(capped), F.lit(0)))
-             / F.sum("weight").over(rest))
-    x = sources.withColumn("_level", level).withColumn("_cap", (max_repeats * F.col("source_size")).cast("double"))
+    """``sources`` (key, weight, source_size) plus ``target``.  Prefix sums over range partitions: any number of sources."""
+    ordered = sources.withColumn("_order", F.col("source_size") / F.col("weight"))
+    x = prefix_sum(ordered, ["_order", "key"], {"_capped": F.col("source_size"), "_before": F.col("weight")}, inclusive=False)
+    whole = sources.agg(F.sum("source_size").alias("_size"), F.sum("weight").alias("_weight"))
     # the level if all sources before this one are at their caps; the first that stays below its cap sets it for all
-    below = F.when(F.col("_level") * F.col("weight") <= F.col("_cap"), F.col("_level"))
-    x = x.withColumn("_final", F.first(below, ignorenulls=True).over(by_cap.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    return x.withColumn("target", F.least("_cap", F.coalesce(F.col("_final") * F.col("weight"), F.col("_cap")))).drop("_level", "_cap", "_final")
+    level = (total_share * F.col("_size") - max_repeats * F.col("_capped")) / (F.col("_weight") - F.col("_before"))
+    x = x.crossJoin(F.broadcast(whole)).withColumn("_level", level).withColumn("_cap", (max_repeats * F.col("source_size")).cast("double"))  # one row
+    x = materialize(x, "mix-levels")
+    first = x.filter(F.col("_level") * F.col("weight") <= F.col("_cap")).agg(F.min(F.struct("_order", "key", "_level"))["_level"].alias("_final"))
+    x = x.crossJoin(F.broadcast(first))  # one row
+    target = F.least("_cap", F.coalesce(F.col("_final") * F.col("weight"), F.col("_cap")))
+    return x.select(*sources.columns, target.alias("target"))
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, total_share: float = SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """Targets of the sources of ``sized`` (_key, size); weights repeat over the sources in code-point order, null last."""
     sources = sized.groupBy(F.col("_key").alias("key")).agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy("key")) - 1
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (rank % len(weights) + 1).cast("int"))
-    return target_shares(sources.withColumn("weight", weight), total_share, max_repeats)
+    ranked = prefix_sum(sources, ["key"], out="_rank", inclusive=False)
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
+    return target_shares(ranked.withColumn("weight", weight).drop("_rank"), total_share, max_repeats)
 
 
 def _unit(*parts: Column) -> Column:

@@ -53,6 +53,17 @@ def test_mix_repeats_rows_and_reruns_agree(spark, rows):
     assert a.count() == mix_counts(df).agg(F.sum("copies")).first()[0]
 
 
+def test_many_sources(spark, rng):
+    """Sources are ranked and levelled by prefix sums over partitions, not in one window."""
+    from panelcast.llm.mixing import source_targets
+
+    sizes = [rng.choice([0, 1, 2, 3, 50, 4000]) for _ in range(100_000)]
+    sized = spark.createDataFrame([(f"0{i:06d}", s) for i, s in enumerate(sizes)], "_key string, size long")
+    got = source_targets(sized)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [r.target for r in got.orderBy("key").select("target").collect()] == pytest.approx(shares(sizes))
+
+
 def test_empty_tables(spark):
     assert mix_counts(documents(spark, [])).count() == 0
     only = mix_counts(documents(spark, [(1, None, None), (2, "", "a")])).collect()
