@@ -66,7 +66,8 @@ class _Chunk:
     """Ids, word offsets and word hashes of the documents of one chunk, in id order."""
 
     def __init__(self, rows: pa.Table):
-        self.ids = rows.column("doc_id").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False).astype(np.int64)
+        # null ids have a chunk of their own (``_LAST``, which no id reaches): there all are equal
+        self.ids = rows.column("doc_id").combine_chunks().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         self.data, self.offsets = raw(rows.column("text"))
         hashes, words = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
         for i, j in slices(self.offsets):
@@ -167,7 +168,8 @@ def _find(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _sizes(docs: DataFrame, chunk_ids: int) -> tuple[DataFrame, DataFrame]:
     """``docs`` with their chunk, and the chunks' bytes."""
-    ranged = docs.withColumn("chunk", F.coalesce(F.floor(F.col("doc_id") / chunk_ids), F.lit(_LAST)))
+    below = F.when((F.col("doc_id") < 0) & (F.col("doc_id") % chunk_ids != 0), 1).otherwise(0)  # whole numbers: ids may have 64 bits
+    ranged = docs.withColumn("chunk", F.coalesce(F.expr(f"doc_id div {chunk_ids}L") - below, F.lit(_LAST)))
     return ranged, materialize(ranged.groupBy("chunk").agg(F.sum(F.octet_length("text")).alias("bytes")), "substring-chunks")
 
 
@@ -198,6 +200,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION_BYTES))
     chunked = _split(ranged, sizes, chunk_bytes).repartition(parts, "chunk", "part")
 
+    first_id = lambda chunk: max(chunk * chunk_ids, -_LAST - 1)
+
     def probe(key, rows):
         c = _Chunk(rows)
         at, h = c.windows(block)
@@ -228,7 +232,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         low = None
         if part >= 0:  # all null ids are equal
             low = np.full(len(values), 0 if chunk == _LAST else chunk_ids, np.int64)
-            np.minimum.at(low, np.searchsorted(values, h[near]), 0 if chunk == _LAST else own - chunk * chunk_ids)
+            np.minimum.at(low, np.searchsorted(values, h[near]), 0 if chunk == _LAST else own - first_id(chunk))
         return _messages((chunk, part), values, np.zeros(len(values), bool), multi, buckets, 64, low)
 
     def decide(key, rows):
@@ -252,7 +256,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         np.minimum.at(lowest, found, own)
         chunk, part = [k.as_py() for k in key]
         if part >= 0 and chunk != _LAST:
-            lowest = np.minimum(lowest, np.where(low >= 0, chunk * chunk_ids + low.astype(np.int64), _LAST))
+            lowest = np.minimum(lowest, np.where(low >= 0, first_id(chunk) + low.astype(np.int64), _LAST))
         gone = at[earlier[found] | (lowest[found] < own)]
         edge = np.zeros(len(c.hashes) + 1, np.int64)
         np.add.at(edge, gone, 1)
@@ -266,7 +270,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             spans.append([{"first": int(a), "last": int(b) - 1} for a, b in cut.reshape(-1, 2)])
             removed.append(int(len(mask) - mask.sum()))
             texts.append(b" ".join(compress(words, mask) if removed[-1] else words).decode("utf-8"))
-        ids = pa.array([None if x == _LAST else int(x) for x in c.ids], pa.int64())
+        ids = pa.nulls(len(c.ids), pa.int64()) if chunk == _LAST else pa.array(c.ids, pa.int64())
         span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         return pa.table([ids, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()), pa.array(spans, span)],
                         names=["doc_id", "n_words", "n_removed", "kept_text", "removed"])

@@ -30,6 +30,17 @@ def test_spans_are_maximal_runs(spark, prose):
     assert two.kept_text == "x y"
 
 
+@pytest.mark.parametrize("chunk_ids,chunk_bytes", [(512, 8 << 20), (7, 200)])
+def test_ids_of_64_bits(spark, rng, prose, chunk_ids, chunk_bytes):
+    """The smallest and largest ids, their neighbours, random ones, and ids whose halves aren't told apart by a double."""
+    top = 2**63 - 1
+    ids = [top, top - 1, top - 2, -top - 1, -top, -1, 0, 1, 2**53 + 1, 2**53, *[rng.randrange(-top, top) for _ in range(20)]]
+    passages = [prose(20) for _ in range(4)]
+    rows = [(i, f"{prose(rng.randint(0, 9))} {rng.choice(passages)} {prose(rng.randint(0, 9))}") for i in ids]
+    got = digests(substring_dedup(documents(spark, rows), chunk_ids=chunk_ids, chunk_bytes=chunk_bytes))
+    assert got == brute.substring_dedup(sorted(rows)) and len(got) == len(ids)
+
+
 def test_equal_ids_and_null_ids(spark, prose):
     t = prose(30)
     got = substring_dedup(documents(spark, [(5, t), (5, t), (None, t), (None, prose(30))])).collect()
