@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import append_columns, table, texts_of
+from panelcast.llm.common import append_columns, boxed, table, texts_of
 from panelcast.llm.registry import query
 from panelcast.session import materialize
 
@@ -70,7 +70,7 @@ def _distinct_terms(batches):
 
 class Numbers:
     """Sorted words and their numbers.  The driver and the broadcasts hold an Arrow array; a worker makes the look-up table
-    once, and keeps only the last one (the index and the numbering share it)."""
+    once, keeps only the last one, and forgets it where it scores: scoring takes numbers."""
 
     _last: tuple[str, dict] = ("", {})
 
@@ -91,6 +91,14 @@ class Numbers:
             Numbers._last = (self.key, {w: i for i, w in enumerate(self.words.to_pylist())})
         return Numbers._last[1]
 
+    @staticmethod
+    def forget() -> None:
+        Numbers._last = ("", {})
+
+
+def table_of(known: dict | Numbers) -> dict:
+    return known.known if isinstance(known, Numbers) else known
+
 
 def counted(text: str, known: dict) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of a text's known words, ascending, and how often each occurs."""
@@ -128,7 +136,7 @@ def relevance(d: np.ndarray, t: np.ndarray, n: int, ones: int) -> np.ndarray:
 def numbered_docs(df: DataFrame, sent, text_col: str = "text") -> DataFrame:
     """``df`` without its text, but with the text's word numbers (broadcast ``sent``) and counts; written, as counts and scores read it."""
     def run(batch):
-        known = sent.value.known
+        known = table_of(sent.value)
         found = [counted(t, known) for t in texts_of(batch.column(text_col))]
         return [[t.astype(np.int32) for t, _ in found], [c.astype(np.int32) for _, c in found]]
 
@@ -203,7 +211,7 @@ class Index:
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Terms and normalised weights of a text."""
-        return self.weigh(*counted(text, self.known.known if isinstance(self.known, Numbers) else self.known))
+        return self.weigh(*counted(text, table_of(self.known)))
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         weights = (1 + np.log(counts)) * self.idf[terms] if len(terms) else np.zeros(0)
@@ -355,6 +363,7 @@ def _left_out_votes(numbered: DataFrame, halves: list) -> list[tuple[float, int]
     """(vote, label) of every example from its nearest in the other half (``halves[h]`` is without half h), on the executors."""
 
     def votes(batches):
+        Numbers.forget()
         for b in batches:
             keys, out = [half_of(k) for k in b.column("key").to_pylist()], np.full(b.num_rows, np.nan)
             for h in (0, 1):
@@ -374,29 +383,21 @@ def _left_out_votes(numbered: DataFrame, halves: list) -> list[tuple[float, int]
 
 
 def score_texts(df: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
-    """``df`` plus ``score`` (0 to 1) and ``evidence`` (the nearest examples' similarities and labels)."""
-    sent = df.sparkSession.sparkContext.broadcast(index)
+    """``df`` plus ``score`` (0 to 1) and ``evidence`` (the nearest examples' similarities and labels).
 
-    def run(batch):
-        idx, first, vectors, at = sent.value, {}, [], []
-        for text in texts_of(batch.column(text_col)):
-            terms, weights = idx.vector(text)
-            key = (terms.tobytes(), weights.tobytes())
-            if key not in first:
-                first[key] = len(vectors)
-                vectors.append((terms, weights))
-            at.append(first[key])
-        made = idx.scores(vectors)
-        return list(zip(*[made[i] for i in at])) if at else [[], []]
-
-    return append_columns(df, SCORED, run)
+    Texts become word numbers first, which are written: a worker holds the words or the index, not both."""
+    sent = df.sparkSession.sparkContext.broadcast(index.known)
+    rows = numbered_docs(df.select(boxed(df, "score", "evidence"), F.col(f"`{text_col}`").alias("_text")), sent, "_text")
+    sent.destroy()
+    return score_numbered(rows, index).select("row.*", "score", "evidence")
 
 
 def score_numbered(rows: DataFrame, index: Index) -> DataFrame:
     """``rows`` of :func:`fit_numbered` with ``score`` and ``evidence`` in place of the numbers: their texts aren't read again."""
-    sent = rows.sparkSession.sparkContext.broadcast(index)
+    sent = rows.sparkSession.sparkContext.broadcast(replace(index, known={}))
 
     def run(batch):
+        Numbers.forget()
         idx, vectors = sent.value, []
         terms, counts = batch.column("terms"), batch.column("counts")
         edges = terms.offsets.to_numpy().astype(np.int64)
