@@ -123,15 +123,18 @@ def corr_matrix_vector(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def kde_by_class(df: DataFrame, value: str, cls: str, points: list[float]) -> DataFrame:
-    """Gaussian KDE with Scott's bandwidth per class, evaluated on fixed points in one pass."""
+    """Gaussian KDE with Scott's bandwidth per class, evaluated on fixed points in one pass.
+
+    A class of equal values has bandwidth 0 and density NaN, a class of one value has neither (NULL).
+    """
     stats = df.groupBy(cls).agg(F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd"))
     x = df.join(stats, cls)  # one row per class; the planner broadcasts it if it is small
-    h = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
+    # NaN, as 0 / 0 is: a division by 0 raises
+    h = F.when(F.col("_sd") == 0, F.lit(float("nan"))).otherwise(F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
     k = [F.sum(F.exp(F.lit(-0.5) * F.pow((F.col(value) - F.lit(p)) / h, 2))).alias(f"p{i}")
          for i, p in enumerate(points)]
     agg = x.groupBy(cls, "_n", "_sd").agg(*k)
     long = agg.unpivot([cls, "_n", "_sd"], [f"p{i}" for i in range(len(points))], "pi", "ksum")
     pts = F.element_at(F.array(*[F.lit(float(p)) for p in points]), F.expr("int(substr(pi, 2)) + 1"))
-    hh = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
-    dens = F.col("ksum") / (F.col("_n") * hh * F.lit(math.sqrt(2 * math.pi)))
+    dens = F.col("ksum") / (F.col("_n") * h * F.lit(math.sqrt(2 * math.pi)))
     return long.select(cls, pts.alias("point"), dens.alias("density"))
