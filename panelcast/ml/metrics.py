@@ -41,7 +41,7 @@ def average_precision(df: DataFrame, label: str = "y", score: str = "score") ->
     tot = sc.agg(F.sum("pos").alias("P"))
     x = r.crossJoin(F.broadcast(tot))
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    ap = F.sum(F.col("pos") / F.col("P") * prec)       # R_i - R_{i-1} = pos_i / P
+    ap = F.sum(F.try_divide("pos", "P") * prec)        # R_i - R_{i-1} = pos_i / P; without positives 0
     return x.agg(F.coalesce(ap, F.lit(0.0)).alias("average_precision"))
 
 
@@ -97,11 +97,13 @@ def classification_report(df: DataFrame, label: str = "y", pred: str = "pred") -
 
 
 def regression_metrics(df: DataFrame, label: str = "y", pred: str = "pred") -> DataFrame:
-    """MAE, RMSE, R^2 of a prediction against the label."""
+    """MAE, RMSE, R^2 of a prediction against the label ; of equal labels, R^2 is NaN if all are hit,
+    else -inf (== the SQL, and sklearn's ``r2_score`` with ``force_finite=False``)."""
     err = F.col(pred).cast("double") - F.col(label).cast("double")
     m = df.agg(F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"), F.sum(err * err).alias("_sse"),
                F.var_pop(F.col(label).cast("double")).alias("_var"), F.count(F.lit(1)).alias("_n"))
-    r2 = F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("_n"))
+    equal = F.when(F.col("_sse") == 0, F.lit(float("nan"))).otherwise(F.lit(float("-inf")))
+    r2 = F.when(F.col("_var") == 0, equal).otherwise(F.lit(1.0) - F.col("_sse") / (F.col("_var") * F.col("_n")))
     return m.select("mae", "rmse", r2.alias("r2"))
 
 

@@ -2,6 +2,7 @@
 
 import math
 
+from panelcast.ml import metrics as Mx
 from panelcast.operators import aggregates as G
 
 
@@ -14,3 +15,11 @@ def test_kde_of_equal_values(spark):
     h = math.sqrt(0.5) * 2 ** -0.2
     want = sum(math.exp(-0.5 * (v / h) ** 2) for v in (1, 2)) / (2 * h * math.sqrt(2 * math.pi))
     assert abs(got[0, 0.0] - want) < 1e-12
+
+
+def test_regression_metrics_of_equal_labels(spark):
+    made = lambda rows: Mx.regression_metrics(spark.createDataFrame(rows, "y int, pred double")).first()
+    assert math.isnan(made([(1, 1.0), (1, 1.0)]).r2)
+    missed = made([(1, 1.0), (1, 0.0)])
+    assert missed.r2 == float("-inf") and missed.mae == 0.5
+    assert abs(made([(1, 1.0), (0, 1.0)]).r2 + 1.0) < 1e-12
