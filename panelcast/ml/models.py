@@ -117,13 +117,20 @@ def fold_scores(train: DataFrame, fit, n_splits: int = 3) -> list[dict]:
 
 
 def search_forest(train: DataFrame, grid: list[dict] = PRODUCT_FOREST_GRID, n_splits: int = 3) -> tuple[dict, float, list[dict]]:
-    """M5: (best point, its mean ROC-AUC over the expanding folds, all scores); the first of equal points stays."""
+    """M5: (best point, its mean ROC-AUC over the expanding folds, all scores); the first of equal points stays.
+
+    A test block of one class has no ROC-AUC and counts in no mean; if no block has one, the mean is None.
+    """
     scores = []
     for params in grid:
-        folds = fold_scores(train, lambda tr: random_forest(**params).fit(with_balanced_weights(tr)), n_splits)  # noqa: B023
+        folds = fold_scores(train, lambda tr: fit_forest(tr, **params), n_splits)  # noqa: B023
         scores += [{**params, **f} for f in folds]
-    mean = lambda p: sum(s["roc_auc"] for s in scores if all(s[k] == v for k, v in p.items())) / n_splits
-    best = max(grid, key=mean)
+
+    def mean(p):
+        known = [s["roc_auc"] for s in scores if all(s[k] == v for k, v in p.items()) and s["roc_auc"] is not None]
+        return sum(known) / len(known) if known else None
+
+    best = max(grid, key=lambda p: -1.0 if mean(p) is None else mean(p))
     return best, mean(best), scores
 
 
@@ -174,7 +181,7 @@ def permutation_importance(model, df: DataFrame, features: list[str], repeats: i
     r2 = prefix_sum(sc, ["_neg_score"], {"tp": F.col("pos"), "fp": F.col("neg")}, keys=["_feature", "_repeat"])
     P = sc.groupBy("_feature", "_repeat").agg(F.sum("pos").alias("P"))
     ap = (r2.join(P, ["_feature", "_repeat"]).groupBy("_feature", "_repeat")
-          .agg(F.sum(F.col("pos") / F.col("P") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("ap")))
+          .agg(F.coalesce(F.sum(F.try_divide("pos", "P") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.lit(0.0)).alias("ap")))
     drop = ap.withColumn("drop", F.lit(base) - F.col("ap"))
     return drop.groupBy(F.col("_feature").alias("feature")).agg(F.avg("drop").alias("importance_mean"),
                                                                 F.stddev_pop("drop").alias("importance_std"))
@@ -194,3 +201,9 @@ def random_forest(label: str = "y", weight: str = "w", numTrees: int = 50, maxDe
     """M5: class-weighted random forest."""
     return RandomForestClassifier(featuresCol="features", labelCol=label, weightCol=weight, numTrees=numTrees,
                                   maxDepth=maxDepth, minInstancesPerNode=5, seed=42)
+
+
+def fit_forest(rows: DataFrame, label: str = "y", **params):
+    """The forest fitted on class-weighted ``rows``; the label is marked as binary, so rows of class 0 alone give two probabilities too."""
+    marked = rows.withMetadata(label, {"ml_attr": {"type": "binary", "name": label}})
+    return random_forest(label, **params).fit(with_balanced_weights(marked, label))

@@ -142,7 +142,7 @@ def rf_fit_score(spark, sf):
     tr, te, _ = _train_test(spark, sf)
     feats = features_of(tr)
     best, cv_auc, scores = Md.search_forest(materialize(Md.assemble(folded(tr), feats), "forest-folds"))
-    model = Md.random_forest(**best).fit(Md.with_balanced_weights(Md.assemble(tr, feats)))
+    model = Md.fit_forest(Md.assemble(tr, feats), **best)
     scored = materialize(Md.proba(model.transform(Md.assemble(te, feats))).select("y", "score"), "forest-scores")
     m = Md.evaluate(scored, 0.5)
     summary = Md.summary_record("forest", m, {"params": best, "folds": scores})
