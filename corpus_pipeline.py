@@ -6,7 +6,8 @@
 4. mixing: documents are repeated or left out until the sources have their target weights.
 5. byte-level BPE: ids of every text, and a check that they decode to it.
 
-All but the last stage return the columns of ``documents``; ``n_chars`` follows the text.
+All but the last stage return the columns of ``documents``; ``n_chars`` follows the text.  Every stage first releases the shuffle
+files of those before it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm import byte_bpe, line_dedup, mixing, ngram_join, toxicity
 from panelcast.llm.common import WORD
-from panelcast.session import scratch_path
+from panelcast.session import release_shuffles, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,6 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_shuffles(spark)
     done = line_dedup.line_dedup(docs.select(*COLUMNS))
     left = done.filter((F.col("n_removed") == 0) | F.col("kept_text").rlike(WORD))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
@@ -37,16 +39,19 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_shuffles(spark)
     return ngram_join.near_dedup(docs.select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_shuffles(spark)
     return mixing.mix_sources(docs.select(*COLUMNS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
+    release_shuffles(spark)
     done = byte_bpe.round_trip_digests(docs.select(*COLUMNS), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     same = F.col("decoded_sha256") == F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
     return done.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids_sha256", "decoded_sha256", same.alias("round_trip"))
