@@ -6,10 +6,10 @@ is multiplied by its relevance, the logarithm of its odds of label 1 relative to
 standard deviations, at least 0) plus ``REST``: words that speak for label 1 weigh most, the others still tell
 near copies, and a word seen once hardly gains.  The examples' normalised vectors go into an inverted index.
 
-A query adds up the short posting lists.  Examples (in order of their norms, so that block maxima are tight) whose sum
-can't reach the k-th best with the largest weights of the long lists in their block are out.  Few others get the rest one
-by one, many by a product of dense rows: the k nearest are exact (to 1e-6), ties go to the example that comes first in
-the index.  Votes are weighted by 1 / (distance + 0.1).  They are calibrated to probabilities by
+A query adds up the short posting lists.  The long lists lie in groups; by Cauchy-Schwarz a group adds at most the norm of
+the query's weights in it times that of the example's.  Examples that can't reach with all groups the k-th best of those
+whose bounds lead are out.  Few others get the rest one by one, many by a product of dense rows: the k nearest are exact (to
+1e-6), ties go to the example that comes first in the index, in order of their norms.  Votes are weighted by 1 / (distance + 0.1).  They are calibrated to probabilities by
 monotone regression over 20 bins, on votes that each half of the examples gets from the other half, relevance included:
 an example's own label has no part in its vote.  ``evidence`` holds the neighbours' similarities and labels.
 
@@ -23,8 +23,10 @@ replaced.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
+from collections import Counter
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -32,6 +34,8 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from panelcast.llm.common import append_columns, boxed, table, texts_of
 from panelcast.llm.registry import query
@@ -41,19 +45,33 @@ MAX_EXAMPLES = 20_000
 #: Relevance of words that don't speak for label 1.
 REST = 0.3
 NEIGHBOURS = 15
-#: Posting lists longer than this share of the examples are also kept as dense rows, with maxima over blocks of examples.
-LONG = 1 / 8
-BLOCK = 128
+#: Posting lists longer than this share of the examples are also kept as dense rows, in so many groups with norms by example.
+LONG = 1 / 16
+GROUPS = 64
+#: Posting lists up to this length are short enough to be looked up together.
+FEW = 32
+#: At least so many examples of the largest bounds set the least score of the others.
+LEAD = 64
 #: So many texts' dense parts are multiplied together.
 TOGETHER = 32
 BINS = 20
 LEAST_SCORE = 0.7
 _WORD = re.compile(r"[^\W_]+")
+#: So many texts become numbers, or are scored, at a time.
+PIECE = 256
 SCORED = "score double, evidence array<struct<similarity:double,label:int>>"
 
 
+#: Latin-1 characters that belong to no word, as spaces.
+_SPACED = bytes(c if _WORD.fullmatch(chr(c)) else 0x20 for c in range(256))
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    low = text.lower()
+    try:  # the same words, in less time
+        return low.encode("latin-1").translate(_SPACED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(low)
 
 
 def _distinct_terms(batches):
@@ -107,6 +125,29 @@ def counted(text: str, known: dict) -> tuple[np.ndarray, np.ndarray]:
     return ids[unknown:], counts[unknown:]
 
 
+def counted_all(texts: list[str], known: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`counted` of many texts, one after another: how many numbers each has, the numbers, the counts."""
+    sizes, ids, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    wide, get = max(len(known), 1), known.get
+    for i in range(0, len(texts), PIECE):
+        found = [Counter(words_of(t)) for t in texts[i : i + PIECE]]
+        row = np.repeat(np.arange(len(found)), [len(c) for c in found])
+        word = np.array([get(w, -1) for c in found for w in c], np.int64)
+        n = np.array([x for c in found for x in c.values()], np.int32)
+        key = row * wide + word
+        order = np.argsort(key)
+        order = order[word[order] >= 0]
+        sizes.append(np.bincount(row[order], minlength=len(found)))
+        ids.append(word[order].astype(np.int32))
+        counts.append(n[order])
+    return np.concatenate(sizes), np.concatenate(ids), np.concatenate(counts)
+
+
+def lists(sizes, values: pa.Array, kind: pa.DataType) -> pa.Array:
+    """Lists of ``sizes`` values, one after another."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values, type=kind)
+
+
 def idf_of(n_docs: int, freq: np.ndarray) -> np.ndarray:
     return np.log((n_docs + 1) / (freq + 1)) + 1e-6
 
@@ -135,12 +176,14 @@ def relevance(d: np.ndarray, t: np.ndarray, n: int, ones: int) -> np.ndarray:
 
 def numbered_docs(df: DataFrame, sent, text_col: str = "text") -> DataFrame:
     """``df`` without its text, but with the text's word numbers (broadcast ``sent``) and counts; written, as counts and scores read it."""
+    numbers = T._parse_datatype_string("terms array<int>, counts array<int>")
+    kinds = [f.type for f in to_arrow_schema(numbers)]
+
     def run(batch):
-        known = table_of(sent.value)
-        found = [counted(t, known) for t in texts_of(batch.column(text_col))]
-        return [[t.astype(np.int32) for t, _ in found], [c.astype(np.int32) for _, c in found]]
+        sizes, ids, counts = counted_all(texts_of(batch.column(text_col)), table_of(sent.value))
+        return [lists(sizes, pa.array(x), kind) for x, kind in zip((ids, counts), kinds)]
 
-    with_numbers = append_columns(df, "terms array<int>, counts array<int>", run)
+    with_numbers = append_columns(df, numbers, run)
     return materialize(with_numbers.select(*[F.col(f"`{c}`") for c in with_numbers.columns if c != text_col]), "toxicity-numbers")
 
 
@@ -217,25 +260,41 @@ class Index:
         weights = (1 + np.log(counts)) * self.idf[terms] if len(terms) else np.zeros(0)
         return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
 
-    def _long(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row of each term with a long posting list (or -1), these lists as dense rows, their block maxima; once per process."""
+    def _long(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Column of each term with a long posting list (or -1), examples x these terms, longest list first, the group of each
+        column, the norms of the examples' weights by group; once per process."""
         if self._dense is None:
-            n = len(self.labels)
-            terms = np.flatnonzero(np.diff(self.starts) > max(LONG * n, 16))
-            rows, at = np.zeros((len(terms), n), np.float32), np.full(len(self.idf), -1)
+            n, sizes = len(self.labels), np.diff(self.starts)
+            terms = np.flatnonzero(sizes > max(LONG * n, 16))
+            terms = terms[np.argsort(-sizes[terms], kind="stable")]
+            rows, at = np.zeros((n, len(terms)), np.float32), np.full(len(self.idf), -1)
             for i, t in enumerate(terms):
                 a, z = self.starts[t], self.starts[t + 1]
-                rows[i, self.example[a:z]] = self.weight[a:z]
+                rows[self.example[a:z], i] = self.weight[a:z]
             at[terms] = np.arange(len(terms))
-            self._dense = at, rows, np.maximum.reduceat(rows, np.arange(0, n, BLOCK), axis=1) if n else rows
+            n_groups = min(GROUPS, len(terms))
+            group = np.arange(len(terms)) * n_groups // max(len(terms), 1)
+            norms = np.zeros((n_groups, n), np.float32)
+            for g in range(n_groups):
+                norms[g] = np.sqrt((rows[:, group == g] ** 2).sum(axis=1))
+            self._dense = at, rows, group, norms
         return self._dense
 
     def _short_sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        first = self.starts[terms]
-        sizes = self.starts[terms + 1] - first
-        ends = np.cumsum(sizes)
-        pos = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + sizes, sizes)
-        return np.bincount(self.example[pos], self.weight[pos] * np.repeat(weights, sizes), len(self.labels))
+        first, last = self.starts[terms], self.starts[terms + 1]
+        sizes = last - first
+        many, few = np.flatnonzero(sizes > FEW), np.flatnonzero(sizes <= FEW)  # few postings are looked up, many are sliced
+        sums = np.zeros(len(self.labels))
+        if len(few):
+            size = sizes[few]
+            at = np.arange(size.sum()) + np.repeat(first[few] - np.cumsum(size) + size, size)
+            sums += np.bincount(self.example[at], self.weight[at] * np.repeat(weights[few], size), len(sums))
+        if len(many):
+            weight, example, ends = self.weight, self.example, list(zip(first[many].tolist(), last[many].tolist()))
+            pulls = np.repeat(weights[many], sizes[many])
+            pulls *= np.concatenate([weight[a:z] for a, z in ends])
+            sums += np.bincount(np.concatenate([example[a:z] for a, z in ends]), pulls, len(sums))
+        return sums
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples and their cosines, exact."""
@@ -243,8 +302,8 @@ class Index:
 
     def nearest_all(self, vectors: list, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of several texts, whose dense parts are multiplied together."""
-        at, rows, tops = self._long()
-        n, out = len(self.labels), []
+        at, rows, group, norms = self._long()
+        n = len(self.labels)
 
         def best(near, scores):
             full = scores > 1e-9
@@ -255,24 +314,42 @@ class Index:
             order = np.lexsort((near, -scores))[:k]
             return near[order], np.minimum(scores[order], 1.0)
 
+        def multiply(open_, dense):
+            for (j, scores), more in zip(open_, dense[: len(open_)] @ rows.T):
+                out[j] = best(np.arange(n), scores + more)
+
+        dense, open_, out = np.zeros((TOGETHER, rows.shape[1]), np.float32), [], [None] * len(vectors)
         for i in range(0, len(vectors), TOGETHER):
-            dense, open_, got = np.zeros((min(TOGETHER, len(vectors) - i), len(rows)), np.float32), [], {}
-            for j, (terms, weights) in enumerate(vectors[i : i + TOGETHER]):
+            some = vectors[i : i + TOGETHER]
+            squares = np.zeros((len(some), len(norms)))
+            for j, (terms, weights) in enumerate(some):
+                row = at[terms]
+                np.add.at(squares[j], group[row[row >= 0]], weights[row >= 0] ** 2)
+            reach = np.sqrt(squares).astype(np.float32) @ norms
+            for j, (terms, weights) in enumerate(some):
                 row = at[terms]
                 scores = self._short_sums(terms[row < 0], weights[row < 0])
-                long, w = row[row >= 0], weights[row >= 0].astype(np.float32)
-                least = np.partition(scores, n - k)[n - k] if n > k else 0.0
-                reach = np.repeat(w @ tops[long], BLOCK)[:n] if len(long) else 0.0
-                near = np.flatnonzero(scores + reach >= least - 1e-6)
-                if len(near) <= n // 8 or not len(long):
-                    got[j] = best(near, scores[near] + (w @ rows[np.ix_(long, near)] if len(long) else 0.0))
+                query, has_long = dense[len(open_)], (row >= 0).any()
+                query[:] = 0.0
+                query[row[row >= 0]] = weights[row >= 0]
+                upper, lead = scores.astype(np.float32) + reach[j], scores[:0]
+                if n >= LEAD * LEAD and LEAD >= k:  # at least LEAD of the largest bounds: those from the LEAD-th of the maxima of n // 16 classes
+                    tops = upper[: n // 16 * 16].reshape(16, -1).max(axis=0)
+                    lead = np.flatnonzero(upper >= np.partition(tops, len(tops) - LEAD)[len(tops) - LEAD])
+                if 0 < len(lead) <= n // 8:  # their k-th best is no more than the k-th best of all
+                    least = np.partition(scores[lead] + rows[lead] @ query, len(lead) - k)[len(lead) - k]
                 else:
-                    dense[len(open_), long] = w
-                    open_.append((j, scores))
-            rest = dense[: len(open_)] @ rows if open_ else dense
-            for (j, scores), more in zip(open_, rest):
-                got[j] = best(np.arange(n), scores + more)
-            out += [got[j] for j in range(len(got))]
+                    least = np.partition(scores, n - k)[n - k] if n > k else 0.0
+                near = np.flatnonzero(upper >= np.float32(least - 3e-6))  # scores are rounded to 1e-6
+                if len(near) <= n // 8 or not has_long:
+                    out[i + j] = best(near, scores[near] + (rows[near] @ query if has_long else 0.0))
+                else:
+                    open_.append((i + j, scores))
+                    if len(open_) == TOGETHER:
+                        multiply(open_, dense)
+                        open_ = []
+        if open_:
+            multiply(open_, dense)
         return out
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
@@ -283,16 +360,15 @@ class Index:
         return float(self.calibration[min(BINS - 1, int(vote * BINS))])
 
     def scores(self, vectors: list, k: int = NEIGHBOURS) -> list:
-        """(score, evidence) of each vector."""
+        """(score, similarities and labels of the nearest examples) of each vector."""
         full = [v for v in vectors if len(v[0])] if len(self.labels) else []
         nearest = iter(self.nearest_all(full, k))
-        return [self._scored(*next(nearest)) if len(v[0]) and full else (self.prior, []) for v in vectors]
+        none = np.zeros(0), np.zeros(0, np.int32)
+        return [self._scored(*next(nearest)) if len(v[0]) and full else (self.prior, *none) for v in vectors]
 
     def _scored(self, near: np.ndarray, cosine: np.ndarray):
-        if not len(near):
-            return self.prior, []
-        evidence = [{"similarity": float(c), "label": int(y)} for c, y in zip(cosine, self.labels[near])]
-        return self.calibrated(self.vote(near, cosine)), evidence
+        score = self.calibrated(self.vote(near, cosine)) if len(near) else self.prior
+        return score, cosine.astype(np.float64), self.labels[near].astype(np.int32)
 
     def calibrate(self, votes: list[tuple[float, int]]) -> None:
         """Monotone regression (pool adjacent violators) of labels over binned votes, one pseudo-example at the bin's middle."""
@@ -396,23 +472,31 @@ def score_numbered(rows: DataFrame, index: Index) -> DataFrame:
     """``rows`` of :func:`fit_numbered` with ``score`` and ``evidence`` in place of the numbers: their texts aren't read again."""
     sent = rows.sparkSession.sparkContext.broadcast(replace(index, known={}))
 
+    scored = T._parse_datatype_string(SCORED)
+    evidence = to_arrow_schema(scored).field("evidence").type
+
     def run(batch):
         Numbers.forget()
-        idx, vectors = sent.value, []
-        terms, counts = batch.column("terms"), batch.column("counts")
-        edges = terms.offsets.to_numpy().astype(np.int64)
-        ids, n = terms.values.to_numpy().astype(np.int64), counts.values.to_numpy()
-        first, at = {}, []
+        idx, terms, counts = sent.value, batch.column("terms"), batch.column("counts")
+        edges = terms.offsets.to_numpy().tolist()
+        ids, n = terms.values.to_numpy(), counts.values.to_numpy()
+        first, at, made, waiting = {}, [], [], []
         for a, b in zip(edges[:-1], edges[1:]):
-            key = (ids[a:b].tobytes(), n[a:b].tobytes())
+            key = hashlib.blake2b(ids[a:b].tobytes() + n[a:b].tobytes(), digest_size=16).digest()
             if key not in first:
-                first[key] = len(vectors)
-                vectors.append(idx.weigh(ids[a:b], n[a:b]))
+                first[key] = len(made) + len(waiting)
+                waiting.append(idx.weigh(ids[a:b], n[a:b]))
+                if len(waiting) == PIECE:
+                    made += idx.scores(waiting)
+                    waiting = []
             at.append(first[key])
-        made = idx.scores(vectors)
-        return list(zip(*[made[i] for i in at])) if at else [[], []]
+        made += idx.scores(waiting)
+        similar = pa.array(np.concatenate([np.zeros(0), *(made[i][1] for i in at)]))
+        label = pa.array(np.concatenate([np.zeros(0, np.int32), *(made[i][2] for i in at)]))
+        pairs = pa.StructArray.from_arrays([similar, label], fields=list(evidence.value_type))
+        return [np.array([made[i][0] for i in at], np.float64), lists([len(made[i][1]) for i in at], pairs, evidence)]
 
-    return append_columns(rows, SCORED, run).drop("terms", "counts")
+    return append_columns(rows, scored, run).drop("terms", "counts")
 
 
 def remainder(id_col: str = "doc_id"):

@@ -84,3 +84,34 @@ def test_query_ignores_held_out_labels(spark):
     assert got.count() == docs.count()
     assert got.filter(F.col("held_out") != (F.crc32(F.col("doc_id").cast("string")) % 3 == 1)).count() == 0
     assert got.filter((F.col("predicted") == 1) != (F.col("score") >= 0.7)).count() == 0
+
+
+def test_norms_by_group_rule_out_most_and_nothing_near(rng):
+    terms = [f"t{i}" for i in range(3000)]
+    odds = [1 / (i + 1) for i in range(len(terms))]
+    texts = [" ".join(rng.choices(terms, odds, k=rng.randint(1, 60))) for _ in range(4500)]
+    idx = X.Index.build(terms, 9000, np.array([1 + 4000 // (i + 1) for i in range(len(terms))]), texts, [rng.randint(0, 1) for _ in texts])
+    dense = np.zeros((len(idx.labels), len(terms)))
+    dense[idx.example, np.repeat(np.arange(len(terms)), np.diff(idx.starts))] = idx.weight
+    at, rows, group, norms = idx._long()
+    vectors = [idx.vector(" ".join(rng.choices(terms, odds, k=rng.randint(1, 60)))) for _ in range(80)] + [idx.vector("t0 t1"), idx.vector(texts[7])]
+    few = 0
+    for (t, w), (near, cosine) in zip(vectors, idx.nearest_all(vectors, 15)):
+        exact = np.round(dense[:, t] @ w, 6)
+        assert np.allclose(cosine, np.sort(exact)[::-1][: len(cosine)], atol=2e-6) and np.allclose(exact[near], cosine, atol=2e-6)
+        assert len(near) == min(15, (exact > 0).sum())
+        row = at[t]
+        bound = np.sqrt(np.bincount(group[row[row >= 0]], w[row >= 0] ** 2, len(norms))) @ norms
+        assert (bound >= rows[:, row[row >= 0]] @ w[row >= 0] - 1e-6).all()
+        few += (exact - rows[:, row[row >= 0]] @ w[row >= 0] + bound >= cosine.min() - 3e-6).mean() < 1 / 8
+    assert few > len(vectors) / 2
+
+
+def test_numbers_of_many_texts_are_those_of_each(rng, odd_texts):
+    known = {w: i for i, w in enumerate("a b c d été vile".split())}
+    texts = [" ".join(rng.choices([*known, "x", "."], k=rng.randint(0, 9))) for _ in range(X.PIECE + 9)] + [t or "" for t in odd_texts]
+    sizes, ids, counts = X.counted_all(texts, known)
+    each = [X.counted(t, known) for t in texts]
+    assert sizes.tolist() == [len(t) for t, _ in each]
+    assert ids.tolist() == [x for t, _ in each for x in t] and counts.tolist() == [x for _, c in each for x in c]
+    assert [len(x) for x in X.counted_all([], known)] == [0, 0, 0]
