@@ -40,8 +40,10 @@ def boxed(df: DataFrame, *results: str):
     return F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row")
 
 
-def append_columns(df: DataFrame, schema: str | T.StructType, fn: Callable[[pa.RecordBatch], list]) -> DataFrame:
-    """Row-local operator: all columns of ``df`` plus those of ``schema``, which ``fn`` makes for each Arrow batch.
+def append_columns(df: DataFrame, schema: str | T.StructType, fn: Callable[[pa.RecordBatch], list],
+                   at_most: int | None = None) -> DataFrame:
+    """Row-local operator: all columns of ``df`` plus those of ``schema``, which ``fn`` makes for each Arrow batch, or for each
+    ``at_most`` rows of it, which bounds what a worker holds beside the batch.
 
     Input columns named like a result column are replaced.
     """
@@ -53,7 +55,7 @@ def append_columns(df: DataFrame, schema: str | T.StructType, fn: Callable[[pa.R
     types = [f.type for f in arrow]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, at_most) for b in batches for i in range(0, max(b.num_rows, 1), at_most or max(b.num_rows, 1))):
             made = fn(batch)
             arrays = [batch.column(i) for i in positions] + [pa.array(x, type=t) for x, t in zip(made, types)]
             names = [batch.schema.names[i] for i in positions] + list(arrow.names)

@@ -46,10 +46,10 @@ MAX_EXAMPLES = 20_000
 REST = 0.3
 NEIGHBOURS = 15
 #: Posting lists longer than this share of the examples are also kept as dense rows, in so many groups with norms by example.
-LONG = 1 / 16
-GROUPS = 64
+LONG = 1 / 12
+GROUPS = 40
 #: Posting lists up to this length are short enough to be looked up together.
-FEW = 32
+FEW = 100
 #: At least so many examples of the largest bounds set the least score of the others.
 LEAD = 64
 #: So many texts' dense parts are multiplied together.
@@ -59,6 +59,8 @@ LEAST_SCORE = 0.7
 _WORD = re.compile(r"[^\W_]+")
 #: So many texts become numbers, or are scored, at a time.
 PIECE = 256
+#: Rows that a worker numbers or scores before it hands them back.
+ROWS = 2048
 SCORED = "score double, evidence array<struct<similarity:double,label:int>>"
 
 
@@ -183,22 +185,27 @@ def numbered_docs(df: DataFrame, sent, text_col: str = "text") -> DataFrame:
         sizes, ids, counts = counted_all(texts_of(batch.column(text_col)), table_of(sent.value))
         return [lists(sizes, pa.array(x), kind) for x, kind in zip((ids, counts), kinds)]
 
-    with_numbers = append_columns(df, numbers, run)
+    with_numbers = append_columns(df, numbers, run, ROWS)
     return materialize(with_numbers.select(*[F.col(f"`{c}`") for c in with_numbers.columns if c != text_col]), "toxicity-numbers")
 
 
-def _document_frequencies(numbered: DataFrame, n_terms: int) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those that hold each term; counted over all documents."""
+def _document_frequencies(docs: DataFrame, n_terms: int, sent=None) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that hold each term; counted over all documents: by their ``terms``, or with the
+    broadcast words ``sent`` by their ``text``, whose numbers are then not written."""
+
+    def terms_of(b):
+        return b.column("terms").flatten().to_numpy() if sent is None else counted_all(texts_of(b.column("text")), table_of(sent.value))[1]
 
     def count(batches):
         n, freq = 0, np.zeros(n_terms, np.int64)
         for b in batches:
             n += b.num_rows
-            freq += np.bincount(b.column("terms").flatten().to_numpy(), minlength=n_terms)
+            for i in range(0, b.num_rows, ROWS):
+                freq += np.bincount(terms_of(b.slice(i, ROWS)), minlength=n_terms)
         ids = np.flatnonzero(freq)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, ids], pa.int64()), pa.array(np.r_[n, freq[ids]], pa.int64())], names=["term", "n"])
 
-    rows = numbered.select("terms").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
+    rows = docs.select("terms" if sent is None else "text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
     term, n = rows.column("term").to_numpy(), rows.column("n").to_numpy()
     freq = np.zeros(n_terms, np.int64)
     freq[term[term >= 0]] = n[term >= 0]
@@ -389,19 +396,19 @@ class Index:
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Index:
     """``docs`` (id, text), ``labels`` (id, label 0/1): only the labels given are learnt from."""
-    return fit_numbered(docs, labels, max_examples)[0]
+    return fit_numbered(docs, labels, max_examples, written=False)[0]
 
 
-def fit_numbered(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> tuple[Index, DataFrame]:
-    """The index and the documents as word numbers (``docs`` without ``text``, plus ``terms, counts``)."""
+def fit_numbered(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, written: bool = True) -> tuple[Index, DataFrame | None]:
+    """The index and the documents as word numbers (``docs`` without ``text``, plus ``terms, counts``), if they are to be ``written``."""
     spark = docs.sparkSession
     examples = materialize(examples_of(docs.select("id", "text"), labels, max_examples), "toxicity-examples")
     words = examples.select("text").mapInArrow(_distinct_terms, "term string").distinct().toArrow().column("term").combine_chunks()
     known = Numbers(words if isinstance(words, pa.Array) else pa.array([], pa.string()))
     del words
     sent = spark.sparkContext.broadcast(known)
-    rows = numbered_docs(docs, sent)
-    n_docs, freq = _document_frequencies(rows, len(known))
+    rows = numbered_docs(docs, sent) if written else None
+    n_docs, freq = _document_frequencies(rows, len(known)) if written else _document_frequencies(docs, len(known), sent)
     numbered = numbered_docs(examples.select("key", "label", "text"), sent)  # an example is needed as its words' numbers only
     sent.destroy()
     got = numbered.toArrow()  # at most max_examples texts' terms
@@ -496,7 +503,7 @@ def score_numbered(rows: DataFrame, index: Index) -> DataFrame:
         pairs = pa.StructArray.from_arrays([similar, label], fields=list(evidence.value_type))
         return [np.array([made[i][0] for i in at], np.float64), lists([len(made[i][1]) for i in at], pairs, evidence)]
 
-    return append_columns(rows, scored, run).drop("terms", "counts")
+    return append_columns(rows, scored, run, ROWS).drop("terms", "counts")
 
 
 def remainder(id_col: str = "doc_id"):

@@ -115,3 +115,26 @@ def test_numbers_of_many_texts_are_those_of_each(rng, odd_texts):
     assert sizes.tolist() == [len(t) for t, _ in each]
     assert ids.tolist() == [x for t, _ in each for x in t] and counts.tolist() == [x for _, c in each for x in c]
     assert [len(x) for x in X.counted_all([], known)] == [0, 0, 0]
+
+
+def test_rows_are_handed_back_in_pieces(spark, index, rows, monkeypatch):
+    df = documents(spark, [(i, t) for i, t, _ in rows[:120]])
+    found = lambda: {r.doc_id: [r.score, *(e.similarity for e in r.evidence)] for r in X.score_texts(df, index).collect()}
+    whole = found()
+    seen, plain = [], X.append_columns
+    monkeypatch.setattr(X, "ROWS", 7)
+    monkeypatch.setattr(X, "append_columns", lambda df, schema, fn, at_most=None: seen.append(at_most) or plain(df, schema, fn, at_most))
+    assert found() == {i: pytest.approx(x, abs=2e-6) for i, x in whole.items()} and seen == [7, 7]
+
+
+def test_fit_alone_writes_no_numbers_of_the_documents(spark, rows, monkeypatch):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(-1, None), (-2, "")], "id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 2], "id long, label int")
+    full, kept = X.fit_numbered(docs, labels)
+    names, plain = [], X.materialize
+    monkeypatch.setattr(X, "ROWS", 50)
+    monkeypatch.setattr(X, "materialize", lambda df, name: names.append((name, df.columns)) or plain(df, name))
+    alone = X.fit(docs, labels)
+    assert kept.count() == len(rows) + 2 and [c for n, c in names if n == "toxicity-numbers"] == [["key", "label", "terms", "counts"]]
+    assert list(alone.known) == list(full.known) and np.array_equal(alone.idf, full.idf) and np.array_equal(alone.weight, full.weight)
+    assert np.array_equal(alone.calibration, full.calibration) and alone.prior == full.prior
